@@ -9,9 +9,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import gantry
+
+# Executors need not have this package on their path: its functions travel with the tasks.
+cloudpickle.register_pickle_by_value(gantry)
+
 #: Java regex for one run of the six white-space bytes that separate words.
 SPACES = r"[\x20\x09-\x0D]+"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import quality, url_filter
+from gantry.llm import quality, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,3 +86,14 @@ FROM c LEFT JOIN listed ON c.canon = listed.canon
 
 QUERIES = {"op6_quality": op6_quality, "op8_url_filter": op8_url_filter}
 ORACLES = {"op6_quality": OP6_SQL, "op8_url_filter": OP8_SQL}
+
+
+# 2: SimHash near-duplicates --------------------------------------------------------------------------------------
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+QUERIES["op2_simhash"] = op2_simhash
