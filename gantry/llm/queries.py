@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import quality, simhash, url_filter
+from gantry.llm import packing, quality, simhash, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,3 +97,16 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_simhash"] = op2_simhash
+
+
+# 10: best-fit packing --------------------------------------------------------------------------------------------
+
+#: Where the public tokenizers' files are.
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+QUERIES["op10_packing"] = op10_packing
