@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import packing, quality, simhash, url_filter
+from gantry.llm import packing, quality, simhash, substring, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,3 +110,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_packing"] = op10_packing
+
+
+# 9: substring dedup ----------------------------------------------------------------------------------------------
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its repeated passages cut, and what was cut."""
+    return substring.dedupe(_table(spark, sf_dir, "documents"), report=True)
+
+
+QUERIES["op9_substring_dedup"] = op9_substring_dedup
