@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import packing, quality, simhash, substring, url_filter
+from gantry.llm import packing, quality, simhash, substring, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,3 +121,24 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_substring_dedup"] = op9_substring_dedup
+
+
+# 7: WARC ---------------------------------------------------------------------------------------------------------
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+OP7_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+q AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS digest FROM p),
+r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS keeper FROM q)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM r
+"""
+
+QUERIES["op7_warc"] = op7_warc
+ORACLES["op7_warc"] = OP7_SQL
