@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import packing, quality, simhash, substring, url_filter, warc
+from gantry.llm import media, packing, quality, simhash, substring, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,3 +142,14 @@ FROM r
 
 QUERIES["op7_warc"] = op7_warc
 ORACLES["op7_warc"] = OP7_SQL
+
+
+# 5: media columns ------------------------------------------------------------------------------------------------
+
+
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = media.media_columns(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "format", "width", "height", "bit_depth")
+
+
+QUERIES["op5_media"] = op5_media
