@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import media, packing, quality, simhash, substring, url_filter, warc
+from gantry.llm import lm, media, packing, quality, simhash, substring, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -153,3 +153,13 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_media"] = op5_media
+
+
+# 1: LM scoring ---------------------------------------------------------------------------------------------------
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
+QUERIES["op1_lm_scoring"] = op1_lm_scoring
