@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import lm, media, packing, quality, simhash, substring, url_filter, warc
+from gantry.llm import lm, media, packing, pieces, quality, simhash, substring, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,3 +163,13 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_lm_scoring"] = op1_lm_scoring
+
+
+# 3: SentencePiece ------------------------------------------------------------------------------------------------
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
+
+
+QUERIES["op3_sentencepiece"] = op3_sentencepiece
