@@ -87,6 +87,19 @@ def runs(repeated: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
     return np.stack([a[long], z[long]], axis=1)
 
 
+def _repeated(digests: list[np.ndarray], answers: list[bytes]) -> np.ndarray:
+    """Of a page's chunks in order: whether a lesser document elsewhere has it, or an earlier chunk of the page."""
+    every = np.concatenate([*digests, np.zeros(0, np.uint64)])
+    kinds, first, back = np.unique(every, return_index=True, return_inverse=True)
+    elsewhere = np.zeros(len(kinds), bool)
+    if answers:
+        lesser = np.concatenate([np.frombuffer(a, np.uint64) for a in answers])
+        elsewhere[np.searchsorted(kinds, lesser)] = True  # all of them are digests that the page asked for
+    out = np.ones(len(every), bool)
+    out[first] = False
+    return out | elsewhere[back]
+
+
 def _pages(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(page, block): rows of about PAGE_BYTES of text as one compressed Arrow block."""
 
@@ -191,23 +204,21 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
         for b in batches:
             for block, answers in zip(b.column("block"), b.column("answers"), strict=True):
                 table = _rows(block.as_py())
-                lesser = np.unique(np.concatenate([np.frombuffer(a, np.uint64) for a in answers.as_py()])) if answers.is_valid else np.zeros(0, np.uint64)
                 texts, counts = table.column(text).to_pylist(), [None] * table.num_rows
-                here: set[int] = set()
-                for i, _, c in chunked(block.as_py()):
-                    repeated = np.isin(c.digest, lesser)
-                    for n in np.flatnonzero(~repeated).tolist():
-                        d = int(c.digest[n])
-                        repeated[n] = d in here
-                        here.add(d)
-                    gone = runs(repeated, c.words, min_words)
+                found = list(chunked(block.as_py()))
+                repeated = _repeated([c.digest for *_, c in found], answers.as_py() or [])
+                at = 0
+                for i, _, c in found:
+                    own = repeated[at : at + len(c.digest)]
+                    at += len(own)
+                    gone = runs(own, c.words, min_words)
                     if len(gone):
-                        raw, at, kept = (texts[i] or "").encode(), 0, []
-                        for a, z in gone.tolist():
-                            kept.append(raw[at : c.start[a]])
-                            at = int(c.end[z - 1])
-                        texts[i] = b"".join([*kept, raw[at:]]).decode()
-                    counts[i] = (len(c.digest), int(repeated.sum()), int(c.words.sum()), int(sum(c.words[a:z].sum() for a, z in gone)), len(gone))
+                        raw, past, kept = (texts[i] or "").encode(), 0, []
+                        for first, end in gone.tolist():
+                            kept.append(raw[past : c.start[first]])
+                            past = int(c.end[end - 1])
+                        texts[i] = b"".join([*kept, raw[past:]]).decode()
+                    counts[i] = (len(own), int(own.sum()), int(c.words.sum()), int(sum(c.words[a:z].sum() for a, z in gone)), len(gone))
                 columns = [pa.array(texts, table.schema.field(text).type) if f == text else table.column(f) for f in table.column_names]
                 names = list(table.column_names)
                 if report:
