@@ -60,8 +60,14 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Lets Spark hand at most about `most` to Python at once (its default is 64 MB), for this session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def key_and_text(docs: DataFrame, key: str, text: str) -> DataFrame:
     """The two columns an operator needs, under its own names; other columns may have any names."""
+    bound_batches(docs.sparkSession)
     return docs.select(docs[key].alias("key"), F.coalesce(docs[text], F.lit("")).alias("text"))
 
 

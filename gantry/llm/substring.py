@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gantry.llm.common import by_bytes, durable
+from gantry.llm.common import bound_batches, by_bytes, durable
 
 #: Bytes that the rolling hash sees, mean words between cuts, and words from which a repeated run is removed.
 WINDOW, MEAN_WORDS, MIN_WORDS = 16, 5, 15
@@ -142,6 +142,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
 
     The key is a long (a document's number); the order of documents is its order.
     """
+    bound_batches(docs.sparkSession)
     gear = gear_table()
     pages = durable(_pages(docs.select(key, text) if report else docs, key, text), "pages")
     total = pages.agg(F.coalesce(F.sum(F.length("block")), F.lit(0))).first()[0]

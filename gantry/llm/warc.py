@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, IsNull, StringStartsWith
 
-from gantry.llm.common import durable, new_dir
+from gantry.llm.common import bound_batches, by_bytes, durable, new_dir
 
 #: Payloads under this many bytes are never revisits.
 LEAST_SHARED = 1000
 #: Bytes after which a task begins a new file, and bytes of small files that are read by one task.
-FILE_BYTES, PARTITION_BYTES = 128 << 20, 32 << 20
+FILE_BYTES, PARTITION_BYTES = 128 << 20, 16 << 20
 #: Bytes of payload in one Arrow batch, and of compressed input read at once.
-BATCH_BYTES, READ_BYTES = 8 << 20, 1 << 20
+BATCH_BYTES, READ_BYTES = 4 << 20, 1 << 18
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SCHEMA = "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes bigint, payload binary"
 
@@ -80,7 +80,7 @@ def write(rows: DataFrame, path: str) -> list[str]:
         store, root = open_fs(path)
         store.create_dir(root, recursive=True)
         out, name, done = None, "", []
-        for b in batches:
+        for b in (x for whole in batches for x in by_bytes([whole], "payload", BATCH_BYTES)):
             for page_id, url, payload, digest, size, refers_to, revisit in zip(*[b.column(c).to_pylist() for c in ("page_id", "url", "payload", "digest", "size", "refers_to", "revisit")], strict=True):
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
@@ -124,17 +124,22 @@ class Files(InputPartition):
 
 
 class Members:
-    """Gzip members of a stream: open one, inflate as much of it as is asked for, go to the next."""
+    """Gzip members of a stream: open one, inflate as much of it as is asked for, go to the next.
+
+    A member with its length in the 'sl' field is taken out of the stream whole, compressed, and is dropped as cheaply;
+    of any other the end is found by inflating.
+    """
 
     def __init__(self, stream) -> None:
-        self.stream, self.held, self.over = stream, b"", False
+        self.stream, self.held, self.at = stream, b"", 0
 
     def _fill(self, n: int) -> bool:
-        while len(self.held) < n:
-            more = self.stream.read(max(READ_BYTES, n - len(self.held)))
+        """Holds n bytes from `at` on, if the stream has them."""
+        while len(self.held) - self.at < n:
+            more = self.stream.read(max(READ_BYTES, n))
             if not more:
                 return False
-            self.held += more
+            self.held, self.at = self.held[self.at :] + more, 0
         return True
 
     def open(self) -> bool:
@@ -142,16 +147,21 @@ class Members:
         if not self._fill(1):
             return False
         self._fill(24)
-        self.left = None
-        if self.held[3:4] == b"\x04" and self.held[12:14] == b"sl":
-            self.left = struct.unpack("<I", self.held[16:20])[0] or None
-        self.inflate, self.out, self.read = zlib.decompressobj(31), b"", 0
+        head = self.held[self.at : self.at + 24]
+        size = struct.unpack("<I", head[16:20])[0] if head[3:4] == b"\x04" and head[12:14] == b"sl" else 0
+        self.inflate, self.out, self.whole = zlib.decompressobj(31), b"", size > 0
+        if self.whole:
+            if not self._fill(size):
+                raise EOFError("a gzip member breaks off")
+            self.data = self.held[self.at : self.at + size]
+            self.at += size
+        else:
+            self.data = b""
         return True
 
     def upto(self, mark: bytes) -> bytes:
         """The member's bytes up to and with the mark."""
-        at = -1
-        while (at := self.out.find(mark)) < 0 and self._more(4096):
+        while (at := self.out.find(mark)) < 0 and self._more(2048):
             pass
         at = len(self.out) if at < 0 else at + len(mark)
         got, self.out = self.out[:at], self.out[at:]
@@ -170,34 +180,26 @@ class Members:
 
     def _more(self, most: int) -> bool:
         while not self.inflate.eof:
-            if not self.held and not self._fill(1):
-                raise EOFError("a gzip member breaks off")
-            before = len(self.held)
-            made = self.inflate.decompress(self.held, most)
-            self.held = self.inflate.unconsumed_tail or self.inflate.unused_data
-            self.read += before - len(self.held)
+            if not self.data:
+                if self.whole or not self._fill(1):
+                    raise EOFError("a gzip member breaks off")
+                self.data = self.held[self.at : self.at + (1 << 14)]
+                self.at += len(self.data)
+            made = self.inflate.decompress(self.data, most)
+            self.data = self.inflate.unconsumed_tail
             if made:
                 self.out += made
                 return True
         return False
 
     def close(self) -> None:
-        """Goes to the end of the member: by its length if it has one, else by inflating what is left."""
-        if self.left is not None and not self.inflate.eof:
-            rest = self.left - self.read
-            if rest > len(self.held):
-                skip = rest - len(self.held)
-                self.held = b""
-                while skip:
-                    got = len(self.stream.read(min(skip, READ_BYTES)))
-                    if not got:
-                        break
-                    skip -= got
-            else:
-                self.held = self.held[rest:]
+        """Goes to the end of the member."""
+        if self.whole:
+            self.data = b""
             return
         while self._more(1 << 16):
             self.out = b""
+        self.at -= len(self.inflate.unused_data)
 
 
 def headers(block: bytes) -> dict[str, str]:
@@ -332,6 +334,7 @@ def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     Lengths and digests of responses are those of the payload as read; revisits have them in their headers.
     """
     spark = pages.sparkSession
+    bound_batches(spark)
     records = read(spark, archive(pages, new_dir(spark, "warc"), key, url, html), payload=True)
     kind = pages.schema[key].dataType
     number = lambda c: F.regexp_extract(c, "^urn:page:(.*)$", 1)
