@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,9 +29,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gantry.llm.common import by_bytes, durable, key_and_text
+from gantry.llm.words import index_words, joined
 
 #: Words whose ids a worker keeps, and the longest word kept.
-CACHED_WORDS, CACHED_BYTES = 400_000, 64
+CACHED_WORDS, CACHED_BYTES = 500_000, 64
 
 
 @dataclass(frozen=True)
@@ -127,32 +129,93 @@ def place(layout: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray) -
 class WordTokenizer:
     """Ids of whole texts, word by word: the tokenizer splits on white space before anything else, so words are apart.
 
-    encode(text) gives the little-endian unsigned 32-bit ids. Ids of words are kept up to CACHED_WORDS, then anew.
+    Most words are letters with or without closing points and commas. Their letters are one unit to the tokenizer, in
+    either case of A-Z, so distinct ones are encoded many to a string and cut where a piece ends a unit; all other
+    words are encoded singly. Ids of words are kept for the worker's later tasks, in two generations of CACHED_WORDS.
     """
 
+    TAIL = b".,;:!?"
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.of = Tokenizer.from_file(path)
         self.of.encode_special_tokens = True
+        ends = {i for piece, i in self.of.get_vocab().items() if piece.endswith("</w>")}
+        self.ends = np.zeros(self.of.get_vocab_size(), bool)
+        self.ends[list(ends)] = True
         self.known: dict[bytes, bytes] = {}
-
-    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
+        self.older: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def kept(path: str) -> WordTokenizer:
+        """That of this worker process, if an earlier task has made one."""
+        import tokenizers
+
+        found = vars(tokenizers).setdefault("_kept_by_path", {})
+        if path not in found:
+            found[path] = WordTokenizer(path)
+        return found[path]
+
+    def _singly(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out = {}
+        for i in range(0, len(words), 4096):
+            part = words[i : i + 4096]
             made = self.of.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, made, strict=True))
-        for words in split:
-            yield b"".join(map(known.__getitem__, words))
+            out.update((w, array("I", e.ids).tobytes()) for w, e in zip(part, made, strict=True))
+        return out
+
+    def _units(self, units: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of runs of letters, many to a string."""
+        out = {}
+        for i in range(0, len(units), 1 << 15):
+            part = units[i : i + (1 << 15)]
+            lines = [part[k : k + 256] for k in range(0, len(part), 256)]
+            for line, e in zip(lines, self.of.encode_batch_fast([b" ".join(x).decode() for x in lines], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                past = (np.flatnonzero(self.ends[ids]) + 1) * 4
+                if len(past) != len(line):  # not one unit a word after all
+                    out.update(self._singly(line))
+                    continue
+                raw, at = ids.tobytes(), 0
+                for x, z in zip(line, past.tolist(), strict=True):
+                    out[x] = raw[at:z]
+                    at = z
+        return out
+
+    def learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        split, other, units = [], [], set()
         for w in new:
+            core = w.lower().rstrip(self.TAIL)
+            if (core.isalpha() or core.decode().isalpha()) and len(w) <= CACHED_BYTES:
+                split.append((w, core, w[len(core) :]))
+                units.add(core)
+            else:
+                other.append(w)
+        out = self._singly(other)
+        ids = self._units(list(units))
+        tails = {b"": b""} | self._singly(list({tail for *_, tail in split} - {b""}))
+        for w, core, tail in split:
+            out[w] = ids[core] + tails[tail]
+        return out
+
+    def encode_all(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows one behind the other, bounds of each row's) of a string column without nulls."""
+        kinds, of, bounds = index_words(column)
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.older = {}, self.known
+        known = self.known
+        new = set(kinds).difference(known)
+        again = new.intersection(self.older)
+        known.update((w, self.older[w]) for w in again)
+        made = self.learn(new - again)
+        known.update(made)
+        ids, upto = joined([known[w] for w in kinds], of)
+        for w in made:
             if len(w) > CACHED_BYTES:
                 del known[w]
+        return ids, upto[bounds]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -162,17 +225,18 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id",
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, seen = WordTokenizer(tokenizer), TaskContext.get().partitionId(), {}
+        words, part, seen = WordTokenizer.kept(tokenizer), TaskContext.get().partitionId(), {}
         for b in (x for whole in batches for x in by_bytes([whole], "text")):
             at, rows = [], []
-            for k, ids in enumerate(words.encode_all(b.column("text").to_pylist())):
-                ids += b"\0\0\0\0"
-                for n, i in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[i : i + 4 * capacity]
-                    size = len(own) // 4
+            ids, bounds = words.encode_all(b.column("text"))
+            for k, (a, z) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                own = ids[a:z].tobytes() + b"\0\0\0\0"
+                for n, i in enumerate(range(0, len(own), 4 * capacity)):
+                    piece = own[i : i + 4 * capacity]
+                    size = len(piece) // 4
                     seen[size] = rank = seen.get(size, -1) + 1
                     at.append(k)
-                    rows.append((n, i // 4, size, zlib.crc32(own), rank))
+                    rows.append((n, i // 4, size, zlib.crc32(piece), rank))
             if rows:
                 made = np.array(rows, np.int64)
                 columns = [b.column("key").take(pa.array(at)), pa.array(made[:, 0], pa.int32()), *[pa.array(made[:, k]) for k in (1, 2, 3)], pa.array(np.full(len(rows), part, np.int32)), pa.array(made[:, 4])]
