@@ -146,4 +146,6 @@ def keep(docs: DataFrame, text: str = "text", rules: tuple[QualityRule, ...] | N
     rules = order_rules(docs, text) if rules is None else rules
     names = {n for r in rules for n in r.needs}
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("q_row"), F.coalesce(docs[text], F.lit("")).alias("q_text"))
-    return statistics(packed, names).where(verdict(rules).isNull()).select("q_row.*")
+    # The random number keeps the filter above the statistics: pushed below, it would compute them anew for each use.
+    judged = statistics(packed, names).select("q_row", verdict(rules).alias("q_rejected"), F.rand(0).alias("q_barrier"))
+    return judged.where("q_rejected IS NULL AND q_barrier >= 0").select("q_row.*")

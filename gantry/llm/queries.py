@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import lm, media, packing, pieces, quality, simhash, substring, url_filter, warc
+from gantry.llm import lm, media, packing, pieces, quality, simhash, substring, token_files, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -173,3 +173,13 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_sentencepiece"] = op3_sentencepiece
+
+
+# 4: token counts -------------------------------------------------------------------------------------------------
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.counted(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+QUERIES["op4_token_counts"] = op4_token_counts
