@@ -22,7 +22,7 @@ cloudpickle.register_pickle_by_value(gantry)
 SPACES = r"[\x20\x09-\x0D]+"
 
 #: Most bytes of text that a Python worker holds as one batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
