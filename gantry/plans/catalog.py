@@ -1,19 +1,7 @@
-"""Registered queries over the driver's tables and their DuckDB twins."""
+"""All registered queries over the driver's tables, with their DuckDB twins."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from gantry.plans import base, graphs, knowledge, rollups, scalars  # noqa: F401
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def pipeline_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
-    return li.groupBy("l_suppkey").agg(F.count("*").alias("n"))
-
-
-QUERIES = {"pipeline_rollup": pipeline_rollup}
-ORACLES = {"pipeline_rollup": "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY l_suppkey"}
+QUERIES, ORACLES = base.QUERIES, base.ORACLES
