@@ -112,7 +112,7 @@ def criticality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.select("id", "degree", "crossings", F.round(F.when(most > 0, F.col("raw") / most).otherwise(0.0), 6).alias("criticality"))
 
 
-@query("corrosion", """WITH c AS (SELECT id, coalesce(greatest(pressure, 0) * greatest(temperature, 0) * CASE WHEN cls = 'PROMO' THEN 1.0 WHEN cls = 'SMALL' THEN 0.3 ELSE 0.5 END, 0) AS raw FROM ({OBJ})) SELECT id, round(raw / (SELECT max(raw) FROM c), 6) AS corrosion FROM c""")
+@query("corrosion", """WITH c AS (SELECT id, coalesce(greatest(pressure, 0) * greatest(temperature, 0) * CASE WHEN cls = 'PROMO' THEN 1.0 WHEN cls = 'SMALL' THEN 0.3 ELSE 0.5 END, 0) AS raw FROM ({OBJ})) SELECT id, CASE WHEN (SELECT max(raw) FROM c) > 0 THEN round(raw / (SELECT max(raw) FROM c), 6) ELSE 0 END::DOUBLE AS corrosion FROM c""")
 def corrosion(spark: SparkSession, sf_dir: str) -> DataFrame:
     factor = F.when(F.col("cls") == "PROMO", 1.0).when(F.col("cls") == "SMALL", 0.3).otherwise(0.5)
     clip = lambda c: F.when(F.col(c).isNotNull(), F.greatest(F.col(c), F.lit(0.0)))

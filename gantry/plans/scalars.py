@@ -10,34 +10,34 @@ from gantry.functions import units
 from gantry.plans.base import objects, query, table
 
 
-@query("unit_length", """SELECT id, round(CASE size % 5 WHEN 0 THEN size * 0.3048 + 4 * 0.0254 WHEN 1 THEN (size + 0.5) * 0.0254 WHEN 2 THEN size / 1000 WHEN 3 THEN size * 0.3048 END, 9) AS m FROM ({OBJ})""")
+@query("unit_length", """SELECT id, round(CASE size % 5 WHEN 0 THEN size * 0.3048::DOUBLE + 4 * 0.0254::DOUBLE WHEN 1 THEN (size + 0.5::DOUBLE) * 0.0254::DOUBLE WHEN 2 THEN size / 1000 WHEN 3 THEN size * 0.3048::DOUBLE END, 9) AS m FROM ({OBJ})""")
 def unit_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("size")
     raw = F.when(size % 5 == 0, F.concat(size, F.lit(" ft  4.00 in"))).when(size % 5 == 1, F.concat(size, F.lit(" 1/2 in"))).when(size % 5 == 2, F.concat(size, F.lit(" mm"))).when(size % 5 == 3, F.concat(size, F.lit(" ft"))).otherwise("n/a")
     return objects(spark, sf_dir).select("id", F.round(units.length_m(raw), 9).alias("m"))
 
 
-@query("unit_weight", "SELECT id, CASE WHEN size % 4 <> 0 THEN round((size + 0.25) * 0.45359237, 9) END AS kg FROM ({OBJ})")
+@query("unit_weight", "SELECT id, CASE WHEN size % 4 <> 0 THEN round((size + 0.25) * 0.45359237::DOUBLE, 9) END AS kg FROM ({OBJ})")
 def unit_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("size")
     raw = F.when(size % 4 != 0, F.concat(size, F.lit(".25 LBM"))).otherwise(F.concat(size, F.lit(" kg")))
     return objects(spark, sf_dir).select("id", F.round(units.weight_kg(raw), 9).alias("kg"))
 
 
-@query("unit_pressure", "SELECT id, round(size * 6.894757, 9) AS kpa FROM ({OBJ})")
+@query("unit_pressure", "SELECT id, round(size * 6.894757::DOUBLE, 9) AS kpa FROM ({OBJ})")
 def unit_pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("size")
     return objects(spark, sf_dir).select("id", F.round(units.pressure_kpa(F.concat(size, F.lit(".00 psi"))), 9).alias("kpa"))
 
 
-@query("unit_temperature", "SELECT id, CASE WHEN size % 3 <> 0 THEN round((size * 10.0 - 32) * 5 / 9, 9) END AS c FROM ({OBJ})")
+@query("unit_temperature", "SELECT id, CASE WHEN size % 3 <> 0 THEN round((size * 10.0::DOUBLE - 32) * 5 / 9, 9) END AS c FROM ({OBJ})")
 def unit_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("size")
     raw = F.when(size % 3 != 0, F.concat(size * 10, F.lit(" F"))).otherwise(F.concat(size * 10, F.lit(" f")))
     return objects(spark, sf_dir).select("id", F.round(units.temperature_c(raw), 9).alias("c"))
 
 
-@query("unit_npd", """SELECT id, round(CASE size % 4 WHEN 3 THEN NULL ELSE size * CASE WHEN size % 4 = 1 THEN 0.001 ELSE 0.0254 END END, 9) AS end1, round(CASE size % 4 WHEN 0 THEN 6 * 0.0254 WHEN 1 THEN 0.0 WHEN 2 THEN size * 0.0254 END, 9) AS end2 FROM ({OBJ})""")
+@query("unit_npd", """SELECT id, round(CASE size % 4 WHEN 3 THEN NULL ELSE size * CASE WHEN size % 4 = 1 THEN 0.001::DOUBLE ELSE 0.0254::DOUBLE END END, 9) AS end1, round(CASE size % 4 WHEN 0 THEN 6 * 0.0254::DOUBLE WHEN 1 THEN 0.0 WHEN 2 THEN size * 0.0254::DOUBLE END, 9) AS end2 FROM ({OBJ})""")
 def unit_npd(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("size")
     raw = F.when(size % 4 == 0, F.concat(size, F.lit("in x 6in"))).when(size % 4 == 1, F.concat(size, F.lit("mm x 0"))).when(size % 4 == 2, F.concat(size, F.lit(" in"))).otherwise(F.concat(size, F.lit("in x 6mm")))
