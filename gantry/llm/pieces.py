@@ -2,7 +2,7 @@
 
 Spaces become the marker U+2581 and one marker goes before the text. The best segmentation is the path of greatest
 summed log score over the pieces found in the trie; a character that no piece covers alone may stand as unknown, at
-UNKNOWN_PENALTY under the least score, and is written as its bytes' pieces. As no piece has a marker behind another
+UNKNOWN_PENALTY under the least ordinary score, and is written as its bytes' pieces. As no piece has a marker behind another
 character (checked when the model is read), paths never cross into the next word: each word is segmented once, many
 words side by side, and kept for the worker's later tasks.
 
@@ -29,6 +29,8 @@ MARK = "▁"
 #: Fixed values of the model format: types of pieces.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNKNOWN_PENALTY = 10.0
+#: Scores at or under this mark pieces that are as good as never taken; they are no measure for unknown characters.
+NEVER = -1e8
 #: Words kept by a worker (in two generations), and the longest one kept.
 CACHED_WORDS, CACHED_CHARS = 500_000, 48
 
@@ -81,7 +83,7 @@ def read_model(path: str) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 def rank_scores(scores: np.ndarray) -> np.ndarray:
     """Log probabilities for a model that stores merge ranks (0, -1, -2, ...): the r-th piece has a share of 1 / (r + 1)."""
-    ranked = scores > -1e8
+    ranked = scores > NEVER
     norm = np.log(np.sum(1 / (1 - scores[ranked].astype(np.float64))))
     return np.where(ranked, -np.log(1 - np.where(ranked, scores, 0).astype(np.float64)) - norm, scores).astype(np.float32)
 
@@ -157,11 +159,11 @@ class Unigram:
             raise ValueError("a piece goes on past a space")
         self.trie = build_trie([pieces[i].encode() for i in found], found.tolist())
         self.deepest = max((len(pieces[i].encode()) for i in found), default=0)
-        normal = scores[types == NORMAL]
-        self.scores = scores.copy()
+        normal = scores[(types == NORMAL) & (scores > NEVER)].astype(np.float64)
+        self.scores = scores.astype(np.float64)
         own = types == USER_DEFINED
-        self.scores[own] = np.array([len(p.encode()) for p in pieces], np.float32)[own] * normal.max() - np.float32(0.1)
-        self.unknown = np.float32(normal.min() - np.float32(UNKNOWN_PENALTY))
+        self.scores[own] = np.array([len(p.encode()) for p in pieces])[own] * normal.max() - 0.1
+        self.unknown = float(normal.min()) - UNKNOWN_PENALTY
         self.byte_id = np.zeros(256, np.int64)
         self.text_of: list[bytes] = [p.replace(MARK, " ").encode() for p in pieces]
         for i in np.flatnonzero(types == BYTE).tolist():
@@ -195,7 +197,7 @@ class Unigram:
         head = (flat & 0xC0) != 0x80  # a character begins
         lead = flat
         chars = np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
-        best = np.full((n, width + 1), -np.inf, np.float32)
+        best = np.full((n, width + 1), -np.inf)
         best[:, 0] = 0
         came, piece = np.full((n, width + 1), -1, np.int32), np.full((n, width + 1), -1, np.int32)
         base, check, value = self.trie.base, self.trie.check, self.trie.value

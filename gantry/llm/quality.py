@@ -107,6 +107,14 @@ def statistics(df: DataFrame, names: set[str]) -> DataFrame:
     return _repeats(df) if "n_repeat_words" in names else df
 
 
+def _barrier() -> Column:
+    """A random number that a filter looks at, and with it all later filters, stays above the statistics.
+
+    Pushed below them, a filter would compute them anew for each of its uses.
+    """
+    return F.rand(0).alias("q_barrier")
+
+
 def order_rules(docs: DataFrame, text: str, rules: tuple[QualityRule, ...] = RULES, rows: int = SAMPLE_ROWS) -> tuple[QualityRule, ...]:
     """Rules by rejection per cost on a sample of at most `rows` rows.
 
@@ -138,7 +146,8 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text", rules: tup
     failed = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     df = df.withColumns({"base_failed": failed, "rejected_by": verdict(rules)})
     kept = ~F.col("base_failed") & F.col("rejected_by").isNull()
-    return df.select(F.col("q_key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "rejected_by")
+    out = df.select(F.col("q_key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "rejected_by", _barrier())
+    return out.where("q_barrier >= 0").drop("q_barrier")
 
 
 def keep(docs: DataFrame, text: str = "text", rules: tuple[QualityRule, ...] | None = None) -> DataFrame:
@@ -146,6 +155,5 @@ def keep(docs: DataFrame, text: str = "text", rules: tuple[QualityRule, ...] | N
     rules = order_rules(docs, text) if rules is None else rules
     names = {n for r in rules for n in r.needs}
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("q_row"), F.coalesce(docs[text], F.lit("")).alias("q_text"))
-    # The random number keeps the filter above the statistics: pushed below, it would compute them anew for each use.
-    judged = statistics(packed, names).select("q_row", verdict(rules).alias("q_rejected"), F.rand(0).alias("q_barrier"))
+    judged = statistics(packed, names).select("q_row", verdict(rules).alias("q_rejected"), _barrier())
     return judged.where("q_rejected IS NULL AND q_barrier >= 0").select("q_row.*")
