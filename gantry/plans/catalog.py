@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from gantry.plans import base, graphs, knowledge, rollups, scalars  # noqa: F401
+from gantry.plans import base, extra, graphs, knowledge, rollups, scalars  # noqa: F401
 
 QUERIES, ORACLES = base.QUERIES, base.ORACLES

@@ -102,11 +102,11 @@ def parent_box_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("confidence_rules", """SELECT id, CASE WHEN grp IS NOT NULL AND weight IS NOT NULL THEN 'HIGH' WHEN grp IS NOT NULL THEN 'LOW' ELSE 'LIKELY_BUG' END AS confidence,
-CASE WHEN grp IS NOT NULL AND weight IS NOT NULL THEN 'complete' WHEN grp IS NOT NULL THEN 'no_weight' WHEN kind LIKE '%COPPER%' THEN 'trench' WHEN kind LIKE '%STEEL%' THEN 'rack' ELSE 'unknown' END AS reason FROM ({OBJ})""")
+CASE WHEN grp IS NOT NULL AND weight IS NOT NULL THEN 'complete' WHEN grp IS NOT NULL THEN 'no_weight' WHEN name LIKE '%bolt%' THEN 'trench' WHEN name LIKE '%large%' THEN 'rack' ELSE 'unknown' END AS reason FROM ({OBJ})""")
 def confidence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped, weighed = F.col("grp").isNotNull(), F.col("weight").isNotNull()
     tier = F.when(grouped & weighed, "HIGH").when(grouped, "LOW").otherwise("LIKELY_BUG")
-    reason = F.when(grouped & weighed, "complete").when(grouped, "no_weight").when(F.col("kind").contains("COPPER"), "trench").when(F.col("kind").contains("STEEL"), "rack").otherwise("unknown")
+    reason = F.when(grouped & weighed, "complete").when(grouped, "no_weight").when(F.col("name").contains("bolt"), "trench").when(F.col("name").contains("large"), "rack").otherwise("unknown")
     return objects(spark, sf_dir).select("id", tier.alias("confidence"), reason.alias("reason"))
 
 
