@@ -28,6 +28,8 @@ from gantry.llm.common import durable, key_and_text, words_of
 WIDTH, SEED, BUDGET = 4, 42, 4
 #: Fingerprints in one trie before it is split, and node pairs or leaf pairs held at once.
 MOST_IN_TRIE, MOST_PAIRS = 20_000, 1 << 20
+#: Keys (of 8 bytes) that are broadcast at most.
+MOST_BROADCAST = 400_000
 
 
 def shingle_hashes(words: list[bytes], width: int = WIDTH, seed: int = SEED) -> np.ndarray:
@@ -155,12 +157,16 @@ def _leaf_pairs(al, ah, bl, bh, own, sizes) -> Iterator[tuple[np.ndarray, np.nda
 
 
 def links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """(a, b): forest edges over distinct fingerprints (column fp) whose components are those of all links within the budget."""
+    """(seed, a, b): forest edges over distinct fingerprints (columns seed, fp) whose components are those of all links within the budget.
+
+    Fingerprints link under their own seed only; without that column there is one seed, 0.
+    """
     cuts = blocks(budget)
+    fps = fps if "seed" in fps.columns else fps.withColumn("seed", F.lit(0))
     turned = [(F.shiftleft("fp", at).bitwiseOR(F.shiftrightunsigned("fp", 64 - at)) if at else F.col("fp")) for at, _ in cuts]
-    routes = fps.select(F.posexplode(F.array(*turned)).alias("block", "turned"))
-    value = F.expr("CASE block " + " ".join(f"WHEN {k} THEN shiftrightunsigned(turned, {64 - n})" for k, (_, n) in enumerate(cuts)) + " END")
-    routes = routes.withColumn("value", value)
+    routes = fps.select("seed", F.posexplode(F.array(*turned)).alias("at", "turned"))
+    value = F.expr("CASE at " + " ".join(f"WHEN {k} THEN shiftrightunsigned(turned, {64 - n})" for k, (_, n) in enumerate(cuts)) + " END")
+    routes = routes.withColumns({"value": value, "block": F.col("seed") * len(cuts) + F.col("at")})
     over = routes.groupBy("block", "value").count().where(F.col("count") > MOST_IN_TRIE)
     bits = F.least(F.lit(16), F.ceil(F.log2(F.col("count") / MOST_IN_TRIE)).cast("int") + 1)
     routes = routes.join(over.select("block", "value", bits.alias("bits")), ["block", "value"], "left").select("block", "turned", F.coalesce("bits", F.lit(0)).alias("bits"))
@@ -175,7 +181,7 @@ def links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
             for p in np.unique(bits).tolist():
                 at = bits == p
                 k, t = block[at], turned[at]
-                width = widths[k].astype(np.uint64)
+                width = widths[k % len(widths)].astype(np.uint64)
                 head = (t.view(np.uint64) >> (np.uint64(64) - width)).astype(np.int64)
                 sub = ((t.view(np.uint64) << width) >> np.uint64(64 - p)).astype(np.int64) if p else np.zeros(len(t), np.int64)
                 for m in masks[p] if masks else _masks(p, budget):
@@ -190,21 +196,23 @@ def links(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
             fp = t["turned"].to_numpy().view(np.uint64)
             change = np.any([np.diff(t[c].to_numpy()) != 0 for c in ("block", "bits", "lo", "hi")], axis=0) if len(fp) > 1 else np.zeros(0, bool)
             first = np.concatenate([[0], np.flatnonzero(change) + 1, [len(fp)]])
-            for k, (at, n) in enumerate(cuts):
+            for k in np.unique(block).tolist():
+                at, n = cuts[k % len(cuts)]
                 rows = np.flatnonzero(block == k)  # one run, as rows are sorted by block
-                if not len(rows):
-                    continue
                 bounds = first[(first >= rows[0]) & (first <= rows[-1] + 1)] - rows[0]
                 own = fp[rows[0] : rows[-1] + 1]
                 own = unsigned_order(own, bounds)
                 label = trie_links(own, bounds, n, budget)
-                moved = np.flatnonzero(label != np.arange(len(own)))
                 plain = rotated(own, (64 - at) % 64).view(np.int64)
-                yield pa.record_batch([pa.array(plain[moved]), pa.array(plain[label[moved]])], ["a", "b"])
+                head = plain.copy()  # of each component the least, so that other tries give the same edges
+                np.minimum.at(head, label, plain)
+                head = head[label]
+                moved = np.flatnonzero(head != plain)
+                yield pa.record_batch([pa.array(np.full(len(moved), k // len(cuts), np.int32)), pa.array(plain[moved]), pa.array(head[moved])], ["seed", "a", "b"])
 
     dealt = routes.mapInArrow(split, "block int, bits int, lo bigint, hi bigint, turned bigint")
     dealt = dealt.repartition("block", "bits", "lo", "hi").sortWithinPartitions("block", "bits", "lo", "hi", "turned")
-    return dealt.mapInArrow(walk, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(walk, "seed int, a bigint, b bigint").distinct()
 
 
 def _masks(p: int, budget: int) -> Iterator[int]:
@@ -248,21 +256,21 @@ def whole_groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[p
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node reachable over the edges (a, b), for every node that has one.
 
-    Least labels are passed along edges and then along labels (pointer jumping), so the rounds grow with the
-    logarithm of the longest path. Each round is written to the shared folder.
+    In each round every node goes to its least neighbour's own least neighbour, and edges are drawn between those
+    instead; edges inside one go. So the edges shrink from round to round, and each round is written to the shared folder.
     """
     both = durable(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
-    label = durable(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "labels")
+    label = None
     while True:
-        near = both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        low = label.join(near, label["node"] == near["a"]).select("node", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        low = durable(low, "labels")
-        jump = low.select(F.col("node").alias("at"), F.col("root").alias("further"))
-        new = low.join(jump, F.col("root") == F.col("at"), "left").select("node", "was", F.least("root", F.coalesce("further", "root")).alias("root"))
-        label = durable(new, "labels")
-        if label.where("root <> was").isEmpty():
-            return label.select("node", "root")
-        label = label.drop("was")
+        star = durable(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "stars")
+        up = star.select(F.col("node").alias("at"), F.col("root").alias("further"))
+        star = durable(star.join(up, star["root"] == up["at"], "left").select("node", F.coalesce("further", "root").alias("root")), "stars")
+        step = star.select(F.col("node").alias("was"), F.col("root").alias("now"))
+        label = star if label is None else durable(label.join(step, label["root"] == step["was"], "left").select("node", F.coalesce("now", "root").alias("root")), "labels")
+        near = both.join(step, both["a"] == step["was"]).select(F.col("now").alias("a"), "b")
+        both = durable(near.join(star, near["b"] == star["node"]).select("a", F.col("root").alias("b")).where("a <> b").distinct(), "edges")
+        if both.isEmpty():
+            return label
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, budget: int = BUDGET) -> DataFrame:
@@ -322,21 +330,19 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     plain = key_and_text(docs, key, text)
     made = durable(plain.mapInArrow(run, f"key {kind}, digest binary, prints array<bigint>"), "word-set-prints")
     nodes = durable(made.where("key IS NOT NULL").groupBy("digest").agg(F.min("key").alias("node"), F.first("prints").alias("prints")), "distinct-texts")
-    pairs = None
-    for k in range(seeds):
-        at = nodes.select("node", F.col("prints")[k].alias("fp"))
-        heads = durable(at.groupBy("fp").agg(F.min("node").alias("head")), "fingerprint-heads")
-        same = at.join(heads, "fp").select(F.col("head").alias("a"), F.col("node").alias("b"))
-        found = links(heads.select("fp"), budget)
-        far = found.join(heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(heads.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        own = same.unionByName(far)
-        pairs = own if pairs is None else pairs.unionByName(own)
+    at = nodes.select("node", F.posexplode("prints").alias("seed", "fp"))
+    heads = durable(at.groupBy("seed", "fp").agg(F.min("node").alias("head")), "fingerprint-heads")
+    same = at.join(heads, ["seed", "fp"]).select(F.col("head").alias("a"), F.col("node").alias("b"))
+    found = durable(links(heads.select("seed", "fp"), budget), "fingerprint-links")
+    one, other = heads.select("seed", F.col("fp").alias("a"), F.col("head").alias("x")), heads.select("seed", F.col("fp").alias("b"), F.col("head").alias("y"))
+    far = found.join(one, ["seed", "a"]).join(other, ["seed", "b"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = same.unionByName(far)
     pairs = durable(pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidate-pairs")
     # besides the forest's own edges: each document against the least of its candidates' component
     group = components(pairs)
     pairs = durable(pairs.union(group.where("node <> root").select("root", "node")).distinct(), "candidate-pairs")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("asked")).distinct()
-    texts = durable(plain.join(asked, plain["key"] == asked["asked"], "left_semi"), "candidate-texts")
+    texts = durable(among(plain, "key", asked, "left_semi"), "candidate-texts")
     left = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     whole = left.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
 
@@ -352,9 +358,24 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     return made.join(known, made["digest"] == known["known_digest"], "left").select(F.col("key").alias(key), "component")
 
 
+def among(df: DataFrame, key: str, keys: DataFrame, how: str) -> DataFrame:
+    """Rows of df whose key is (left_semi) or is not (left_anti) in the one column of keys.
+
+    The keys are counted: up to MOST_BROADCAST they are sent to all tasks and df stays where it is, beyond that both are shuffled.
+    """
+    keys = durable(keys.select(F.col(keys.columns[0]).alias("one_of_them")), "keys")
+    if keys.count() <= MOST_BROADCAST:
+        keys = F.broadcast(keys)
+    return df.join(keys, df[key] == F.col("one_of_them"), how)
+
+
 def keep_one(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:
     """The document with the least key of each component of found, with all its columns; of rows with one key, one. Null keys stay."""
-    stays = found.where(F.col(key) == F.col("component")).select(F.col(key).alias("stays_key")).distinct()
+    found = durable(found.select(F.col(key).alias("found_key"), "component"), "components")
+    gone = found.where("found_key <> component").select("found_key").distinct()
+    again = found.where("found_key IS NOT NULL").groupBy("found_key").agg(F.count("*").alias("n")).where("n > 1").select("found_key")
     packed = docs.select(docs[key].alias("row_key"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    once = packed.join(stays, packed["row_key"] == stays["stays_key"], "left_semi").groupBy("row_key").agg(F.first("row").alias("row"))
-    return once.select("row.*").unionByName(docs.where(docs[key].isNull()))
+    stays = among(packed, "row_key", gone, "left_anti")
+    once = among(stays, "row_key", again, "left_anti")
+    more = among(stays, "row_key", again, "left_semi").groupBy("row_key").agg(F.first("row").alias("row"))
+    return once.unionByName(more).select("row.*")
