@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -80,6 +81,15 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def give_back() -> None:
+    """Returns to the system what earlier tasks of this Python worker have freed."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches so that the strings of one column come to about `most` bytes; one longer row stands alone."""
     for b in batches:

@@ -28,11 +28,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gantry.llm.common import by_bytes, durable, key_and_text
+from gantry.llm.common import by_bytes, durable, give_back, key_and_text
 from gantry.llm.words import index_words, joined
 
 #: Words whose ids a worker keeps, and the longest word kept.
 CACHED_WORDS, CACHED_BYTES = 500_000, 64
+#: Bytes of text that are tokenized at once: more of them repeat more words, and take more memory.
+TEXT_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -145,6 +147,7 @@ class WordTokenizer:
         ends = {i for piece, i in self.of.get_vocab().items() if piece.endswith("</w>")}
         self.ends = np.zeros(self.of.get_vocab_size(), bool)
         self.ends[list(ends)] = True
+        self.most = CACHED_WORDS
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
@@ -194,7 +197,9 @@ class WordTokenizer:
             else:
                 other.append(w)
         out = self._singly(other)
-        ids = self._units(list(units))
+        # letters alone are a word too, and may be known as one
+        ids = {c: (self.known.get(c) or self.older.get(c)) for c in units}
+        ids |= self._units([c for c, x in ids.items() if x is None])
         tails = {b"": b""} | self._singly(list({tail for *_, tail in split} - {b""}))
         for w, core, tail in split:
             out[w] = ids[core] + tails[tail]
@@ -203,7 +208,7 @@ class WordTokenizer:
     def encode_all(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one behind the other, bounds of each row's) of a string column without nulls."""
         kinds, of, bounds = index_words(column)
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > self.most:
             self.known, self.older = {}, self.known
         known = self.known
         new = set(kinds).difference(known)
@@ -218,15 +223,17 @@ class WordTokenizer:
         return ids, upto[bounds]
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id", text: str = "text", text_bytes: int = TEXT_BYTES, cached: int = CACHED_WORDS) -> DataFrame:
     """(key, piece, start, length, ids_crc32, part, rank): documents as ids, an end id 0, cut at every `capacity` tokens.
 
     rank counts the pieces of one length within the task `part`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         words, part, seen = WordTokenizer.kept(tokenizer), TaskContext.get().partitionId(), {}
-        for b in (x for whole in batches for x in by_bytes([whole], "text")):
+        words.most = cached
+        for b in (x for whole in batches for x in by_bytes([whole], "text", text_bytes)):
             at, rows = [], []
             ids, bounds = words.encode_all(b.column("text"))
             for k, (a, z) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
@@ -246,9 +253,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, key: str = "doc_id",
     return key_and_text(docs, key, text).mapInArrow(run, f"key {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, rank bigint")
 
 
-def pack(docs: DataFrame, tokenizer: str, cap: Capacity = Capacity(), key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, cap: Capacity = Capacity(), key: str = "doc_id", text: str = "text", text_bytes: int = TEXT_BYTES, cached: int = CACHED_WORDS) -> DataFrame:
     """(key, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row."""
-    made = durable(pieces(docs, tokenizer, cap.tokens, key, text), "pieces")
+    made = durable(pieces(docs, tokenizer, cap.tokens, key, text, text_bytes, cached), "pieces")
     counts = made.groupBy("part", "length").agg(F.count("*").alias("n"))
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     layout = plan(histogram, cap)

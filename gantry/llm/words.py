@@ -43,6 +43,7 @@ def index_words(column: pa.Array, lower: bool = False) -> tuple[list[bytes], np.
     before[inner] = True
     after[inner - 1] = True
     starts, ends = np.flatnonzero(first & before), np.flatnonzero(last & after) + 1
+    del space, first, last, before, after
     bounds = np.searchsorted(starts, offsets)
     size = ends - starts
     eight = np.ndarray((n + 9,), "<u8", data, strides=(1,))
