@@ -30,6 +30,10 @@ WIDTH, SEED, BUDGET = 4, 42, 4
 MOST_IN_TRIE, MOST_PAIRS = 20_000, 1 << 20
 #: Keys (of 8 bytes) that are broadcast at most.
 MOST_BROADCAST = 400_000
+#: Shingles known as frequent at most, and in how many of 512 texts of a task one is met to be counted.
+MOST_FREQUENT, LEAST_MET = 1 << 17, 3
+#: Texts that share a leading shingle and are paired in one group.
+MOST_IN_GROUP = 5_000
 
 
 def shingle_hashes(words: list[bytes], width: int = WIDTH, seed: int = SEED) -> np.ndarray:
@@ -308,31 +312,133 @@ def similar(a: str | None, b: str | None, width: int, least: float) -> bool:
     return both >= least * (len(x) + len(y) - both)
 
 
+def text_id(words: list[bytes]) -> int:
+    """Texts with equal words are one; a signed 64-bit integer."""
+    return int.from_bytes(xxhash.xxh3_64_digest(b" ".join(words)), "big", signed=True)
+
+
+def shingle_set(words: list[bytes], width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of each run of `width` words, of all words if there are fewer; mixed from hashes of the words."""
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    k = min(width, len(words))
+    h = np.zeros(len(words) - k + 1 if k else 0, np.uint64)
+    for i in range(k):
+        h = (h ^ own[i : i + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return np.unique(h)
+
+
+def parity_bits(shingles: np.ndarray) -> bytes:
+    """A bit for each shingle or more (256 or a greater power of two), each the parity of its share of them.
+
+    Two sets differ in at least as many shingles as bits; the halves of a string, one upon the other, are that of half the bits.
+    """
+    n = max(8, int(len(shingles) - 1).bit_length()) if len(shingles) else 8
+    odd = np.bincount((shingles & np.uint64((1 << n) - 1)).astype(np.int64), minlength=1 << n) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(bits: bytes, size: int) -> int:
+    """The parity bits as a number of `size` bytes."""
+    while len(bits) > size:
+        half = len(bits) // 2
+        bits = (int.from_bytes(bits[:half], "big") ^ int.from_bytes(bits[half:], "big")).to_bytes(half, "big")
+    return int.from_bytes(bits, "big")
+
+
+def may_differ_by(a: bytes, b: bytes) -> int:
+    """The fewest shingles in which two sets with these parity bits differ."""
+    size = min(len(a), len(b))
+    return (folded(a, size) ^ folded(b, size)).bit_count()
+
+
+def least_common(sizes: np.ndarray | int, similarity: float) -> np.ndarray:
+    """Of two sets with `sizes` members together, the fewest they share at that Jaccard similarity."""
+    return np.ceil(sizes * (similarity / (1 + similarity)) - 1e-9).astype(np.int64)
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, seeds: int = 4, budget: int = BUDGET) -> DataFrame:
     """(key, component): documents linked by a shingle similarity of `similarity` or more; component is the least key.
 
-    Candidates are pairs whose word-set fingerprints link at `budget` bits under one of the seeds (the trie self-join
-    above, once a seed); each candidate is then held against the shingles of both texts, so no unlike pair is linked.
-    Texts with equal words are one document here. A link that no seed finds as a candidate is missed: at a similarity
-    of 0.8 about a quarter of the pairs, hardly any from 0.85 on.
+    First the trie self-join above, once a seed, over word-set fingerprints: what it links within `budget` bits and the
+    shingles confirm is joined, so that large clusters are one before pairs are made. Then every other pair that can be
+    so similar: two such sets of n shingles or more share one among the first n - ceil(similarity * n) + 1 of each in any
+    order common to all (rare shingles first), so no link is missed. Pairs inside one cluster are left out, as are those
+    whose sizes, places or parity bits prove them unlike; each pair left is held against the shingles of both texts.
+    Texts with equal words are one document here.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of texts, and among them rows of shingles that a task meets in several texts, with their counts."""
+        held: list[np.ndarray] = []
+
+        def counted(kind: pa.DataType) -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            found, n = found[n >= LEAST_MET].view(np.int64), n[n >= LEAST_MET]
+            held.clear()
+            none = [pa.nulls(len(n), t) for t in (kind, pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary())]
+            return pa.record_batch([*none, pa.array(found), pa.array(n)], names)
+
+        kind_of = None
         for b in batches:
-            digests, prints = [], []
+            kind_of = b.column("key").type
+            ids, prints, sizes, bits = [], [], [], []
             for t in b.column("text"):
                 words = words_of(t.as_py())
-                digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
+                shingles = shingle_set(words, width)
+                held.append(shingles)
+                ids.append(text_id(words))
                 prints.append(np.array(word_set_prints(words, seeds), np.uint64).view(np.int64).tolist())
-            yield pa.record_batch([b.column("key"), pa.array(digests, pa.binary()), pa.array(prints, pa.list_(pa.int64()))], ["key", "digest", "prints"])
-
+                sizes.append(len(shingles))
+                bits.append(parity_bits(shingles))
+                if len(held) == 512:
+                    yield counted(kind_of)
+            none = [pa.nulls(len(ids), pa.int64())] * 2
+            yield pa.record_batch([b.column("key"), pa.array(ids, pa.int64()), pa.array(prints, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), *none], names)
+        if held:
+            yield counted(kind_of)
+
+    names = ["key", "id", "prints", "size", "bits", "shingle", "met"]
     kind = docs.schema[key].dataType.simpleString()
     plain = key_and_text(docs, key, text)
-    made = durable(plain.mapInArrow(run, f"key {kind}, digest binary, prints array<bigint>"), "word-set-prints")
-    nodes = durable(made.where("key IS NOT NULL").groupBy("digest").agg(F.min("key").alias("node"), F.first("prints").alias("prints")), "distinct-texts")
-    at = nodes.select("node", F.posexplode("prints").alias("seed", "fp"))
-    heads = durable(at.groupBy("seed", "fp").agg(F.min("node").alias("head")), "fingerprint-heads")
-    same = at.join(heads, ["seed", "fp"]).select(F.col("head").alias("a"), F.col("node").alias("b"))
+    seen = durable(plain.mapInArrow(run, f"key {kind}, id bigint, prints array<bigint>, size bigint, bits binary, shingle bigint, met bigint"), "word-set-prints")
+    made = seen.where("id IS NOT NULL").select("key", "id", "prints", "size", "bits")
+    nodes = made.where("key IS NOT NULL").groupBy("id").agg(F.min("key").alias("node"), F.first("prints").alias("prints"), F.first("size").alias("size"), F.first("bits").alias("bits"))
+    nodes = durable(nodes, "distinct-texts")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of text ids that are similar."""
+
+        def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                sizes = b.column("size_a").to_numpy() + b.column("size_b").to_numpy()
+                most = (sizes - 2 * least_common(sizes, similarity)).tolist()
+                keep = [may_differ_by(x.as_py(), y.as_py()) <= m for x, y, m in zip(b.column("bits_a"), b.column("bits_b"), most, strict=True)]
+                yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.record_batch([pa.array([text_id(words_of(t.as_py())) for t in b.column("text")], pa.int64()), b.column("text")], ["id", "text"])
+
+        def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                keep = [similar(x.as_py(), y.as_py(), width, similarity) for x, y in zip(b.column("text_a"), b.column("text_b"), strict=True)]
+                yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+        side = nodes.select("id", "size", "bits")
+        sized = pairs.join(side.withColumnsRenamed({"id": "a", "size": "size_a", "bits": "bits_a"}), "a").join(side.withColumnsRenamed({"id": "b", "size": "size_b", "bits": "bits_b"}), "b")
+        pairs = durable(sized.mapInArrow(possible, "a bigint, b bigint"), "possible-pairs")
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        asked = asked.join(nodes.select("id", "node"), "id").select("node").distinct()
+        texts = among(plain, "key", asked, "left_semi").mapInArrow(named, "id bigint, text string")
+        texts = durable(texts.groupBy("id").agg(F.first("text").alias("text")), "candidate-texts")
+        left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+        whole = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
+        return durable(whole.mapInArrow(check, "a bigint, b bigint"), "near-copy-links")
+
+    at = nodes.select("id", F.posexplode("prints").alias("seed", "fp"))
+    heads = durable(at.groupBy("seed", "fp").agg(F.min("id").alias("head")), "fingerprint-heads")
+    same = at.join(heads, ["seed", "fp"]).select(F.col("head").alias("a"), F.col("id").alias("b"))
     found = durable(links(heads.select("seed", "fp"), budget), "fingerprint-links")
     one, other = heads.select("seed", F.col("fp").alias("a"), F.col("head").alias("x")), heads.select("seed", F.col("fp").alias("b"), F.col("head").alias("y"))
     far = found.join(one, ["seed", "a"]).join(other, ["seed", "b"]).select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -341,21 +447,98 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     # besides the forest's own edges: each document against the least of its candidates' component
     group = components(pairs)
     pairs = durable(pairs.union(group.where("node <> root").select("root", "node")).distinct(), "candidate-pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("asked")).distinct()
-    texts = durable(among(plain, "key", asked, "left_semi"), "candidate-texts")
-    left = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    whole = left.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    early = confirmed(pairs)
+
+    known = components(early).withColumnRenamed("node", "linked")
+    known = nodes.join(known, F.col("id") == F.col("linked"), "left").select("id", "size", "bits", F.coalesce("root", "id").alias("root"))
+    met = seen.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("met").alias("met")).orderBy(F.desc("met"), "shingle").limit(MOST_FREQUENT)
+    again = made.join(nodes.select("id", "node"), "id").where("key <> node").select("key").distinct()
+    again = again.join(nodes.select(F.col("node").alias("key")), "key", "left_anti")
+    shared = shared_shingles(among(plain.where("key IS NOT NULL"), "key", again, "left_anti"), met, width, similarity)
+    late = confirmed(durable(possible_pairs(shared, known, similarity), "candidate-pairs"))
+
+    roots = components(early.unionByName(late))
+    of = nodes.select("id", "node").join(roots.withColumnRenamed("node", "linked"), F.col("id") == F.col("linked"), "left").select("id", "node", F.coalesce("root", "id").alias("root"))
+    least = of.groupBy("root").agg(F.min("node").alias("component"))
+    of = durable(of.join(least, "root").select(F.col("id").alias("known_id"), "component"), "near-copy-components")
+    return made.join(of, made["id"] == of["known_id"], "left").select(F.col("key").alias(key), "component")
+
+
+def shared_shingles(texts: DataFrame, met: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(shingle, id, place): the leading shingles of each text that lead in another text too. Those of met come last, the rest go by hash."""
+    often = met.toArrow()
+    names, counts = often.column("shingle").to_numpy().view(np.uint64), often.column("met").to_numpy()
+    names, counts = names[by := np.argsort(names)], np.append(counts[by], 0)
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = [similar(x.as_py(), y.as_py(), width, similarity) for x, y in zip(b.column("text_a"), b.column("text_b"), strict=True)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    linked = durable(whole.mapInArrow(check, f"a {kind}, b {kind}").distinct(), "near-copy-links")
-    roots = components(linked)
-    known = nodes.select("digest", "node").join(roots.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left").select(F.col("digest").alias("known_digest"), F.coalesce("root", "node").alias("component"))
-    known = durable(known, "near-copy-components")
-    return made.join(known, made["digest"] == known["known_digest"], "left").select(F.col("key").alias(key), "component")
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for t in b.column("text"):
+                words = words_of(t.as_py())
+                own = shingle_set(words, width)
+                if not len(own):
+                    continue
+                if len(names):
+                    at = np.searchsorted(names, own)
+                    at[names[np.minimum(at, len(names) - 1)] != own] = len(names)
+                    own = own[np.argsort(counts[at], kind="stable")]
+                n = len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1
+                out.append((own[:n].view(np.int64), np.full(n, text_id(words)), np.arange(n)))
+            if out:
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["shingle", "id", "place"])
+
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["shingle"]):
+            like = np.diff(t["shingle"].to_numpy()) == 0
+            keep = np.concatenate([[False], like]) | np.concatenate([like, [False]])
+            yield from t.filter(pa.array(keep)).combine_chunks().to_batches()
+
+    form = "shingle bigint, id bigint, place bigint"
+    leading = texts.mapInArrow(lead, form).repartition("shingle").sortWithinPartitions("shingle")
+    return durable(leading.mapInArrow(common, form), "shared-shingles")
+
+
+def possible_pairs(shared: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of text ids, a < b, under different roots of known (id, size, bits, root), that share a leading shingle and may be similar.
+
+    A shingle with over MOST_IN_GROUP texts is split into blocks, and each pair of blocks is a group of its own.
+    """
+    over = shared.groupBy("shingle").count().where(F.col("count") > MOST_IN_GROUP)
+    rows = shared.join(over.select("shingle", F.ceil(F.col("count") / MOST_IN_GROUP).alias("parts")), "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    rows = rows.withColumn("part", F.pmod("id", "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    rows = rows.select("shingle", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "id", "place").join(known, "id")
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = ["shingle", "lo", "hi"]
+        for t in whole_groups(batches, by):
+            part, own, place, size, root = (t[c].to_numpy() for c in ("part", "id", "place", "size", "root"))
+            inside = t["lo"].to_numpy() == t["hi"].to_numpy()
+            short = b"".join(folded(x.as_py(), 32).to_bytes(32, "big") for x in t["bits"])
+            bits = np.frombuffer(short, np.uint64).reshape(-1, 4)
+            change = np.any([np.diff(t[c].to_numpy()) != 0 for c in by], axis=0) if len(own) > 1 else np.zeros(0, bool)
+            ends = np.append(np.flatnonzero(change) + 1, len(own))
+            after = ends[np.searchsorted(ends, np.arange(len(own)), "right")] - np.arange(len(own)) - 1
+            upto = np.cumsum(after)
+            start = 0
+            while start < len(own):
+                stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + MOST_PAIRS, "right")))
+                n = after[start:stop]
+                i = np.repeat(np.arange(start, stop), n)
+                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+                start = stop
+                fine = (root[i] != root[j]) & (inside[i] | (part[i] != part[j]))
+                i, j = i[fine], j[fine]
+                least = least_common(size[i] + size[j], similarity)
+                # the first shared shingle and all after it are enough only if no set ends before
+                fine = (np.minimum(size[i], size[j]) >= least) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= least)
+                i, j, least = i[fine], j[fine], least[fine]
+                fine = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= size[i] + size[j] - 2 * least
+                a, b = own[i[fine]], own[j[fine]]
+                two = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+                yield pa.record_batch([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
+
+    rows = rows.repartition("shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi")
+    return rows.mapInArrow(pair, "a bigint, b bigint").distinct()
 
 
 def among(df: DataFrame, key: str, keys: DataFrame, how: str) -> DataFrame:

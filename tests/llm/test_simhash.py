@@ -95,3 +95,37 @@ def test_near_copies(spark, odd, none):
     left = [r["doc_id"] for r in simhash.keep_one(odd, simhash.near_copies(odd)).collect()]
     assert sorted(left, key=lambda x: x or 0) == [None, 1, 3, 6, 7, 9]
     assert simhash.keep_one(none, simhash.near_copies(none)).collect() == []
+
+
+def jaccard(a, b, width=5):
+    x, y = ({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def copies(rng, source):
+    """Cut, appended and scattered copies of words, around a similarity of 0.8."""
+    n = len(source)
+    for share in (0.1, 0.14, 0.19, 0.21):
+        at = int(rng.integers(0, n - int(share * n)))
+        yield source[:at] + source[at + int(share * n) :]
+        yield source + [f"new{rng.integers(1e9)}" for _ in range(int(share * n * 1.2))]
+        other = source.copy()
+        for k in rng.choice(n, max(1, int(share * n / 10)), replace=False):
+            other[k] = f"new{rng.integers(1e9)}"
+        yield other
+
+
+@pytest.mark.parametrize("most", [5_000, 3])
+def test_near_copies_equal_all_pairs(spark, most, monkeypatch):
+    """Every pair of similarity 0.8 is found, also where shingles with many texts are split."""
+    monkeypatch.setattr(simhash, "MOST_IN_GROUP", most)
+    rng = np.random.default_rng(11)
+    line = [f"license{i}" for i in range(60)]
+    texts = []
+    for n in (100, 300, 1000) * 3:
+        source = [f"w{x}" for x in rng.zipf(1.3, n) % 50_000] + line
+        texts += [source, *copies(rng, source)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    assert len(pairs) > 100
+    assert [c for _, c in sorted(simhash.near_copies(docs).collect())] == roots(len(texts), pairs)
