@@ -129,3 +129,13 @@ def test_near_copies_equal_all_pairs(spark, most, monkeypatch):
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
     assert len(pairs) > 100
     assert [c for _, c in sorted(simhash.near_copies(docs).collect())] == roots(len(texts), pairs)
+
+
+def test_copies_beside_an_unlike_text_are_found(spark, monkeypatch):
+    """All fingerprints agree, so that the forest holds each text against one unlike text only."""
+    monkeypatch.setattr(simhash, "word_set_prints", lambda words, seeds: [0] * seeds)
+    unlike = [[f"u{k}-{i}" for i in range(90)] for k in range(6)]
+    copy = [f"w{i}" for i in range(200)]
+    texts = [*unlike, copy, copy[:180]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    assert dict(simhash.near_copies(docs).collect()) == {i: min(i, 6) for i in range(8)}
