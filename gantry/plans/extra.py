@@ -64,8 +64,8 @@ def nearest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("removal_effect")
 def removal_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Components of the sparse graph before and after each class is taken out."""
-    o, e = objects(spark, sf_dir), parts(spark, sf_dir)
+    """Components of the touching objects after each class is taken out."""
+    o, e = objects(spark, sf_dir), graph.cut(edges(spark, sf_dir).select("src", "dst"))
     out = None
     for cls in ("LARGE", "PROMO"):
         gone = o.where(F.col("cls") == cls).select(F.col("id").alias("gone"))

@@ -125,8 +125,11 @@ def corrosion(spark: SparkSession, sf_dir: str) -> DataFrame:
 w(device, id) AS (SELECT v.id, e.dst FROM v JOIN e ON e.src = v.id WHERE e.dst NOT IN (SELECT id FROM v) UNION SELECT w.device, e.dst FROM w JOIN e ON e.src = w.id WHERE e.dst NOT IN (SELECT id FROM v))
 SELECT v.id, count(w.id) AS section FROM v LEFT JOIN w ON w.device = v.id GROUP BY v.id""")
 def isolation_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sections(objects(spark, sf_dir), parts(spark, sf_dir))
+
+
+def _sections(o: DataFrame, e: DataFrame) -> DataFrame:
     """The objects a device closes off: sizes of the distinct components, without devices, that it touches."""
-    o, e = objects(spark, sf_dir), parts(spark, sf_dir)
     device, rest = o.where("size = 7").select("id"), o.where("size <> 7")
     gone = device.select(F.col("id").alias("gone"))
     plain = e.join(gone, e["src"] == F.col("gone"), "left_anti").join(gone, F.col("dst") == F.col("gone"), "left_anti")
@@ -215,15 +218,48 @@ def zone_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.where("za <> zb").groupBy(F.col("za").alias("src"), F.col("zb").alias("dst")).agg(F.count("*").alias("n"))
 
 
+def _touching(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edges(spark, sf_dir).select("src", "dst")
+
+
+# the same measures over all touching objects; those on the sparse graph keep their SQL
+
+
+@query("touch_clustering")
+def touch_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.clustering(objects(spark, sf_dir), graph.cut(_touching(spark, sf_dir)))
+
+
+@query("touch_components")
+def touch_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.components(objects(spark, sf_dir), _touching(spark, sf_dir))
+
+
+@query("touch_isolation_sections")
+def touch_isolation_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sections(objects(spark, sf_dir), graph.cut(_touching(spark, sf_dir)))
+
+
+@query("touch_neighbors_1hop")
+def touch_neighbors_1hop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, neighbor) of all objects."""
+    return rel.symmetric_closure(_touching(spark, sf_dir), "src", "dst").select(F.col("src").alias("id"), F.col("dst").alias("neighbor"))
+
+
+@query("touch_precedence_dag")
+def touch_precedence_dag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.precedence(_ranked(spark, sf_dir), _touching(spark, sf_dir))
+
+
 @query("longest_chain")
 def longest_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, depth, before) of the precedence graph; its depths are the levels of a topological order."""
-    return graph.longest_path(precedence_dag(spark, sf_dir).select("src", "dst"))
+    """(id, depth, before) of the precedence graph of all touching objects; its depths are the levels of a topological order."""
+    return graph.longest_path(graph.cut(touch_precedence_dag(spark, sf_dir).select("src", "dst")))
 
 
 @query("louvain_zones")
 def louvain_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.zones(objects(spark, sf_dir), parts(spark, sf_dir))
+    return graph.zones(objects(spark, sf_dir), _touching(spark, sf_dir))
 
 
 @query("hierarchy_closure", "SELECT a.conv_id, a.turn AS node, b.turn AS ancestor, a.turn - b.turn AS depth FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn < a.turn")
