@@ -357,6 +357,14 @@ def least_common(sizes: np.ndarray | int, similarity: float) -> np.ndarray:
     return np.ceil(sizes * (similarity / (1 + similarity)) - 1e-9).astype(np.int64)
 
 
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links with the same components as a-b, at most one a node."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    label = root_labels(len(nodes), at[: len(a)], at[len(a) :])
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[label[moved]], nodes[moved]
+
+
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, seeds: int = 4, budget: int = BUDGET) -> DataFrame:
     """(key, component): documents linked by a shingle similarity of `similarity` or more; component is the least key.
 
@@ -421,9 +429,15 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
                 yield pa.record_batch([pa.array([text_id(words_of(t.as_py())) for t in b.column("text")], pa.int64()), b.column("text")], ["id", "text"])
 
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                keep = [similar(x.as_py(), y.as_py(), width, similarity) for x, y in zip(b.column("text_a"), b.column("text_b"), strict=True)]
-                yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            """Of the links that hold, a spanning forest for each task: they are certain, so it has the same components."""
+            a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            for batch in batches:
+                keep = np.array([similar(x.as_py(), y.as_py(), width, similarity) for x, y in zip(batch.column("text_a"), batch.column("text_b"), strict=True)], bool)
+                a, b = forest(np.append(a, batch.column("a").to_numpy()[keep]), np.append(b, batch.column("b").to_numpy()[keep]))
+                if len(a) > MOST_PAIRS:
+                    yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
+                    a, b = a[:0], b[:0]
+            yield pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
         side = nodes.select("id", "size", "bits")
         sized = pairs.join(side.withColumnsRenamed({"id": "a", "size": "size_a", "bits": "bits_a"}), "a").join(side.withColumnsRenamed({"id": "b", "size": "size_b", "bits": "bits_b"}), "b")
@@ -521,7 +535,7 @@ def possible_pairs(shared: DataFrame, known: DataFrame, similarity: float) -> Da
             upto = np.cumsum(after)
             start = 0
             while start < len(own):
-                stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + MOST_PAIRS, "right")))
+                stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + (MOST_PAIRS >> 3), "right")))
                 n = after[start:stop]
                 i = np.repeat(np.arange(start, stop), n)
                 j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)

@@ -139,3 +139,10 @@ def test_copies_beside_an_unlike_text_are_found(spark, monkeypatch):
     texts = [*unlike, copy, copy[:180]]
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
     assert dict(simhash.near_copies(docs).collect()) == {i: min(i, 6) for i in range(8)}
+
+
+def test_forest_keeps_components():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 60, 50), rng.integers(0, 60, 50)
+    x, y = simhash.forest(a, b)
+    assert len(x) < 50 and roots(60, zip(a, b, strict=True)) == roots(60, zip(x, y, strict=True))
