@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade over native text statistics.
 
-Rules run in the order of rejection per cost, both estimated on a bounded sample; a row that one rule rejects never
-reaches the next. The order changes the time and the name in ``rejected_by`` only, never ``kept``.
+Rules are looked at in the order of rejection per cost, both estimated on a bounded sample; the statistics of all rules
+are computed for every row before. The order changes the name in ``rejected_by`` only, never ``kept``.
 
 A null text counts as empty and fails; ties and repeated rows are judged each; an empty table gives an empty result;
 other columns are ignored or, in ``keep``, passed through untouched.
