@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -27,12 +29,14 @@ BATCH_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
+    """The folder that all executors see: spark.checkpoint.dir, or a temporary one where it is unset and the master is local (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isDefined():
             return jsc.getCheckpointDir().get()
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster, name a folder there that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="gantry-")
         spark.sparkContext.setCheckpointDir(found)
         spark.conf.set("spark.checkpoint.dir", found)
@@ -81,6 +85,12 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def shelf(name: str) -> dict:
+    """A dictionary of this worker process that outlives a task: this package travels with each task and is made anew there."""
+    held = sys.modules.setdefault("_gantry_shelf", types.ModuleType("_gantry_shelf"))
+    return vars(held).setdefault(name, {})
+
+
 def give_back() -> None:
     """Returns to the system what earlier tasks of this Python worker have freed."""
     pa.default_memory_pool().release_unused()

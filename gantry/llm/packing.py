@@ -10,8 +10,10 @@ A bin's residual is a vector: tokens, documents and attention cost (the sum of s
 only where it fits in every dimension; among those bins the residual norm after placing it (each dimension as a share
 of its capacity, weighted) is least, or the weighted dot product of piece and residual is greatest.
 
-Null and empty texts have one token, the end. Repeated rows are packed each. An empty table gives an empty result.
-Columns other than key and text are ignored.
+Null and empty texts have one token, the end. Repeated rows, and rows with one key, are packed each; among pieces of
+one length any may go to any of their places. An empty table gives an empty result. Columns other than key and text
+are ignored. A very long text is tokenized alone and cut: a task holds its words and ids at once, some twenty bytes for
+each of its own.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gantry.llm.common import by_bytes, durable, give_back, key_and_text
+from gantry.llm.common import by_bytes, durable, give_back, key_and_text, shelf
 from gantry.llm.words import index_words, joined
 
 #: Words whose ids a worker keeps, and the longest word kept.
@@ -154,9 +156,7 @@ class WordTokenizer:
     @staticmethod
     def kept(path: str) -> WordTokenizer:
         """That of this worker process, if an earlier task has made one."""
-        import tokenizers
-
-        found = vars(tokenizers).setdefault("_kept_by_path", {})
+        found = shelf("word_tokenizers")
         if path not in found:
             found[path] = WordTokenizer(path)
         return found[path]

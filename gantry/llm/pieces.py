@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gantry.llm.common import by_bytes, key_and_text
+from gantry.llm.common import by_bytes, key_and_text, shelf
 
 MARK = "▁"
 #: Fixed values of the model format: types of pieces.
@@ -289,9 +289,7 @@ def _units(text: str | None) -> list[str]:
 
 def kept_model(path: str, scores: str) -> Unigram:
     """That of this worker process, if an earlier task has made one."""
-    import sentencepiece  # the holder of what a worker keeps; its own encoder is not used
-
-    found = vars(sentencepiece).setdefault("_kept_by_path", {})
+    found = shelf("unigram_models")
     if (path, scores) not in found:
         pieces, stored, types = read_model(path)
         found[path, scores] = Unigram(pieces, rank_scores(stored) if scores == "ranks" else stored, types)

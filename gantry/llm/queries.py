@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,12 +102,8 @@ QUERIES["op2_simhash"] = op2_simhash
 
 # 10: best-fit packing --------------------------------------------------------------------------------------------
 
-#: Where the public tokenizers' files are.
-TOKENIZERS = "/opt/tokenizers"
-
-
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES["op10_packing"] = op10_packing
@@ -169,7 +166,7 @@ QUERIES["op1_lm_scoring"] = op1_lm_scoring
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", ids=False)
+    return pieces.encode(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ids=False)
 
 
 QUERIES["op3_sentencepiece"] = op3_sentencepiece
@@ -179,7 +176,7 @@ QUERIES["op3_sentencepiece"] = op3_sentencepiece
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.counted(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return token_files.counted(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES["op4_token_counts"] = op4_token_counts
