@@ -1,7 +1,8 @@
 """URL filters: host-and-path rules, then a blocked Bloom filter with an exact join behind it. Native throughout.
 
 Nulls: a null url, or one without ``://``, has empty host and path, fits no rule and is allowed. Repeated rows are
-judged each; an empty table gives an empty result; other columns are ignored.
+judged each; an empty table gives an empty result; other columns are ignored, whatever their names. Of rules of one
+length that both fit, the first by name wins. A url of any length is one row's strings.
 """
 
 from __future__ import annotations
@@ -12,12 +13,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gantry.llm.common import ascii_lower
+from gantry.llm.common import ascii_lower, durable
 
 #: Lanes of 64 bits in a block; every key sets two bits in each.
 LANES = 4
 #: Keys a block is sized for, and the most blocks: the broadcast side has at most that many rows of 40 bytes.
-KEYS_PER_BLOCK, MOST_BLOCKS = 16, 1 << 15
+KEYS_PER_BLOCK, MOST_BLOCKS = 16, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -80,25 +81,27 @@ def bloom(listed: DataFrame, key: str, blocks: int) -> DataFrame:
 
 
 def blocks_for(keys: int) -> int:
-    """A power of two with about KEYS_PER_BLOCK keys a block, MOST_BLOCKS at most; past that more hits are false, none is lost."""
-    n = 1
+    """A power of two with about KEYS_PER_BLOCK keys a block, MOST_BLOCKS (40 MB) at most; past that more hits are false, none is lost."""
+    n = 64
     while n * KEYS_PER_BLOCK < keys and n < MOST_BLOCKS:
         n *= 2
     return n
 
 
-def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", listed_url: str = "url", blocks: int = MOST_BLOCKS) -> DataFrame:
+def filter_urls(pages: DataFrame, listed: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url", listed_url: str = "url", blocks: int | None = None) -> DataFrame:
     """(key, host, path, rule, verdict, possible_hit, listed) for each row of pages.
 
-    Only rows that the Bloom filter lets through, and that no rule decides, reach the exact join; it is a sort-merge
+    The filter is sized by the list's count unless `blocks` is given. Only rows that it lets through, and that no rule decides, reach the exact join; it is a sort-merge
     or hash join on the canonical url that adaptive execution splits where one url holds many rows.
     """
-    names = listed.select(canonical(listed[listed_url]).alias("canon")).where("canon <> ''").distinct()
+    names = durable(listed.select(canonical(listed[listed_url]).alias("canon")).where("canon <> ''").distinct(), "listed-urls")
+    blocks = blocks or blocks_for(names.count())
     seen = pages.select(pages[key].alias("key"), host_of(pages[url]).alias("host"), path_of(pages[url]).alias("path"), canonical(pages[url]).alias("canon"))
     seen = seen.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("block", _block(F.col("canon"), blocks))
     probed = seen.join(F.broadcast(bloom(names, "canon", blocks)), "block", "left")
     inside = reduce(Column.__and__, [F.col(f"lane{k}").bitwiseAND(m) == m for k, m in enumerate(_masks(F.col("canon")))])
     probed = probed.withColumn("possible_hit", F.coalesce(inside, F.lit(False)) & F.col("fit").isNull())
+    probed = durable(probed.select("key", "host", "path", "canon", "fit", "possible_hit"), "probed-urls")  # read twice, made once
 
     def out(df: DataFrame, is_listed: Column) -> DataFrame:
         verdict = F.coalesce(F.col("fit.verdict"), F.when(is_listed, "block").otherwise("allow"))
