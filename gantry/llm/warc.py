@@ -241,7 +241,7 @@ class WarcReader(DataSourceReader):
             store, root = open_fs(self.path)
             base = self.path.rstrip("/")
             infos = store.get_file_info(fs.FileSelector(root, recursive=False))
-            found = sorted((i.size, f"{base}/{i.base_name}") for i in infos if i.base_name.endswith((".warc.gz", ".warc")))
+            found = sorted((i.size, f"{base}/{i.base_name}") for i in infos if i.base_name.endswith(".warc.gz"))
         out: list[Files] = []
         held, size = [], 0
         for n, p in found:
@@ -335,7 +335,10 @@ def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", html: s
     """
     spark = pages.sparkSession
     bound_batches(spark)
-    records = read(spark, archive(pages, new_dir(spark, "warc"), key, url, html), payload=True)
+    files = archive(pages, new_dir(spark, "warc"), key, url, html)
+    # two scans: payloads are decoded for responses only, revisits are known by their headers
+    responses = read(spark, files, payload=True).where("record_type = 'response'")
+    records = responses.unionByName(read(spark, files).where("record_type = 'revisit'"))
     kind = pages.schema[key].dataType
     number = lambda c: F.regexp_extract(c, "^urn:page:(.*)$", 1)
     full = F.col("record_type") == "response"
