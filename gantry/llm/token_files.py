@@ -7,8 +7,10 @@ separators, greatest last separator so far) gives each block the tokens that wer
 its first document, so documents may run over any number of blocks.
 
 Empty documents count 0 tokens. Tokens behind the last separator are a document that is not closed. An empty file or
-folder gives no rows. In the round trip, null and empty texts have no tokens, repeated rows are written each, and
-columns other than key and text are ignored.
+folder gives no rows. A last odd byte of a file is half an id: it is not read and counts as nothing; block sizes are
+rounded down to whole ids. A document of any length runs over as many blocks as it needs. Files listed twice are
+counted once. In the round trip, null and empty texts have no tokens, repeated rows and rows of one
+key are written and counted each, and columns other than key and text are ignored.
 """
 
 from __future__ import annotations
@@ -76,6 +78,8 @@ def scan_block(ids: np.ndarray, separator: int) -> tuple[int, int, np.ndarray]:
 
 def count_tokens(files: DataFrame, separator: int = SEPARATOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(path, ordinal, n_tokens, closed) of files (path, bytes)."""
+    block_bytes = max(ITEM.itemsize, block_bytes // ITEM.itemsize * ITEM.itemsize)
+    files = files.distinct().select("path", (F.col("bytes") - F.col("bytes") % ITEM.itemsize).alias("bytes"))
     blocks = files.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(block_bytes).cast("bigint"))).alias("offset"))
     blocks = blocks.select("path", "offset", F.least(F.lit(block_bytes), F.col("bytes") - F.col("offset")).alias("size")).repartition("path", "offset")
 
