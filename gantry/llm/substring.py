@@ -10,10 +10,11 @@ for each of its distinct digests, once, in one packed row a bucket of digests, w
 answer lists the digests that one has. So a passage that a third of all documents share is asked for once a page, not
 once a document, and no task grows with it. Each page then cuts its own texts from the answers.
 
-Null texts stay null, empty ones empty; neither has chunks. Repeated rows: of rows with equal key and text, which one
-is first is settled by the page and the place in it, so one keeps its text. Ties on the key likewise. An empty table
-gives an empty result. All other columns pass through in the page, whatever their names. Null keys count as the
-greatest key.
+Null texts stay null, empty ones empty; neither has chunks. Repeated rows: of rows with equal key and text one keeps
+its text. Ties on the key are settled by the page (its bytes, not chance) and the place in it. An empty table gives an
+empty result. All other columns pass through in the page, whatever their names. Keys are whole numbers, and other types
+raise TypeError; null keys count as the greatest. A very long text is a page of its own, held whole with some tens of
+bytes for each of its words.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from gantry.llm.common import bound_batches, by_bytes, durable
 
@@ -111,7 +112,9 @@ def _pages(docs: DataFrame, key: str, text: str) -> DataFrame:
             table = pa.Table.from_batches(held).combine_chunks()
             with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_table(table)
-            return pa.record_batch([pa.array([uuid.uuid4().bytes]), pa.array([out.getvalue()], pa.binary())], ["page", "block"])
+            block = out.getvalue()
+            page = xxhash.xxh3_128_digest(block) + uuid.uuid4().bytes  # pages with equal rows may change places
+            return pa.record_batch([pa.array([page]), pa.array([block], pa.binary())], ["page", "block"])
 
         for b in batches:
             for part in by_bytes([b], text, PAGE_BYTES):
@@ -142,6 +145,8 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
 
     The key is a long (a document's number); the order of documents is its order.
     """
+    if not isinstance(docs.schema[key].dataType, IntegralType):
+        raise TypeError(f"{key} is {docs.schema[key].dataType.simpleString()}; keys must be whole numbers")
     bound_batches(docs.sparkSession)
     gear = gear_table()
     pages = durable(_pages(docs.select(key, text) if report else docs, key, text), "pages")
