@@ -1,12 +1,13 @@
 """Media columns: content-addressed payloads in tar shards.
 
 Each task writes its payloads into a tar shard of its own; an entry's name is the SHA-256 of the payload, and a
-payload that the task has written already is not written again, so of a group of copies each shard holds one. Rows
-carry digest, shard, offset and length. Metadata columns (format, width, height, bit depth) come from range reads of
+payload that the task knows to be written is not written again. Where tasks have stored one payload each, the digests
+(not the payloads) are brought together and all rows refer to one entry, the least by shard and offset; so equal
+payloads have one address, and the other entries are referred to by none. Rows carry digest, shard, offset and length. Metadata columns (format, width, height, bit depth) come from range reads of
 the entry's first HEADER_BYTES alone; features from a range read of the whole entry, decoded.
 
 A payload is the text in UTF-8, padded with spaces to a positive multiple of ROW_BYTES, and is stored as an 8-bit grey
-PNG of width ROW_BYTES, which is lossless. Null and empty texts give one row of spaces. Repeated rows and equal texts
+PNG of width ROW_BYTES, which is lossless. A very long text is one image, held whole by the tasks that write and read it. Null and empty texts give one row of spaces. Repeated rows and equal texts
 give equal values. An empty table gives an empty result. Columns other than key and text are ignored.
 """
 
@@ -184,5 +185,15 @@ def features(rows: DataFrame, folder: str) -> DataFrame:
 def media_columns(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Stores the payloads, then reads them back: a row for each row of docs."""
     folder = new_dir(docs.sparkSession, "media")
-    rows = durable(write_shards(docs, folder, key, text), "media-rows")
+    rows = addressed(durable(write_shards(docs, folder, key, text), "media-rows"))
     return features(metadata(rows, folder), folder).withColumnRenamed("key", key)
+
+
+def addressed(rows: DataFrame) -> DataFrame:
+    """rows with one (shard, offset, length) for each digest, dealt so that a task reads few shards from front to back."""
+    place = F.struct("shard", "offset", "length")
+    one = rows.groupBy("digest").agg(F.min(place).alias("place"), F.max(place).alias("last")).where("place <> last")
+    moved = durable(one.select(F.col("digest").alias("moved_digest"), "place"), "media-moved")
+    at = {c: F.coalesce(F.col("place")[c], F.col(c)) for c in ("shard", "offset", "length")}
+    named = rows.join(moved, rows["digest"] == moved["moved_digest"], "left").withColumns(at).select(rows.columns)
+    return named.repartitionByRange("shard", "offset", F.xxhash64("key")).sortWithinPartitions("shard", "offset")
