@@ -14,6 +14,7 @@ fingerprint and so a component. An empty table gives an empty result. Columns ot
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -32,8 +33,12 @@ MOST_IN_TRIE, MOST_PAIRS = 20_000, 1 << 20
 MOST_BROADCAST = 400_000
 #: Shingles known as frequent at most, and in how many of 512 texts of a task one is met to be counted.
 MOST_FREQUENT, LEAST_MET = 1 << 17, 3
-#: Texts that share a leading shingle and are paired in one group.
-MOST_IN_GROUP = 5_000
+#: Texts that share a leading shingle and are paired in one group, and pairs for each text up to which all leave the task.
+MOST_IN_GROUP, DENSE = 5_000, 2
+#: Texts and shingles in one part of a dense component.
+MOST_IN_BLOCK, MOST_SHINGLES = 2_000, 1 << 21
+#: Bytes of parity bits that go with a text's leading shingles.
+SHORT_BITS = 256
 
 
 def shingle_hashes(words: list[bytes], width: int = WIDTH, seed: int = SEED) -> np.ndarray:
@@ -373,7 +378,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     so similar: two such sets of n shingles or more share one among the first n - ceil(similarity * n) + 1 of each in any
     order common to all (rare shingles first), so no link is missed. Pairs inside one cluster are left out, as are those
     whose sizes, places or parity bits prove them unlike; each pair left is held against the shingles of both texts.
-    Texts with equal words are one document here.
+    Where candidates are dense (a template's many versions), whole components of candidates are compared inside tasks
+    and only a forest of the links found leaves them. Texts with equal words are one document here.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,10 +430,6 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
                 keep = [may_differ_by(x.as_py(), y.as_py()) <= m for x, y, m in zip(b.column("bits_a"), b.column("bits_b"), most, strict=True)]
                 yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-        def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                yield pa.record_batch([pa.array([text_id(words_of(t.as_py())) for t in b.column("text")], pa.int64()), b.column("text")], ["id", "text"])
-
         def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """Of the links that hold, a spanning forest for each task: they are certain, so it has the same components."""
             a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -442,14 +444,22 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
         side = nodes.select("id", "size", "bits")
         sized = pairs.join(side.withColumnsRenamed({"id": "a", "size": "size_a", "bits": "bits_a"}), "a").join(side.withColumnsRenamed({"id": "b", "size": "size_b", "bits": "bits_b"}), "b")
         pairs = durable(sized.mapInArrow(possible, "a bigint, b bigint"), "possible-pairs")
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        asked = asked.join(nodes.select("id", "node"), "id").select("node").distinct()
-        texts = among(plain, "key", asked, "left_semi").mapInArrow(named, "id bigint, text string")
-        texts = durable(texts.groupBy("id").agg(F.first("text").alias("text")), "candidate-texts")
+        texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         left = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
         whole = left.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
         return durable(whole.mapInArrow(check, "a bigint, b bigint"), "near-copy-links")
 
+    def texts_of(ids: DataFrame) -> DataFrame:
+        """(id, text) for each of the ids."""
+
+        def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield pa.record_batch([pa.array([text_id(words_of(t.as_py())) for t in b.column("text")], pa.int64()), b.column("text")], ["id", "text"])
+
+        asked = ids.join(nodes.select("id", "node"), "id").select("node").distinct()
+        found = among(plain, "key", asked, "left_semi").mapInArrow(named, "id bigint, text string")
+        return durable(found.groupBy("id").agg(F.first("text").alias("text")), "candidate-texts")
+
     at = nodes.select("id", F.posexplode("prints").alias("seed", "fp"))
     heads = durable(at.groupBy("seed", "fp").agg(F.min("id").alias("head")), "fingerprint-heads")
     same = at.join(heads, ["seed", "fp"]).select(F.col("head").alias("a"), F.col("id").alias("b"))
@@ -469,9 +479,21 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     again = made.join(nodes.select("id", "node"), "id").where("key <> node").select("key").distinct()
     again = again.join(nodes.select(F.col("node").alias("key")), "key", "left_anti")
     shared = shared_shingles(among(plain.where("key IS NOT NULL"), "key", again, "left_anti"), met, width, similarity)
-    late = confirmed(durable(possible_pairs(shared, known, similarity), "candidate-pairs"))
 
-    roots = components(early.unionByName(late))
+    def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bits = [x.as_py() for x in b.column("bits")]
+            bits = [folded(x, SHORT_BITS).to_bytes(SHORT_BITS, "big") if len(x) > SHORT_BITS else x for x in bits]
+            yield pa.record_batch([b.column("id"), b.column("size"), pa.array(bits, pa.binary()), b.column("root")], ["id", "size", "bits", "root"])
+
+    known = durable(known.select("id", "size", "bits", "root").mapInArrow(shortened, "id bigint, size bigint, bits binary, root bigint"), "known-texts")
+    late = durable(possible_pairs(shared, known, similarity), "candidate-pairs")
+    tight = late.where("dense").select("a", "b")
+    found = [early, confirmed(late.where("NOT dense").select("a", "b"))]
+    if not tight.isEmpty():
+        found.append(dense_links(tight, known, texts_of(tight.select(F.explode(F.array("a", "b")).alias("id")).distinct()), width, similarity))
+
+    roots = components(reduce(DataFrame.unionByName, found))
     of = nodes.select("id", "node").join(roots.withColumnRenamed("node", "linked"), F.col("id") == F.col("linked"), "left").select("id", "node", F.coalesce("root", "id").alias("root"))
     least = of.groupBy("root").agg(F.min("node").alias("component"))
     of = durable(of.join(least, "root").select(F.col("id").alias("known_id"), "component"), "near-copy-components")
@@ -513,46 +535,163 @@ def shared_shingles(texts: DataFrame, met: DataFrame, width: int, similarity: fl
 
 
 def possible_pairs(shared: DataFrame, known: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of text ids, a < b, under different roots of known (id, size, bits, root), that share a leading shingle and may be similar.
+    """(a, b, dense) of text ids under different roots of known (id, size, bits of SHORT_BITS bytes at most, root) that share a leading shingle and may be similar.
 
-    A shingle with over MOST_IN_GROUP texts is split into blocks, and each pair of blocks is a group of its own.
+    A shingle with over MOST_IN_GROUP texts is split into blocks, and each pair of blocks is a group of its own. Groups
+    with up to DENSE pairs a text give these (a < b, dense is false); of denser ones only a spanning forest leaves the
+    task (dense is true), and its components are compared inside tasks by dense_links: pairs never multiply.
     """
     over = shared.groupBy("shingle").count().where(F.col("count") > MOST_IN_GROUP)
     rows = shared.join(over.select("shingle", F.ceil(F.col("count") / MOST_IN_GROUP).alias("parts")), "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     rows = rows.withColumn("part", F.pmod("id", "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
     rows = rows.select("shingle", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "id", "place").join(known, "id")
+    by = ["shingle", "lo", "hi"]
+
+    def out(a: np.ndarray, b: np.ndarray, dense: bool) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(a), pa.array(b), pa.array(np.full(len(a), dense))], ["a", "b", "dense"])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = ["shingle", "lo", "hi"]
+        few, many = np.zeros((0, 2), np.int64), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        held = 0
+        for t in whole_groups(batches, by):
+            change = np.any([np.diff(t[c].to_numpy()) != 0 for c in by], axis=0) if t.num_rows > 1 else np.zeros(0, bool)
+            first = np.concatenate([[0], np.flatnonzero(change) + 1, [t.num_rows]])
+            own, group = t["id"].to_numpy(), np.repeat(np.arange(len(first) - 1), np.diff(first))
+            most = DENSE * np.diff(first)
+            met, label, sparse = np.zeros(len(most), np.int64), None, []
+            for i, j in steps(t, first, similarity):
+                met += np.bincount(group[i], minlength=len(met))
+                tight = (met > most)[group[i]]
+                if tight.any() or label is not None:
+                    # what a group has given before it proved dense goes into its forest too
+                    early = [(x[(met > most)[group[x]]], y[(met > most)[group[x]]]) for x, y in sparse]
+                    sparse = [(x[(met <= most)[group[x]]], y[(met <= most)[group[x]]]) for x, y in sparse]
+                    x, y = (np.concatenate(c) for c in zip(*early, (i[tight], j[tight]), strict=True))
+                    label = root_labels(len(own), x, y, label)
+                sparse.append((i[~tight], j[~tight]))
+            if sparse:
+                i, j = (np.concatenate(c) for c in zip(*sparse, strict=True))
+                few = np.concatenate([few, np.stack([np.minimum(own[i], own[j]), np.maximum(own[i], own[j])], axis=1)])
+            if label is not None:
+                moved = np.flatnonzero(label != np.arange(len(own)))
+                many = np.append(many[0], own[label[moved]]), np.append(many[1], own[moved])
+            if len(few) + len(many[0]) > max(1 << 16, 2 * held):
+                few, many = np.unique(few, axis=0), forest(*many)
+                held = len(few) + len(many[0])
+                if held > MOST_PAIRS >> 2:
+                    yield out(few[:, 0], few[:, 1], False)
+                    yield out(*many, True)
+                    few, many, held = few[:0], (many[0][:0], many[1][:0]), 0
+        few = np.unique(few, axis=0)
+        yield out(few[:, 0], few[:, 1], False)
+        yield out(*forest(*many), True)
+
+    rows = rows.repartition(*by).sortWithinPartitions(*by)
+    return rows.mapInArrow(pair, "a bigint, b bigint, dense boolean").distinct()
+
+
+def steps(t: pa.Table, first: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i < j) of rows of one group (bounds in first) that may be similar, made MOST_PAIRS / 8 at a time."""
+    part, place, size, root = (t[c].to_numpy() for c in ("part", "place", "size", "root"))
+    inside = t["lo"].to_numpy() == t["hi"].to_numpy()
+    length, levels = parity_levels(t["bits"])
+    after = np.repeat(first[1:], np.diff(first)) - np.arange(t.num_rows) - 1
+    upto = np.cumsum(after)
+    start = 0
+    while start < t.num_rows:
+        stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + (MOST_PAIRS >> 3), "right")))
+        n = after[start:stop]
+        i = np.repeat(np.arange(start, stop), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        start = stop
+        fine = (root[i] != root[j]) & (inside[i] | (part[i] != part[j]))
+        i, j = i[fine], j[fine]
+        least = least_common(size[i] + size[j], similarity)
+        # the first shared shingle and all after it are enough only if no set ends before
+        fine = (np.minimum(size[i], size[j]) >= least) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= least)
+        i, j, least = i[fine], j[fine], least[fine]
+        most = size[i] + size[j] - 2 * least
+        for n, bits in levels.items():  # the shortest parity bits first, for few pairs need longer ones
+            long = np.minimum(length[i], length[j]) >= n
+            fine = ~long
+            fine[long] = np.bitwise_count(bits[i[long]] ^ bits[j[long]]).sum(axis=1, dtype=np.int64) <= most[long]
+            i, j, most = i[fine], j[fine], most[fine]
+        yield i, j
+
+
+def parity_levels(column: pa.ChunkedArray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """(bytes of each row's parity bits, for each power of two from 32 the rows folded to it; rows shorter than that are 0)."""
+    raw = column.to_pylist()
+    length = np.fromiter(map(len, raw), np.int64, len(raw))
+    levels: dict[int, np.ndarray] = {}
+    n, held, at = int(length.max(initial=32)), np.zeros((0, 0), np.uint8), np.zeros(0, np.int64)
+    while n >= 32:
+        own = np.flatnonzero(length == n)
+        half = held.reshape(len(held), 2, n)[:, 0] ^ held.reshape(len(held), 2, n)[:, 1] if len(held) else np.zeros((0, n), np.uint8)
+        held, at = np.concatenate([half, np.frombuffer(b"".join(raw[k] for k in own.tolist()), np.uint8).reshape(-1, n)]), np.append(at, own)
+        levels[n] = np.zeros((len(raw), n // 8), np.uint64)
+        levels[n][at] = held.view(np.uint64)
+        n //= 2
+    return length, dict(reversed(levels.items()))
+
+
+def block_links(sets: list[np.ndarray], root: np.ndarray, part: np.ndarray, across: bool, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row, row) that join rows of different roots whenever their sets are similar; a forest, not all of them.
+
+    Each row is held against all later ones (of the other part, if across) at once: by size, by parity bits (four for
+    each shingle, so few unlike pairs stay), and then, where the two are not yet joined, by the sets themselves.
+    """
+    size = np.array([len(x) for x in sets], np.int64)
+    n = 1 << int(np.clip(int(max(1, 4 * np.median(size))).bit_length(), 8, 14))
+    bits = np.zeros((len(sets), n // 64), np.uint64)
+    for k, x in enumerate(sets):
+        odd = np.bincount((x & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+        bits[k] = np.packbits(odd.astype(np.uint8)).view(np.uint64)
+    _, label = np.unique(root, return_inverse=True)
+    a, b = [], []
+    for k in range(len(sets) - 1):
+        at = k + 1 + np.flatnonzero(label[k + 1 :] != label[k])
+        if across:
+            at = at[part[at] != part[k]]
+        least = least_common(size[k] + size[at], similarity)
+        fine = np.minimum(size[k], size[at]) >= least
+        at, least = at[fine], least[fine]
+        fine = np.bitwise_count(bits[at] ^ bits[k]).sum(axis=1, dtype=np.int64) <= size[k] + size[at] - 2 * least
+        for x, m in zip(at[fine].tolist(), least[fine].tolist(), strict=True):
+            if label[x] != label[k] and len(np.intersect1d(sets[k], sets[x], assume_unique=True)) >= m:
+                a.append(k)
+                b.append(x)
+                label[label == label[x]] = label[k]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def dense_links(edges: DataFrame, known: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(a, b): links of a forest between all similar texts of one component of the edges that are under different roots.
+
+    Components are dealt whole to tasks with their texts (id, text), each text once; over MOST_IN_BLOCK texts or
+    MOST_SHINGLES shingles they are split into parts, and each pair of parts is a group of its own.
+    """
+    at = components(edges).withColumnsRenamed({"node": "id", "root": "whole"}).join(known.select("id", "size", F.col("root")), "id")
+    parts = F.greatest(F.ceil(F.count("*") / MOST_IN_BLOCK), F.ceil(F.sum("size") / MOST_SHINGLES)).cast("bigint")
+    at = at.join(at.groupBy("whole").agg(parts.alias("parts")), "whole").withColumn("part", F.pmod(F.xxhash64("id"), "parts"))
+    at = at.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    rows = at.select("id", "root", "whole", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")).join(texts, "id")
+    by = ["whole", "lo", "hi"]
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, by):
-            part, own, place, size, root = (t[c].to_numpy() for c in ("part", "id", "place", "size", "root"))
-            inside = t["lo"].to_numpy() == t["hi"].to_numpy()
-            short = b"".join(folded(x.as_py(), 32).to_bytes(32, "big") for x in t["bits"])
-            bits = np.frombuffer(short, np.uint64).reshape(-1, 4)
-            change = np.any([np.diff(t[c].to_numpy()) != 0 for c in by], axis=0) if len(own) > 1 else np.zeros(0, bool)
-            ends = np.append(np.flatnonzero(change) + 1, len(own))
-            after = ends[np.searchsorted(ends, np.arange(len(own)), "right")] - np.arange(len(own)) - 1
-            upto = np.cumsum(after)
-            start = 0
-            while start < len(own):
-                stop = max(start + 1, int(np.searchsorted(upto, (upto[start - 1] if start else 0) + (MOST_PAIRS >> 3), "right")))
-                n = after[start:stop]
-                i = np.repeat(np.arange(start, stop), n)
-                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
-                start = stop
-                fine = (root[i] != root[j]) & (inside[i] | (part[i] != part[j]))
-                i, j = i[fine], j[fine]
-                least = least_common(size[i] + size[j], similarity)
-                # the first shared shingle and all after it are enough only if no set ends before
-                fine = (np.minimum(size[i], size[j]) >= least) & (np.minimum(size[i] - place[i], size[j] - place[j]) >= least)
-                i, j, least = i[fine], j[fine], least[fine]
-                fine = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= size[i] + size[j] - 2 * least
-                a, b = own[i[fine]], own[j[fine]]
-                two = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-                yield pa.record_batch([pa.array(two[:, 0]), pa.array(two[:, 1])], ["a", "b"])
-
-    rows = rows.repartition("shingle", "lo", "hi").sortWithinPartitions("shingle", "lo", "hi")
-    return rows.mapInArrow(pair, "a bigint, b bigint").distinct()
+            change = np.any([np.diff(t[c].to_numpy()) != 0 for c in by], axis=0) if t.num_rows > 1 else np.zeros(0, bool)
+            first = np.concatenate([[0], np.flatnonzero(change) + 1, [t.num_rows]]).tolist()
+            for i, j in zip(first, first[1:], strict=False):
+                g = t.slice(i, j - i)
+                sets = [shingle_set(words_of(x.as_py()), width) for x in g["text"]]
+                across = g["lo"][0].as_py() != g["hi"][0].as_py()
+                a, b = block_links(sets, g["root"].to_numpy(), g["part"].to_numpy(), across, similarity)
+                own = g["id"].to_numpy()
+                yield pa.record_batch([pa.array(own[a]), pa.array(own[b])], ["a", "b"])
+
+    dealt = rows.select(*by, "part", "id", "root", "text").repartition(*by).sortWithinPartitions(*by)
+    return durable(dealt.mapInArrow(hold, "a bigint, b bigint"), "dense-links")
 
 
 def among(df: DataFrame, key: str, keys: DataFrame, how: str) -> DataFrame:
