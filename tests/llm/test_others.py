@@ -3,6 +3,7 @@ import json
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from gantry.llm.queries import ORACLES, QUERIES, RULES
 from tests.llm.conftest import ROWS
 from tests.oracle import compare
 
-WORD, PIECE = "/opt/tokenizers/word_bpe_49k.json", "/opt/tokenizers/piece_bpe_32k.model"
+WORD, PIECE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -35,10 +36,10 @@ def test_quality_odd_rows(spark, odd, none):
     assert quality.measure(none).collect() == [] and quality.keep(none).collect() == []
 
 
-@pytest.mark.parametrize("packed", [1 << 15, 8])
-def test_repeated_words(spark, packed, monkeypatch):
-    """Both for short texts, and for those too long to pack hash and position in one number."""
-    monkeypatch.setattr(quality, "PACKED_WORDS", packed)
+@pytest.mark.parametrize("window", [quality.WINDOW_HASH, "shiftleft(xxhash64(q_words[i]), 62)"])
+def test_repeated_words(spark, window, monkeypatch):
+    """Also where the hashes of unlike windows meet."""
+    monkeypatch.setattr(quality, "WINDOW_HASH", window)
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice(list("abcd"), n)) for n in (1, 2, 3, 5, 12, 40, 90)]
     got = dict(quality.measure(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).select("doc_id", "n_repeat_words").collect())
@@ -48,6 +49,31 @@ def test_repeated_words(spark, packed, monkeypatch):
         assert got[i] == len({k + j for k, x in enumerate(windows) if windows.count(x) > 1 for j in range(3)})
 
 
+def test_cascade_skips_what_later_rules_need(spark):
+    """A row that the first rule rejects has null for all statistics that only later rules read."""
+    texts = spark.createDataFrame([("too short !!",), ("a b c " * 40,), (" ".join(f"w{i}" for i in range(80)),)], "q_text string")
+    rules = {r.name: r for r in quality.RULES}
+    order = tuple(rules[n] for n in ("few_words", "repeated_words", "exclamations", "repeated_lines"))
+    got = [r.asDict() for r in quality.cascade(texts, order).collect()]
+    assert [r["q_rejected"] for r in got] == ["few_words", "repeated_words", None]
+    late = ("n_repeat_words", "n_exclamations", "n_lines", "n_dup_lines")
+    assert [[r[c] is None for c in late] for r in got] == [[True] * 4, [False, True, True, True], [False] * 4]
+    plan = quality.keep(texts.withColumnRenamed("q_text", "text"), rules=order)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rules_in_order_of_rejection_per_cost(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    first = [r.name for r in quality.order_rules(docs, "text")]
+    again = [r.name for r in quality.order_rules(docs.repartition(7), "text")]
+    assert first == again and sorted(first) == sorted(r.name for r in quality.RULES)
+    # dear and cheap rules that both reject, and rules that never do
+    always = quality.QualityRule("always", "true", ("n_words",))
+    never = quality.QualityRule("never", "false", ("n_words",))
+    assert [r.name for r in quality.order_rules(docs, "text", (never, always))] == ["always", "never"]
+    assert first.index("few_words") < first.index("repeated_words")
+
+
 # url filters
 
 
