@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, computed and kept in the folder of spark.checkpoint.dir (a temporary one where it is unset, as in tests)."""
+    """df, computed and kept in the folder of spark.checkpoint.dir (a temporary one where it is unset and the master is local, as in tests)."""
     context = df.sparkSession.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
-        df.sparkSession.sparkContext.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gantry-"))
+        spark = df.sparkSession
+        found, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+        if not found and (not master.startswith("local") or master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster, name a folder there that all executors share")
+        spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="gantry-"))
     return df.checkpoint(eager=True)

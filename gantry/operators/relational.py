@@ -7,6 +7,11 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gantry.operators.durable import cut
+
+#: Bins of one round of a search for exact quantiles.
+BINS = 4096
+
 
 def canonical_pairs(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(src, dst) with src < dst, each once; loops and null ends go."""
@@ -25,6 +30,27 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def top_each(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """The first n rows of each key in a total order; Spark cuts each task's rows to n before the shuffle."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
+
+
+def place_in(df: DataFrame, key: str, order: list[Column], name: str) -> DataFrame:
+    """Place from 1 of each row within its key in a total order, however few the keys: rows are dealt by ranges of key and order.
+
+    Each task numbers its own rows of a key, and a sum over the tasks before it (a row a task and key) completes them.
+    """
+    dealt = df.repartitionByRange(F.col(key), *order).withColumn("_part", F.spark_partition_id())
+    dealt = cut(dealt)
+    own = F.row_number().over(Window.partitionBy("_part", key).orderBy(*order))
+    counts = dealt.groupBy(F.col("_part").alias("_at"), F.col(key).alias("_key")).agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.partitionBy("_key").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = counts.select("_at", "_key", before.alias("_before"))
+    numbered = dealt.withColumn("_own", own)
+    made = numbered.join(base, (numbered["_part"] == base["_at"]) & numbered[key].eqNullSafe(base["_key"]))
+    return made.withColumn(name, F.col("_own") + F.col("_before")).drop("_part", "_at", "_key", "_own", "_before")
+
+
 def weighted_mean(value: Column, weight: Column) -> Column:
     """Over rows with both; the plain mean where the weights sum to 0 or less, NULL without rows."""
     both = value.isNotNull() & weight.isNotNull()
@@ -69,11 +95,45 @@ def radius_join(points: DataFrame, radius: float, key: str = "id", axes: tuple[s
     return joined.withColumn("distance", F.sqrt(square)).where(F.col("distance") <= radius).select("a", "b", "distance")
 
 
+def exact_quantiles(df: DataFrame, value: str, shares: tuple[float, ...]) -> list[float | None]:
+    """Interpolated quantiles of a column over all its rows, exact, without a sort or a task that holds them all.
+
+    Rounds of histograms: each narrows the range of the ranks wanted to one of BINS bins, until that holds one value.
+    The driver gets BINS + 1 rows a round. NULLs and NaN do not count; without rows the answer is None.
+    """
+    x = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    n, low, high = x.agg(F.count("*"), F.min("v"), F.max("v")).first()
+    if not n:
+        return [None] * len(shares)
+    found: dict[int, float] = {0: low, n - 1: high}
+    places = [(n - 1) * s for s in shares]
+    wanted = {r for p in places for r in (int(p), min(int(p) + 1, n - 1))}
+    open_ranges = {(0, low, high): wanted - set(found)}  # rank of the least value in it, that value, the greatest
+    while any(open_ranges.values()):
+        (first, a, z), ranks = next((k, r) for k, r in open_ranges.items() if r)
+        del open_ranges[first, a, z]
+        inside = x.where((F.col("v") >= a) & (F.col("v") <= z))
+        bin_of = F.least(F.floor((F.col("v") - a) / ((z - a) / BINS)), F.lit(BINS - 1)) if z > a else F.lit(0)
+        for r in inside.groupBy(bin_of.alias("b")).agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most")).orderBy("least").collect():
+            own = {k for k in ranks if first <= k < first + r["n"]}
+            for k in list(own):
+                if r["least"] == r["most"] or k in (first, first + r["n"] - 1):
+                    found[k] = r["least"] if k == first else r["most"]
+                    own.discard(k)
+            if own:
+                open_ranges[first, r["least"], r["most"]] = own
+            first += r["n"]
+    return [found[int(p)] + (found[min(int(p) + 1, n - 1)] - found[int(p)]) * (p - int(p)) for p in places]
+
+
+def exact_quantile(df: DataFrame, value: str, share: float) -> float | None:
+    return exact_quantiles(df, value, (share,))[0]
+
+
 def quartile_outliers(df: DataFrame, value: str, factor: float = 1.5) -> DataFrame:
     """Rows above q3 + factor * (q3 - q1), by exact interpolated quartiles."""
-    q = df.agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-    bound = q.select(F.col("q")[1] + factor * (F.col("q")[1] - F.col("q")[0]))
-    return df.where(F.col(value) > bound.scalar())
+    low, high = exact_quantiles(df, value, (0.25, 0.75))
+    return df.where(F.col(value) > high + factor * (high - low)) if low is not None else df.limit(0)
 
 
 def deterministic_sample(df: DataFrame, key: str, n: int) -> DataFrame:

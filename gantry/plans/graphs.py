@@ -165,7 +165,7 @@ def zone_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("zone_kpis", f"WITH g AS ({_GRID}), t AS (SELECT quantile_cont(pressure, 0.9) AS p FROM g) SELECT zone, count(*) AS n, count(*) FILTER (cls = 'PROMO' AND pressure >= t.p) AS critical, round(max(z) - min(z), 6) AS span FROM g, t GROUP BY zone")
 def zone_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _zoned(spark, sf_dir)
-    bound = g.agg(F.percentile("pressure", F.lit(0.9))).scalar()
+    bound = rel.exact_quantile(g, "pressure", 0.9)
     return g.groupBy("zone").agg(F.count("*").alias("n"), F.count_if((F.col("cls") == "PROMO") & (F.col("pressure") >= bound)).alias("critical"), F.round(F.max("z") - F.min("z"), 6).alias("span"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gantry.functions import text as names
 from gantry.functions import units
+from gantry.operators import relational as rel
 from gantry.plans.base import objects, query, table
 
 
@@ -83,7 +84,7 @@ def title_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects(spark, sf_dir).select("id", names.title_or_id(blank, F.col("id").cast("string")).alias("title"))
 
 
-@query("uri_names", r"""SELECT page_id, coalesce(nullif(trim(regexp_replace(url, '[^A-Za-z0-9_]+|_+', '_', 'g'), '_'), ''), 'unknown') AS safe FROM pages""")
+@query("uri_names", r"""SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_replace(trim(url), '[^A-Za-z0-9_-]', '_', 'g'), '_+', '_', 'g'), '_'), ''), 'unknown') AS safe FROM pages""")
 def uri_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", names.uri_safe(F.col("url")).alias("safe"))
 
@@ -97,8 +98,8 @@ def container_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("parent_box_p99", """WITH o AS ({OBJ}), t AS (SELECT coalesce(quantile_cont(pressure, 0.99), 0) AS p FROM o WHERE weight IS NOT NULL) SELECT id, weight IS NULL AND pressure > t.p AS is_parent_box FROM o, t""")
 def parent_box_p99(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = objects(spark, sf_dir)
-    bound = o.where("weight IS NOT NULL").agg(F.coalesce(F.percentile("pressure", F.lit(0.99)), F.lit(0.0)))
-    return o.select("id", (F.col("weight").isNull() & (F.col("pressure") > bound.scalar())).alias("is_parent_box"))
+    bound = rel.exact_quantile(o.where("weight IS NOT NULL"), "pressure", 0.99) or 0.0
+    return o.select("id", (F.col("weight").isNull() & (F.col("pressure") > bound)).alias("is_parent_box"))
 
 
 @query("confidence_rules", """SELECT id, CASE WHEN grp IS NOT NULL AND weight IS NOT NULL THEN 'HIGH' WHEN grp IS NOT NULL THEN 'LOW' ELSE 'LIKELY_BUG' END AS confidence,
