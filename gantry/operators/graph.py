@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gantry.operators.durable import cut
-from gantry.operators.relational import canonical_pairs, keep_first
+from gantry.operators.relational import canonical_pairs, keep_first, place_in
 
 
 def degrees(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -69,6 +69,67 @@ def longest_path(edges: DataFrame, most_rounds: int = 100_000) -> DataFrame:
     raise ValueError("the graph has a cycle")
 
 
+def on_cycles(edges: DataFrame) -> DataFrame:
+    """The edges left when all that lead to or from a node without the other kind are peeled off, round by round."""
+    left = cut(edges)
+    n = left.count()
+    while n:
+        ends = left.select(F.col("dst").alias("src")).distinct()
+        starts = left.select(F.col("src").alias("dst")).distinct()
+        left = cut(left.join(ends, "src", "left_semi").join(starts, "dst", "left_semi").select(edges.columns))
+        was, n = n, left.count()
+        if n == was:
+            break
+    return left
+
+
+def break_cycles(edges: DataFrame) -> DataFrame:
+    """An acyclic subset of the edges (src, dst, ...). Edges on no cycle all stay.
+
+    In each round, in each weakly connected part of what lies on cycles, the edges into its least node go: those close
+    every cycle that runs through it. Parts are worked on side by side, so the rounds do not grow with their number.
+    """
+    gone = None
+    rest = on_cycles(edges.select("src", "dst").distinct())
+    while not rest.isEmpty():
+        nodes = rest.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+        heads = components(nodes, rest).select(F.col("component").alias("dst")).distinct()
+        closing = cut(rest.join(heads, "dst", "left_semi").select("src", "dst"))
+        gone = closing if gone is None else cut(gone.unionByName(closing))
+        rest = on_cycles(rest.join(closing, ["src", "dst"], "left_anti"))
+    return edges if gone is None else edges.join(gone, ["src", "dst"], "left_anti").select(edges.columns)
+
+
+def critical_chain(edges: DataFrame) -> DataFrame:
+    """(step, id, edge_type) along a longest path of an acyclic graph (src, dst, edge_type); of equals that to the least end.
+
+    The way back from the end is found by doubling: in each round all found so far jump twice as far.
+    """
+    state = cut(longest_path(edges))
+    end = state.orderBy(F.desc("depth"), "id").limit(1)
+    chain = cut(end.select("id", F.col("depth").alias("step")))
+    jump = cut(state.where("before IS NOT NULL").select(F.col("id").alias("at"), "before"))
+    while True:
+        more = chain.join(jump, chain["id"] == jump["at"]).select(F.col("before").alias("id"))
+        wider = cut(chain.select("id").unionByName(more).distinct())
+        if wider.count() == chain.count():
+            break
+        chain = wider
+        far = jump.select(F.col("at").alias("mid"), F.col("before").alias("further"))
+        jump = cut(jump.join(far, F.col("before") == F.col("mid")).select("at", F.col("further").alias("before")))
+    steps = state.join(chain.select("id"), "id").select("id", F.col("depth").alias("step"), "before")
+    kinds = edges.select("src", "dst", "edge_type")
+    made = steps.join(kinds, (steps["before"] == kinds["src"]) & (steps["id"] == kinds["dst"]), "left")
+    return made.select("step", "id", F.coalesce("edge_type", F.lit("")).alias("edge_type"))
+
+
+def install_rank(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, rank) from 1 without gaps in an order in which each edge goes up; nodes without edges come last, by id."""
+    levels = topological_levels(edges)
+    known = nodes.select("id").join(levels, "id", "left").withColumn("one", F.lit(0))
+    return place_in(known, "one", [F.col("level").isNull(), F.col("level"), F.col("id")], "rank").select("id", "rank")
+
+
 def topological_levels(edges: DataFrame) -> DataFrame:
     """(id, level): nodes with no open predecessor are peeled off round by round; a cycle raises."""
     return longest_path(edges).select("id", F.col("depth").alias("level"))

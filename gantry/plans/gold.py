@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.functions import text as names
-from gantry.operators import gold
+from gantry.operators import gold, ontology
 from gantry.operators import relational as rel
 from gantry.plans.base import edges, query, table
 
@@ -310,6 +310,24 @@ def _literal_sql(column: str, kind: str) -> str:
 _SAFE = "coalesce(nullif(trim(regexp_replace(regexp_replace(trim({0}::VARCHAR), '[^A-Za-z0-9_-]', '_', 'g'), '_+', '_', 'g'), '_'), ''), 'unknown')"
 
 
+@query("schema_counts", """SELECT * FROM (VALUES ('rdf:type', 'owl:Class', 28), ('rdf:type', 'owl:ObjectProperty', 8), ('rdf:type', 'owl:DatatypeProperty', 32), ('rdf:type', 'owl:SymmetricProperty', 1),
+('rdfs:subClassOf', NULL, 26), ('rdfs:domain', NULL, 40), ('rdfs:range', NULL, 40), ('rdfs:label', NULL, 68)) AS t(p, kind, n)""")
+def schema_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("p") == "rdf:type", F.col("o"))
+    return ontology.schema_triples(spark).groupBy("p", kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+_TYPE = "CASE num % 9 WHEN 0 THEN 'Process Equipment' WHEN 1 THEN 'Architectural' WHEN 2 THEN 'unheard of' END"
+
+
+@query("object_types", f"""SELECT object_id, CASE WHEN is_analysis_volume THEN 'AnalysisVolume' WHEN is_container OR is_parent_box THEN 'HierarchyNode' WHEN refined_class = 'Equipment' THEN
+  CASE num % 9 WHEN 0 THEN 'ProcessEquipment' WHEN 1 THEN 'ArchitecturalEquipment' ELSE 'UnclassifiedEquipment' END WHEN refined_class = 'Piping' THEN 'PipingComponent' WHEN refined_class = 'Structure' THEN 'StructuralMember'
+  WHEN refined_class = 'Electrical' THEN 'ElectricalComponent' ELSE 'UncategorizedObject' END AS type FROM ({_GOLD})""")
+def object_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = ontology.class_of(F.col("is_analysis_volume"), F.col("is_container"), F.col("is_parent_box"), F.col("refined_class"), F.expr(_TYPE))
+    return built(spark, sf_dir).select("object_id", made.alias("type"))
+
+
 @query("shared_individuals", " UNION ALL ".join(f"SELECT DISTINCT 'inst:{p}-' || {'level' if k == 'integer' else _SAFE.format(c)} AS s, 'rdf:type' AS p, 'bim:{cls}' AS o, 'iri' AS o_type FROM ({_RAW}) WHERE {c} IS NOT NULL UNION ALL SELECT DISTINCT 'inst:{p}-' || {'level' if k == 'integer' else _SAFE.format(c)}, 'bim:{prop}', {c}::VARCHAR, '{k}' FROM ({_RAW}) WHERE {c} IS NOT NULL" for p, cls, prop, c, k in SHARED))
 def shared_individuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, out = raw(spark, sf_dir), None

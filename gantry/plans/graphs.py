@@ -218,6 +218,20 @@ def zone_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.where("za <> zb").groupBy(F.col("za").alias("src"), F.col("zb").alias("dst")).agg(F.count("*").alias("n"))
 
 
+@query("critical_chain")
+def critical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest chain of the precedence graph, its cycles broken, with what each step is."""
+    dag = graph.cut(graph.break_cycles(precedence_dag(spark, sf_dir)))
+    o = _zoned(spark, sf_dir).select("id", "name", "cls", "z", "zone")
+    return graph.critical_chain(dag).join(o, "id", "left")
+
+
+@query("install_rank")
+def install_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dag = graph.cut(graph.break_cycles(precedence_dag(spark, sf_dir)))
+    return graph.install_rank(dag, objects(spark, sf_dir))
+
+
 def _touching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges(spark, sf_dir).select("src", "dst")
 

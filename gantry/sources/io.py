@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import sqlite3
+from collections.abc import Iterable, Iterator
+from contextlib import closing
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from gantry.functions.text import rename_all
 
@@ -65,6 +70,70 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
+def write_csv_with_bom(df: DataFrame, path: str) -> None:
+    """CSV parts for spreadsheets: each begins with the byte order mark of UTF-8, in front of its header."""
+    first = df.columns[0]
+    df.withColumnRenamed(first, "\ufeff" + first).write.mode("overwrite").csv(path, header=True)
+
+
+def csv_profile(spark: SparkSession, path: str, rows: int = 100) -> tuple[int, StructType]:
+    """Rows of a CSV with a header, and its schema as its first `rows` rows have it; only those are parsed for the schema."""
+    lines = spark.read.text(path)
+    head = spark.read.csv(path, header=True).limit(rows)
+    text = head.select(F.to_csv(F.struct("*")).alias("value")).rdd.map(lambda r: r[0])
+    kinds = spark.read.csv(text, inferSchema=True).schema
+    schema = StructType([StructField(n, f.dataType) for n, f in zip(head.columns, kinds, strict=True)])
+    return lines.count() - len(lines.inputFiles()), schema
+
+
+def parquet_footers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, rows, column, physical_type, logical_type) from the footers alone, read where the tasks run."""
+    found = [(f,) for f in spark.read.parquet(path).inputFiles()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name in b.column("file").to_pylist():
+                store, at = fs.FileSystem.from_uri(name)
+                meta = pq.read_metadata(at, filesystem=store)
+                own = [meta.schema.column(k) for k in range(meta.num_columns)]
+                columns = [[name] * len(own), [meta.num_rows] * len(own), [c.path for c in own], [c.physical_type for c in own], [str(c.logical_type) for c in own]]
+                yield pa.record_batch([pa.array(c) for c in columns], ["file", "rows", "column", "physical_type", "logical_type"])
+
+    files = spark.createDataFrame(found, "file string").repartition(max(1, min(len(found), 200)))
+    return files.mapInArrow(read, "file string, rows bigint, column string, physical_type string, logical_type string")
+
+
+def write_sqlite(tables: dict[str, DataFrame], path: str, indexes: dict[str, list[str]] | None = None) -> dict[str, int]:
+    """Replaces tables of one database file (on the driver, as the format is one file); rows pass through a partition at a time.
+
+    indexes names the columns of each table to index. Returns the rows of each table.
+    """
+    kinds = {"int": "INTEGER", "bigint": "INTEGER", "boolean": "INTEGER", "double": "REAL", "float": "REAL", "binary": "BLOB"}
+    out = {}
+    with closing(sqlite3.connect(path)) as db:
+        for name, df in tables.items():
+            cols = ", ".join(f'"{c}" {kinds.get(t, "TEXT")}' for c, t in df.dtypes)
+            plain = df.select(*[F.col(c) if t in kinds else F.col(c).cast("string") for c, t in df.dtypes])
+            db.execute(f'DROP TABLE IF EXISTS "{name}"')
+            db.execute(f'CREATE TABLE "{name}" ({cols})')
+            rows = (tuple(r) for r in plain.toLocalIterator())
+            done = db.executemany(f'INSERT INTO "{name}" VALUES ({", ".join("?" * len(df.columns))})', rows)
+            out[name] = max(0, done.rowcount)
+            for c in (indexes or {}).get(name, []):
+                db.execute(f'CREATE INDEX "{name}_{c}" ON "{name}" ("{c}")')
+            db.commit()
+    return out
+
+
+def read_sqlite(spark: SparkSession, path: str, statement: str, schema: str, most: int = 1_000_000) -> DataFrame:
+    """Rows of one statement on a database file that is opened read-only; more than `most` rows raise, none are dropped."""
+    with closing(sqlite3.connect(f"file:{path}?mode=ro", uri=True)) as db:
+        rows = db.execute(statement).fetchmany(most + 1)
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows: read tables of that size from Parquet")
+    return spark.createDataFrame(rows, schema)
+
+
 def write_graph_csv(df: DataFrame, path: str, heads: dict[str, str]) -> None:
     """Node or edge files with typed heads (":ID", ":LABEL", ":START_ID", ":END_ID", ":TYPE", "x:double")."""
     df.select(*[F.col(c).alias(h) for c, h in heads.items()]).write.mode("overwrite").csv(path, header=True)

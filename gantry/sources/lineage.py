@@ -26,6 +26,14 @@ def events(job: str, inputs: dict[str, DataFrame], outputs: dict[str, DataFrame]
     return [json.dumps(base | {"eventType": "START", "outputs": []}), json.dumps(base | {"eventType": "COMPLETE", "outputs": [dataset(n, d, True) for n, d in outputs.items()]})]
 
 
+def summary(lines: list[str]) -> str:
+    """What a set of events tells, as one JSON text: runs, events of each type, and rows of each output."""
+    told = [json.loads(x) for x in lines]
+    kinds = sorted({e["eventType"] for e in told})
+    rows = {o["name"]: o["facets"]["outputStatistics"]["rowCount"] for e in told if e["eventType"] == "COMPLETE" for o in e["outputs"]}
+    return json.dumps({"jobs": sorted({e["job"]["name"] for e in told}), "runs": len({e["run"]["runId"] for e in told}), "events": {k: sum(e["eventType"] == k for e in told) for k in kinds}, "rows": rows}, ensure_ascii=False)
+
+
 def upstream(job_inputs: DataFrame) -> DataFrame:
     """(node, ancestor, depth) over (job, dataset) links given as child and parent."""
     return closure(job_inputs, "child", "parent")
