@@ -58,8 +58,16 @@ def index_words(column: pa.Array, lower: bool = False) -> tuple[list[bytes], np.
     long = np.flatnonzero(size > 16).tolist()
     for i in long:
         h[i] = xxhash.xxh3_64_intdigest(text[starts[i] : ends[i]])
-    kinds, rep, of = np.unique(h, return_index=True, return_inverse=True)
-    same = (a == a[rep][of]) & (b == b[rep][of]) & (size == size[rep][of])
+    # as np.unique does, but any of equal hashes may stand for them, so the sort need not be stable
+    order = np.argsort(h)
+    turn = h[order]
+    new = np.concatenate([[True], turn[1:] != turn[:-1]]) if len(h) else np.zeros(0, bool)
+    rep = order[new]
+    of = np.empty(len(h), np.int64)
+    of[order] = np.cumsum(new) - 1
+    a, b, like = a[order], b[order], size[order]
+    # sorted by hash, equal words stand side by side: each is held against the one before it
+    same = new[1:] | ((a[1:] == a[:-1]) & (b[1:] == b[:-1]) & (like[1:] == like[:-1]))
     if not same.all() or any(text[starts[i] : ends[i]] != text[starts[j] : ends[j]] for i in long if (j := rep[of[i]]) != i):
         every = [text[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
         number: dict[bytes, int] = {}
