@@ -94,7 +94,7 @@ def add_lineage(df: DataFrame, rule: str, version: str, now: str) -> DataFrame:
 
 
 def add_confidence(df: DataFrame) -> DataFrame:
-    """classification_confidence (HIGH, LOW, LIKELY_BUG) and its reason, of nine."""
+    """classification_confidence and its reason. Three levels and nine reasons, under the names that users know."""
     piping = F.coalesce(F.col("refined_class") == "Piping", F.lit(False))
     line = F.coalesce(F.col("sp3d_pipeline") != "", F.lit(False))
     meta = reduce(Column.__or__, [F.col(c).isNotNull() for c in ("sp3d_commodity_code", "sp3d_short_code", "sp3d_spec_name", "sp3d_npd")])
