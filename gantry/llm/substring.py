@@ -1,14 +1,20 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
 A text is cut before a word where the gear hash of the WINDOW bytes up to it falls under a threshold, so the cuts
-depend on the bytes around them alone and an insertion moves no cut beyond its window. A chunk is the bytes between
-two cuts; equal chunks have equal digests. Of equal chunks that of the least (document, position) stays. Runs of
-repeated chunks of at least `min_words` words are removed, shorter ones are chance and stay.
+depend on the bytes around them alone and an insertion moves no cut beyond its window; and before every word that has
+no such cut at itself and the MOST_WORDS words before it, so that a text of one word over and over has cuts too. A chunk begins at every cut and
+ends at the first cut from which it has `min_words` words or more, so chunks overlap: a passage is found from its first
+cut to its last, and nothing shorter than `min_words` words in one piece counts as repeated. Equal chunks have equal
+digests. Of equal chunks that of the least (document, position) stays, and the bytes of all others are removed. Of each
+removed chunk an equal one stands at a lesser place, so every passage stays somewhere.
 
 Chunks are not shuffled as rows. Documents are held in pages of a few MB (whole rows as one Arrow block). A page asks,
 for each of its distinct digests, once, in one packed row a bucket of digests, whether a lesser document has it; the
 answer lists the digests that one has. So a passage that a third of all documents share is asked for once a page, not
-once a document, and no task grows with it. Each page then cuts its own texts from the answers.
+once a document. Beyond PAGES_A_HEAT pages the asking is a tournament: pages meet in heats of that many, and only the
+least holder of a digest in a heat meets those of the others. So a digest that every page has is PAGES_A_HEAT entries
+of one task and then one a heat, and a page's rows do not multiply with the buckets of the whole corpus. Each page then
+cuts its own texts from the answers.
 
 Null texts stay null, empty ones empty; neither has chunks. Repeated rows: of rows with equal key and text one keeps
 its text. Ties on the key are settled by the page (its bytes, not chance) and the place in it. An empty table gives an
@@ -32,12 +38,20 @@ from pyspark.sql.types import IntegralType, StructType
 
 from gantry.llm.common import bound_batches, by_bytes, durable
 
-#: Bytes that the rolling hash sees, mean words between cuts, and words from which a repeated run is removed.
-WINDOW, MEAN_WORDS, MIN_WORDS = 16, 5, 15
+#: Bytes that the rolling hash sees, mean words between cuts, and least words of a chunk.
+WINDOW, MEAN_WORDS, MIN_WORDS = 16, 2, 15
+#: Words without a cut after which every word is one.
+MOST_WORDS = 8
 #: Bytes of text in a page.
 PAGE_BYTES = 4 << 20
 #: Distinct digests that one bucket is sized for.
 BUCKET_DIGESTS = 1 << 19
+#: Pages that meet in one heat (some 16 GB of text).
+PAGES_A_HEAT = 4096
+#: Bytes of a compressed page for each of its cuts, about: it only sizes buckets.
+_BYTES_A_CUT = 2.4
+#: A page's name: 8 bytes of its content, 8 of chance.
+_NAME = np.dtype([("content", "u8"), ("chance", "u8")])
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -59,33 +73,73 @@ def gear_hash(data: np.ndarray, gear: np.ndarray, window: int = WINDOW) -> np.nd
 
 
 class Chunks:
-    """Chunks of a text: byte bounds, words in each, digests."""
+    """Chunks of a text: the cuts, the chunk that begins at each (the last few cuts begin none), digests.
 
-    def __init__(self, text: bytes, gear: np.ndarray, mean: int = MEAN_WORDS) -> None:
+    Piece i is the bytes from cut i to the next, `start[i]` to `end[i]`, of `words[i]` words; chunk i is pieces i to `past[i]`.
+    """
+
+    def __init__(self, text: bytes, gear: np.ndarray, mean: int = MEAN_WORDS, least: int = MIN_WORDS) -> None:
         data = np.frombuffer(text, np.uint8)
         space = _SPACE[data]
         # a word starts where a byte that is no white space follows one, or at the start
         starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]])) if len(data) else np.zeros(0, np.int64)
-        h = gear_hash(data.copy(), gear) if len(data) else np.zeros(0, np.uint32)
+        word_ends = np.flatnonzero(~space & np.concatenate([space[1:], [True]])) + 1 if len(data) else starts
+        h = gear_hash(data, gear) if len(data) else np.zeros(0, np.uint32)
         # the hash is that of the bytes before the word, so that the cut belongs to both neighbours alike
-        inner = starts[starts >= WINDOW]
-        cuts = inner[(h[inner - 1] >> np.uint32(8)) < np.uint32((1 << 24) // mean)]
-        bounds = np.unique(np.concatenate([starts[:1], cuts]))
+        at = np.arange(len(starts))
+        low = (starts >= WINDOW) & ((h[starts - 1] >> np.uint32(8)) < np.uint32((1 << 24) // mean)) if len(starts) else starts.astype(bool)
+        since = at - np.maximum.accumulate(np.where(low, at, 0)) if len(starts) else at
+        bounds = starts[low | (since > MOST_WORDS) | (at == 0)]
         self.start = bounds
         self.end = np.append(bounds[1:], len(data)) if len(bounds) else bounds
-        at = np.searchsorted(starts, self.start)
-        self.words = np.diff(np.append(at, len(starts)))
-        of = xxhash.xxh3_64_intdigest
-        self.digest = np.fromiter((of(text[a:z].rstrip()) for a, z in zip(self.start.tolist(), self.end.tolist(), strict=True)), np.uint64, len(bounds))
-
-
-def runs(repeated: np.ndarray, words: np.ndarray, least: int) -> np.ndarray:
-    """(first, past) chunk of each maximal run of repeated chunks with at least `least` words."""
-    edge = np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]]))
-    a, z = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    upto = np.concatenate([[0], np.cumsum(words)])
-    long = upto[z] - upto[a] >= least
-    return np.stack([a[long], z[long]], axis=1)
+        upto = np.append(np.searchsorted(starts, bounds), len(starts))  # words before each cut, and all
+        self.words = np.diff(upto)
+        past = np.searchsorted(upto, upto[:-1] + least)
+        self.past = past[past <= len(bounds)]
+        n, of = len(self.past), xxhash.xxh3_64_intdigest
+        last = word_ends[upto[self.past] - 1] if n else bounds[:0]  # white space behind a chunk is not part of it
+        self.digest = np.fromiter((of(text[a:z]) for a, z in zip(bounds[:n].tolist(), last.tolist(), strict=True)), np.uint64, n)
+
+
+def runs(repeated: np.ndarray, past: np.ndarray, pieces: int) -> np.ndarray:
+    """(first, past) piece of each maximal run of pieces that lie in repeated chunks."""
+    covers = np.zeros(pieces + 1, np.int64)
+    first = np.flatnonzero(repeated)
+    np.add.at(covers, first, 1)
+    np.subtract.at(covers, past[first], 1)
+    edge = np.diff(np.concatenate([[0], (np.cumsum(covers[:-1]) > 0).astype(np.int8), [0]]))
+    return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], axis=1)
+
+
+def ranks(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct names in order, the number of each among them); as np.unique, which is slow on pairs."""
+    order = np.lexsort((names["chance"], names["content"]))
+    turn = names[order]
+    new = np.concatenate([[True], turn[1:] != turn[:-1]])
+    of = np.empty(len(names), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return turn[new], of
+
+
+def contest(pages: np.ndarray, of: np.ndarray, digest: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, list[tuple[bytes, bytes]]]:
+    """(places of the least (owner, page) of each digest, (page, digests) of all others); of is each entry's page."""
+    order = np.lexsort((of, owner, digest))
+    later = np.zeros(len(order), bool)
+    later[1:] = digest[order[1:]] == digest[order[:-1]]
+    beaten = order[later]
+    beaten = beaten[np.argsort(of[beaten], kind="stable")]
+    cuts = np.searchsorted(of[beaten], np.arange(len(pages) + 1))
+    return order[~later], [(pages[i].tobytes(), digest[beaten[a:z]].tobytes()) for i, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if z > a]
+
+
+def by_bucket(digest: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, places of its digests), those with any."""
+    bucket = (digest % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else bucket
+    for part in np.split(order, first[1:]) if len(first) else ():
+        yield int(digest[part[0]] % np.uint64(buckets)), part
 
 
 def _repeated(digests: list[np.ndarray], answers: list[bytes]) -> np.ndarray:
@@ -113,7 +167,7 @@ def _pages(docs: DataFrame, key: str, text: str) -> DataFrame:
             with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
                 w.write_table(table)
             block = out.getvalue()
-            page = xxhash.xxh3_128_digest(block) + uuid.uuid4().bytes  # pages with equal rows may change places
+            page = xxhash.xxh3_64_digest(block) + uuid.uuid4().bytes[:8]  # pages with equal rows may change places
             return pa.record_batch([pa.array([page]), pa.array([block], pa.binary())], ["page", "block"])
 
         for b in batches:
@@ -150,15 +204,17 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     bound_batches(docs.sparkSession)
     gear = gear_table()
     pages = durable(_pages(docs.select(key, text) if report else docs, key, text), "pages")
-    total = pages.agg(F.coalesce(F.sum(F.length("block")), F.lit(0))).first()[0]
-    buckets = max(8, int(total / 12) // BUCKET_DIGESTS * 2)
+    n_pages, total = pages.agg(F.count("page"), F.coalesce(F.sum(F.length("block")), F.lit(0))).first()
+    heats = max(1, -(-n_pages // PAGES_A_HEAT))
+    cuts = total / _BYTES_A_CUT / mean_words
+    buckets, final = (max(8, int(n) // BUCKET_DIGESTS * 2) for n in (cuts / heats, cuts))
     none = np.iinfo(np.int64).max
 
     def chunked(block: bytes) -> Iterator[tuple[int, int | None, Chunks]]:
         table = _rows(block)
         keys, texts = table.column(key), table.column(text)
         for i in _order(table, key):
-            yield i, keys[i].as_py(), Chunks((texts[i].as_py() or "").encode(), gear, mean_words)
+            yield i, keys[i].as_py(), Chunks((texts[i].as_py() or "").encode(), gear, mean_words, min_words)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each page and bucket: the page's distinct digests there and the least key that has each."""
@@ -172,35 +228,39 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
                     continue
                 digest, first = np.unique(np.concatenate(digests), return_index=True)
                 owner = np.concatenate(owners)[first]
-                bucket = (digest % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                rows = [(page, i, digest[order[a:z]].tobytes(), owner[order[a:z]].tobytes()) for i, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if z > a]
-                yield pa.record_batch([pa.array(list(x)) if n != 1 else pa.array(list(x), pa.int32()) for n, x in enumerate(zip(*rows, strict=True))] if rows else [pa.array([], t) for t in (pa.binary(), pa.int32(), pa.binary(), pa.binary())], ["page", "bucket", "digests", "owners"])
-
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One bucket: for each page, its digests that a lesser (key, page) has."""
-        t = pa.Table.from_batches(list(batches))
-        page = t.column("page").to_pylist()
-        rank = {p: i for i, p in enumerate(sorted(page))}
-        parts = [np.frombuffer(d.as_py(), np.uint64) for d in t.column("digests")]
-        digest = np.concatenate(parts)
-        owner = np.concatenate([np.frombuffer(o.as_py(), np.int64) for o in t.column("owners")])
-        of = np.repeat(np.array([rank[p] for p in page]), [len(x) for x in parts])
-        order = np.lexsort((of, owner, digest))
-        later = np.zeros(len(order), bool)
-        later[order[1:]] = digest[order[1:]] == digest[order[:-1]]
-        found, names = np.flatnonzero(later), sorted(page)
-        found = found[np.argsort(of[found], kind="stable")]
-        cuts = np.searchsorted(of[found], np.arange(len(names) + 1))
-        rows = [(names[i], digest[found[a:z]].tobytes()) for i, (a, z) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if z > a]
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["page", "digests"])
-
-    answers = (
-        pages.mapInArrow(ask, "page binary, bucket int, digests binary, owners binary")
-        .groupBy("bucket")
-        .applyInArrow(lambda t: pa.Table.from_batches(list(answer(t.to_batches()))), "page binary, digests binary")
-    )
+                own = int.from_bytes(page[8:12]) % heats
+                rows = [(page, own, i, digest[at].tobytes(), owner[at].tobytes()) for i, at in by_bucket(digest, buckets)]
+                yield pa.record_batch([pa.array([r[n] for r in rows], t) for n, t in enumerate((pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["names", "heat", "bucket", "digests", "owners"])
+
+    def meet(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(pages, page of each, digest, owner) of the entries of a group; a row names one page for all its digests or one for each."""
+        digests = [np.frombuffer(d.as_py(), np.uint64) for d in t.column("digests")]
+        names = [np.frombuffer(p.as_py(), _NAME) for p in t.column("names")]
+        pages, of = ranks(np.concatenate(names))
+        times = np.concatenate([np.full(len(p), len(d) // len(p)) for p, d in zip(names, digests, strict=True)])
+        return pages, np.repeat(of, times), np.concatenate(digests), np.concatenate([np.frombuffer(o.as_py(), np.int64) for o in t.column("owners")])
+
+    def heat(t: pa.Table) -> pa.Table:
+        """One bucket of one heat: answers to all but the least holders, who go on (rows without a page) where there are other heats."""
+        among, of, digest, owner = meet(t)
+        least, answers = contest(among, of, digest, owner)
+        rows = [(page, d, None, None, None) for page, d in answers]
+        if heats > 1:
+            names, digest, owner = among[of[least]], digest[least], owner[least]
+            rows += [(None, digest[at].tobytes(), names[at].tobytes(), i, owner[at].tobytes()) for i, at in by_bucket(digest, final)]
+        types = (pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
+        return pa.table([pa.array([r[n] for r in rows], x) for n, x in enumerate(types)], ["page", "digests", "names", "bucket", "owners"])
+
+    def last(t: pa.Table) -> pa.Table:
+        _, answers = contest(*meet(t))
+        return pa.table([pa.array([r[n] for r in answers], pa.binary()) for n in (0, 1)], ["page", "digests"])
+
+    asked = pages.mapInArrow(ask, "names binary, heat int, bucket int, digests binary, owners binary")
+    answers = asked.groupBy("heat", "bucket").applyInArrow(heat, "page binary, digests binary, names binary, bucket int, owners binary")
+    if heats > 1:
+        answers = durable(answers, "heats")
+        on = answers.where("page IS NULL").select("names", "bucket", "digests", "owners")
+        answers = answers.where("page IS NOT NULL").select("page", "digests").union(on.groupBy("bucket").applyInArrow(last, "page binary, digests binary"))
     gathered = answers.groupBy("page").agg(F.collect_list("digests").alias("answers")).withColumnRenamed("page", "to_page")
     joined = pages.join(gathered, pages["page"] == gathered["to_page"], "left").select("block", "answers")
     schema = StructType([f for f in docs.schema if not report or f.name in (key, text)])
@@ -217,7 +277,7 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
                 for i, _, c in found:
                     own = repeated[at : at + len(c.digest)]
                     at += len(own)
-                    gone = runs(own, c.words, min_words)
+                    gone = runs(own, c.past, len(c.start))
                     if len(gone):
                         raw, past, kept = (texts[i] or "").encode(), 0, []
                         for first, end in gone.tolist():

@@ -84,15 +84,17 @@ def test_keys_of_substring_dedup_are_numbers(spark):
 
 
 def plain_cuts(text):
-    """Starts of chunks: the gear hash of the 16 bytes before a word, byte by byte."""
-    gear, cuts = [xxhash.xxh32_intdigest(bytes([b]), 42) for b in range(256)], []
+    """Starts of pieces: the gear hash of the 16 bytes before a word, byte by byte."""
+    gear, cuts, since = [xxhash.xxh32_intdigest(bytes([b]), 42) for b in range(256)], [], 0
     for i, b in enumerate(text):
         if b in b" \t\n\v\f\r" or i and text[i - 1] not in b" \t\n\v\f\r":
             continue
         h = 0
         for x in text[max(0, i - 16) : i]:
             h = (2 * h + gear[x]) % (1 << 32)
-        if not cuts or i >= 16 and h >> 8 < (1 << 24) // substring.MEAN_WORDS:
+        low = i >= 16 and h >> 8 < (1 << 24) // substring.MEAN_WORDS
+        since = 0 if low or not cuts else since + 1
+        if not cuts or low or since > 8:
             cuts.append(i)
     return cuts
 
@@ -100,8 +102,8 @@ def plain_cuts(text):
 def test_chunks_byte_by_byte():
     rng = np.random.default_rng(8)
     words = [f"wörd{i}" for i in range(500)]
-    for n in (0, 1, 30, 400):
-        text = ("  " + " ".join(rng.choice(words, n)) + "\n").encode()
+    for n, kinds in ((0, 500), (1, 500), (30, 500), (400, 500), (60, 1), (60, 2)):
+        text = ("  " + " ".join(rng.choice(words[:kinds], n)) + "\n").encode()
         made = substring.Chunks(text, substring.gear_table())
         assert made.start.tolist() == plain_cuts(text)
         assert made.words.sum() == len(text.split())

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import json
 import zlib
 
@@ -11,6 +12,7 @@ from gantry.llm import media, packing, pieces, quality, substring, token_files,
 from gantry.llm.common import new_dir
 from gantry.llm.queries import ORACLES, QUERIES, RULES
 from tests.llm.conftest import ROWS
+from tests.llm.test_edges import plain_cuts
 from tests.oracle import compare
 
 WORD, PIECE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -262,29 +264,33 @@ def test_pieces_round_trip(odd, none):
 
 
 def plain_dedupe(rows, least=15):
-    gear, seen, out = substring.gear_table(), set(), {}
+    """One text after the other, chunk by chunk, from the cuts alone."""
+    seen, out = set(), {}
     for key, text in rows:
         raw = (text or "").encode()
-        c = substring.Chunks(raw, gear)
-        repeated = []
-        for d in c.digest.tolist():
-            repeated.append(d in seen)
-            seen.add(d)
-        kept, at, k = b"", 0, 0
-        while k < len(repeated):
-            z = k
-            while z < len(repeated) and repeated[z]:
-                z += 1
-            if z > k and c.words[k:z].sum() >= least:
-                kept += raw[at : c.start[k]]
-                at = int(c.end[z - 1])
-            k = max(z, k + 1)
-        out[key] = (kept + raw[at:]).decode()
+        cuts = [*plain_cuts(raw), len(raw)]
+        pieces = [raw[a:z] for a, z in itertools.pairwise(cuts)]
+        gone = set()
+        for i in range(len(pieces)):
+            for z in range(i + 1, len(pieces) + 1):
+                chunk = b"".join(pieces[i:z])
+                if len(chunk.split()) >= least:
+                    if chunk.rstrip() in seen:
+                        gone.update(range(i, z))
+                    seen.add(chunk.rstrip())
+                    break
+        kept = raw[: cuts[0]]
+        for i, piece in enumerate(pieces):
+            if i not in gone:
+                kept += piece
+        out[key] = kept.decode()
     return out
 
 
-def test_substring(spark, odd, none, monkeypatch):
+@pytest.mark.parametrize("heat", [1, 3, substring.PAGES_A_HEAT])
+def test_substring(spark, odd, none, monkeypatch, heat):
     monkeypatch.setattr(substring, "PAGE_BYTES", 3000)
+    monkeypatch.setattr(substring, "PAGES_A_HEAT", heat)
     rng = np.random.default_rng(4)
     vocabulary = [f"wörd{i}" for i in range(5000)]
     passage = " ".join(rng.choice(vocabulary, 60))
@@ -303,7 +309,7 @@ def test_substring(spark, odd, none, monkeypatch):
         if i % 3 or i == 0:
             assert texts[i] == text
         else:
-            assert len(text.split()) - len(texts[i].split()) > 30
+            assert len(text.split()) - len(texts[i].split()) > 40
     out = substring.dedupe(odd)
     assert out.columns == odd.columns and out.count() == len(ROWS)
     by = {}
@@ -313,12 +319,42 @@ def test_substring(spark, odd, none, monkeypatch):
     assert substring.dedupe(none).collect() == [] and substring.dedupe(none, report=True).collect() == []
 
 
+def test_passages_of_51_words_go(spark):
+    """At any place, of texts with many and with few distinct words; texts that share shorter pieces only stay as they are."""
+    rng = np.random.default_rng(9)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").where("text IS NOT NULL").orderBy("doc_id")
+    words = " ".join(r[0] for r in docs.collect()).split()
+    rows, planted, clean = [], [], []
+    for i in range(400):
+        size = 51 if i % 2 else 90
+        at = int(rng.integers(0, len(words) - size))
+        passage = words[at : at + size]
+        for key in (3 * i, 3 * i + 1):
+            own = [f"{x:x}" for x in rng.integers(0, 1 << 40, 60)]
+            cut = int(rng.integers(0, 61))
+            rows.append((key, " ".join([*own[:cut], *passage, *own[cut:]])))
+        planted.append((3 * i, 3 * i + 1, size))
+        short = int(rng.integers(0, len(words) - 14))
+        rows.append((3 * i + 2, " ".join([*[f"{x:x}" for x in rng.integers(0, 1 << 40, 40)], *words[short : short + 14]])))
+        clean.append(3 * i + 2)
+    got = {r["doc_id"]: r["n_removed_words"] for r in substring.dedupe(spark.createDataFrame(rows, "doc_id bigint, text string"), report=True).collect()}
+    shares = np.array([(got[b]) / size for a, b, size in planted])
+    assert (shares >= 0.5).mean() >= 0.99 and shares.mean() >= 0.85
+    assert all(got[k] == 0 for k in clean)
+
+
 def test_cuts_resist_insertions():
     words = [f"w{i * 7919 % 1000}" for i in range(400)]
     gear = substring.gear_table()
-    a = set(substring.Chunks(" ".join(words).encode(), gear).digest.tolist())
-    b = set(substring.Chunks(" ".join([*words[:200], "inserted", *words[200:]]).encode(), gear).digest.tolist())
-    assert len(a - b) <= 3
+
+    def made(words):
+        text = " ".join(words).encode()
+        c = substring.Chunks(text, gear)
+        return {text[a:z].rstrip() for a, z in zip(c.start.tolist(), c.end.tolist(), strict=True)}, set(c.digest.tolist())
+
+    a, b = made(words), made([*words[:200], "inserted", *words[200:]])
+    assert len(a[0] - b[0]) <= 3  # pieces between cuts
+    assert len(a[1] - b[1]) <= substring.MIN_WORDS  # chunks that lie over the place
 
 
 # the pipeline
