@@ -80,6 +80,33 @@ def share_of_total(counts: DataFrame, count: str, name: str) -> DataFrame:
     return counts.withColumn(name, F.round(F.lit(100.0) * F.col(count) / total.scalar(), 6))
 
 
+def in_ranges(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df in ranges of the keys, with the number of each row's range as _part; kept, so that every use sees the same ranges."""
+    return cut(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()))
+
+
+def sum_before(df: DataFrame, value: Column, keys: list[str], name: str) -> DataFrame:
+    """With the sum of `value` over all rows before, in the order of the keys: sums a range, then within each; no task sorts all."""
+    d = in_ranges(df.withColumn(name, value), keys)
+    within = F.coalesce(F.sum(name).over(Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = d.groupBy("_part").agg(F.sum(name).alias("_all"))  # a row for each range
+    ranges = ranges.select("_part", F.coalesce(F.sum("_all").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))
+    return d.withColumn(name, within).join(ranges, "_part").withColumn(name, F.col(name) + F.col("_earlier")).drop("_part", "_earlier")
+
+
+def row_before(df: DataFrame, value: str, within: str, order: list[str], name: str) -> DataFrame:
+    """With `value` of the row before among those of equal `within`, or NULL: ranges, stitched where one ends and the next begins.
+
+    No task holds a whole group, however few groups there are.
+    """
+    keys = [within, *order]
+    d = in_ranges(df, keys).withColumn("_own", F.struct(F.col(within).alias("g"), F.col(value).alias("v")))
+    ends = d.groupBy("_part").agg(F.max(F.struct(*keys, "_own")).alias("end"))  # a row for each range
+    ends = ends.select("_part", F.lag("end._own").over(Window.orderBy("_part")).alias("_last"))
+    d = d.withColumn(name, F.lag("_own").over(Window.partitionBy("_part").orderBy(*keys))).join(ends, "_part").withColumn(name, F.coalesce(name, "_last"))
+    return d.withColumn(name, F.when(F.col(f"{name}.g").eqNullSafe(F.col(within)), F.col(f"{name}.v"))).drop("_part", "_own", "_last")
+
+
 def radius_join(points: DataFrame, radius: float, key: str = "id", axes: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
     """(a, b, distance) of different points at most `radius` apart, both ways: grid cells of that size and an equi-join.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.operators import graph
@@ -46,10 +46,19 @@ def root_causes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("chain_steps", """WITH o AS (SELECT id, z, level, lag(id) OVER (PARTITION BY level ORDER BY z, id) AS before FROM ({OBJ})), e AS ({PARTS}) SELECT o.id, o.level, o.before, e.src IS NOT NULL AS touches FROM o LEFT JOIN e ON least(o.id, o.before) = e.src AND greatest(o.id, o.before) = e.dst""")
 def chain_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _steps(objects(spark, sf_dir), parts(spark, sf_dir))
+
+
+@query("touch_chain_steps", """WITH o AS (SELECT id, z, level, lag(id) OVER (PARTITION BY level ORDER BY z, id) AS before FROM ({OBJ})), e AS ({EDGES}) SELECT o.id, o.level, o.before, e.src IS NOT NULL AS touches FROM o LEFT JOIN e ON least(o.id, o.before) = e.src AND greatest(o.id, o.before) = e.dst""")
+def touch_chain_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _steps(objects(spark, sf_dir), edges(spark, sf_dir))
+
+
+def _steps(objects: DataFrame, pairs: DataFrame) -> DataFrame:
     """Each object's forerunner in its level from the bottom up, and whether the two touch."""
-    o = objects(spark, sf_dir).withColumn("before", F.lag("id").over(Window.partitionBy("level").orderBy("z", "id")))
+    o = rel.row_before(objects.select("id", "level", "z"), "id", "level", ["z", "id"], "before")
     # null-rejecting keys are salted by the object, so that the first of each level do not meet in one task
-    e = parts(spark, sf_dir).select("src", "dst", F.lit(True).alias("hit"))
+    e = pairs.select("src", "dst", F.lit(True).alias("hit"))
     return o.withColumns({"src": F.coalesce(F.least("id", F.col("before")), -F.col("id") - 1), "dst": F.greatest("id", F.coalesce("before", F.col("id")))}).join(e, ["src", "dst"], "left").select("id", "level", "before", F.coalesce("hit", F.lit(False)).alias("touches"))
 
 

@@ -26,12 +26,17 @@ def undirected_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("edge_ids", "SELECT row_number() OVER (ORDER BY src, dst) AS edge_id, src, dst FROM ({PARTS})")
 def edge_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """1..N in the order of the ends: a count before each range partition, then numbers within it; no single task sorts all."""
-    e = parts(spark, sf_dir).repartitionByRange("src", "dst").sortWithinPartitions("src", "dst")
-    e = e.withColumn("part", F.spark_partition_id())
-    e = graph.cut(e.withColumn("n", F.row_number().over(Window.partitionBy("part").orderBy("src", "dst"))))
-    before = e.groupBy("part").agg(F.count("*").alias("c")).withColumn("before", F.coalesce(F.sum("c").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return e.join(before.select("part", "before"), "part").select((F.col("n") + F.col("before")).alias("edge_id"), "src", "dst")
+    """1..N in the order of the ends."""
+    return _numbered(parts(spark, sf_dir))
+
+
+@query("touch_edge_ids", "SELECT row_number() OVER (ORDER BY src, dst) AS edge_id, src, dst FROM ({EDGES})")
+def touch_edge_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _numbered(_touching(spark, sf_dir))
+
+
+def _numbered(e: DataFrame) -> DataFrame:
+    return rel.sum_before(e, F.lit(1).cast("bigint"), ["src", "dst"], "edge_id").select((F.col("edge_id") + 1).alias("edge_id"), "src", "dst")
 
 
 @query("link_parent", "SELECT conv_id, turn AS child, turn - 1 AS parent FROM conversations WHERE turn > (SELECT min(turn) FROM conversations)")
@@ -213,8 +218,13 @@ def interference_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("zone_dependencies", f"WITH g AS ({_GRID}) SELECT a.zone AS src, b.zone AS dst, count(*) AS n FROM ({_PRECEDE}) e JOIN g a ON e.src = a.id JOIN g b ON e.dst = b.id WHERE a.zone <> b.zone GROUP BY 1, 2")
 def zone_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = _zoned(spark, sf_dir).select("id", "zone")
-    e = precedence_dag(spark, sf_dir).join(g.withColumnsRenamed({"id": "src", "zone": "za"}), "src").join(g.withColumnsRenamed({"id": "dst", "zone": "zb"}), "dst")
+    return _across(_zoned(spark, sf_dir), precedence_dag(spark, sf_dir))
+
+
+def _across(zoned: DataFrame, dag: DataFrame) -> DataFrame:
+    """Edges between different zones, counted."""
+    g = zoned.select("id", "zone")
+    e = dag.join(g.withColumnsRenamed({"id": "src", "zone": "za"}), "src").join(g.withColumnsRenamed({"id": "dst", "zone": "zb"}), "dst")
     return e.where("za <> zb").groupBy(F.col("za").alias("src"), F.col("zb").alias("dst")).agg(F.count("*").alias("n"))
 
 
@@ -239,6 +249,11 @@ def _touching(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the same measures over all touching objects; those on the sparse graph keep their SQL
 
 
+@query("touch_zone_dependencies", f"WITH g AS ({_GRID}) SELECT a.zone AS src, b.zone AS dst, count(*) AS n FROM ({_PRECEDE.replace('{PARTS}', '{EDGES}')}) e JOIN g a ON e.src = a.id JOIN g b ON e.dst = b.id WHERE a.zone <> b.zone GROUP BY 1, 2")
+def touch_zone_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _across(_zoned(spark, sf_dir), touch_precedence_dag(spark, sf_dir))
+
+
 @query("touch_clustering")
 def touch_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.clustering(objects(spark, sf_dir), graph.cut(_touching(spark, sf_dir)))

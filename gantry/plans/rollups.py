@@ -227,11 +227,11 @@ def isolated_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rank_min", "SELECT id, rank() OVER (ORDER BY coalesce(weight, 0) DESC) AS rank FROM ({OBJ})")
 def rank_min(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rank is one more than the objects above it: counts a value and a window over the distinct values alone."""
+    """The rank is one more than the objects above it: counts of each value, summed over the values above by ranges."""
     o = objects(spark, sf_dir).select("id", F.coalesce("weight", F.lit(0.0)).alias("w"))
-    n = o.groupBy("w").agg(F.count("*").alias("n"))
-    above = n.withColumn("rank", F.coalesce(F.sum("n").over(Window.orderBy(F.desc("w")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1)
-    return o.join(above, "w").select("id", "rank")
+    n = o.groupBy((-F.col("w")).alias("down")).agg(F.count("*").alias("n"))
+    above = rel.sum_before(n, F.col("n"), ["down"], "above")
+    return o.join(above, o["w"] == -above["down"]).select("id", (F.col("above") + 1).alias("rank"))
 
 
 @query("running_schedule", """SELECT o_custkey, o_orderkey, round(coalesce(sum(d) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 6) AS start_day, d AS days FROM (SELECT *, greatest(0.25, round(o_totalprice / 100000, 2)) AS d FROM orders)""")

@@ -134,3 +134,17 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(60)
     key = ["start", "event_type"]
     assert [(r["start"], r["event_type"], r["n"]) for r in spark.table("windowed").orderBy(key).collect()] == [(r["start"], r["event_type"], r["n"]) for r in windowed_counts(batch).orderBy(key).collect()]
+
+
+def test_order_over_ranges(spark):
+    """Sums and forerunners do not depend on where one range ends, also with one group that spans them all."""
+    rows = [(k % 2 if k < 20 else 2, k * 7 % 101, k) for k in range(101)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.createDataFrame(rows, "g bigint, z bigint, id bigint").repartition(5)
+    assert rel.in_ranges(df, ["g", "z", "id"]).select("_part").distinct().count() > 3
+    turn = sorted(rows)
+    got = {r["id"]: (r["before"], r["upto"]) for r in rel.sum_before(rel.row_before(df, "id", "g", ["z", "id"], "before"), F.col("id"), ["g", "z", "id"], "upto").collect()}
+    for i, (g, _, k) in enumerate(turn):
+        assert got[k] == (turn[i - 1][2] if i and turn[i - 1][0] == g else None, sum(x[2] for x in turn[:i]))
+    assert rel.row_before(df.limit(0), "id", "g", ["z", "id"], "before").collect() == []
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
