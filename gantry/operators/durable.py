@@ -1,14 +1,15 @@
-"""Cutting lineage with a reliable checkpoint, which outlives lost executors."""
+"""Cutting lineage with a reliable checkpoint or a written table, which outlive lost executors."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, computed and kept in the folder of spark.checkpoint.dir (a temporary one where it is unset and the master is local, as in tests)."""
+def _shared(df: DataFrame) -> str:
+    """The checkpoint folder (a temporary one where it is unset and the master is local, as in tests)."""
     context = df.sparkSession.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
         spark = df.sparkSession
@@ -16,4 +17,17 @@ def cut(df: DataFrame) -> DataFrame:
         if not found and (not master.startswith("local") or master.startswith("local-cluster")):
             raise ValueError("spark.checkpoint.dir is not set: on a cluster, name a folder there that all executors share")
         spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="gantry-"))
+    return context.getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, computed and kept in the folder of spark.checkpoint.dir."""
+    _shared(df)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """As cut(), for loops of many rounds: a table knows its size, where a checkpoint's guess is the product of all rounds before."""
+    path = f"{_shared(df)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -148,3 +148,33 @@ def test_order_over_ranges(spark):
         assert got[k] == (turn[i - 1][2] if i and turn[i - 1][0] == g else None, sum(x[2] for x in turn[:i]))
     assert rel.row_before(df.limit(0), "id", "g", ["z", "id"], "before").collect() == []
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def modularity(zone, edges):
+    degree = {k: sum(k in e for e in edges) for k in zone}
+    m2 = 2 * len(edges)
+    return sum(2 * (zone[a] == zone[b]) for a, b in edges) / m2 - sum(sum(degree[k] for k in zone if zone[k] == z) ** 2 for z in set(zone.values())) / m2**2
+
+
+def one_by_one(nodes, edges):
+    """Communities merged pair by pair while that raises modularity most."""
+    zone = {k: k for k in nodes}
+    while True:
+        ways = [(modularity({k: a if z == b else z for k, z in zone.items()}, edges), a, b) for a, b in {(zone[a], zone[b]) for a, b in edges if zone[a] != zone[b]}]
+        if not ways or max(ways)[0] <= modularity(zone, edges) + 1e-9:
+            return zone
+        _, a, b = max(ways)
+        zone = {k: a if z == b else z for k, z in zone.items()}
+
+
+@pytest.mark.parametrize("kind", ["chain", "cliques"])
+def test_zones_by_levels(spark, kind):
+    """Communities of a chain and of cliques in a ring are about as good as those found one by one."""
+    if kind == "chain":
+        edges = [(k, k + 1) for k in range(47)]
+    else:
+        edges = [(6 * c + i, 6 * c + j) for c in range(8) for i in range(6) for j in range(i + 1, 6)] + [tuple(sorted((6 * c, (6 * c + 9) % 48))) for c in range(8)]
+    got = dict(graph.zones(frame(spark, [(k,) for k in range(50)], "id bigint"), frame(spark, edges, "src bigint, dst bigint")).collect())
+    assert sorted(got) == list(range(50)) and got[48] == 48 and got[49] == 49
+    assert all(z == min(k for k in got if got[k] == z) for z in got.values())
+    assert modularity(got, edges) >= 0.95 * modularity(one_by_one(range(50), edges), edges)
