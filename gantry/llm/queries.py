@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import lm, media, packing, pieces, quality, simhash, substring, token_files, url_filter, warc
+from gantry.llm import fim, lm, media, packing, pieces, quality, simhash, substring, token_files, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -180,3 +180,36 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_token_counts"] = op4_token_counts
+
+
+# 11: fill-in-middle ----------------------------------------------------------------------------------------------
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(_table(spark, sf_dir, "documents"))
+    digests = [F.sha2(c.cast("binary"), 256).alias(name) for c, name in ((F.col("output"), "output_sha256"), (fim.restored(), "restored_sha256"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id::VARCHAR) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), k AS (
+  SELECT doc_id, t, u, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d
+), c AS (
+  SELECT doc_id, t, u, n, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM k
+), o AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:lo], '') AS p, array_to_string(u[lo + 1:hi], '') AS m, array_to_string(u[hi + 1:], '') AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM o
+"""
+
+QUERIES["op11_fill_in_middle"] = op11_fill_in_middle
+ORACLES["op11_fill_in_middle"] = OP11_SQL
