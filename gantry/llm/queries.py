@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import fim, lm, media, packing, pieces, quality, simhash, substring, token_files, url_filter, warc
+from gantry.llm import fim, importance, lm, media, packing, pieces, quality, simhash, substring, token_files, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -213,3 +213,13 @@ FROM o
 
 QUERIES["op11_fill_in_middle"] = op11_fill_in_middle
 ORACLES["op11_fill_in_middle"] = OP11_SQL
+
+
+# 12: target-distribution importance resampling -------------------------------------------------------------------
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op12_importance"] = op12_importance
