@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.llm import fim, importance, lm, media, packing, pieces, quality, simhash, substring, token_files, url_filter, warc
+from gantry.llm import fim, importance, lm, media, neighbours, packing, pieces, quality, simhash, substring, token_files, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -223,3 +223,13 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op12_importance"] = op12_importance
+
+
+# 13: embedding near-duplicates -----------------------------------------------------------------------------------
+
+
+def op13_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op13_embeddings"] = op13_embeddings
