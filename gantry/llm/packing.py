@@ -136,16 +136,17 @@ class WordTokenizer:
     Most words are letters with or without closing points and commas. Their letters are one unit to the tokenizer, in
     either case of A-Z, so distinct ones are encoded many to a string and cut where a piece ends a unit; all other
     words are encoded singly. Ids of words are kept for the worker's later tasks, in two generations of CACHED_WORDS.
+    A special token's name in a text is that token, as the tokenizer takes it by itself; with `literal` it is mere text.
     """
 
     TAIL = b".,;:!?"
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, literal: bool = False) -> None:
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.of = Tokenizer.from_file(path)
-        self.of.encode_special_tokens = True
+        self.of.encode_special_tokens = literal
         ends = {i for piece, i in self.of.get_vocab().items() if piece.endswith("</w>")}
         self.ends = np.zeros(self.of.get_vocab_size(), bool)
         self.ends[list(ends)] = True
@@ -154,12 +155,12 @@ class WordTokenizer:
         self.older: dict[bytes, bytes] = {}
 
     @staticmethod
-    def kept(path: str) -> WordTokenizer:
+    def kept(path: str, literal: bool = False) -> WordTokenizer:
         """That of this worker process, if an earlier task has made one."""
         found = shelf("word_tokenizers")
-        if path not in found:
-            found[path] = WordTokenizer(path)
-        return found[path]
+        if (path, literal) not in found:
+            found[path, literal] = WordTokenizer(path, literal)
+        return found[path, literal]
 
     def _singly(self, words: list[bytes]) -> dict[bytes, bytes]:
         out = {}

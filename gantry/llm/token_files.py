@@ -38,7 +38,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, separator: int =
     """(path, bytes, ordinal, key): where each row went. bytes is set once a file, on its first document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer.kept(tokenizer)
+        words = WordTokenizer.kept(tokenizer, literal=True)  # no text may give the separator
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
         out, path, n = None, "", 0

@@ -190,17 +190,29 @@ def test_pack_odd_rows(spark, odd, none):
     assert packing.pack(none, WORD).collect() == []
 
 
-def test_word_tokenizer():
+@pytest.mark.parametrize("literal", [False, True])
+def test_word_tokenizer(literal):
+    """As the tokenizer itself; with `literal`, the names of its special tokens are mere text."""
     import pyarrow as pa
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(WORD)
-    t.encode_special_tokens = True
+    t.encode_special_tokens = literal
     texts = ["ΣΑΣ foo's 12ab3 a.b, x!! don't… İstanbul é́ <|endoftext|> ﬁ naïve nbsp \x1c y \x85z '.' ...", "", "́a ² ½ 漢字,", "ABC.,; abc ABC", "x" * 300]
-    ids, bounds = packing.WordTokenizer(WORD).encode_all(pa.array(texts))
+    texts += ["a <|endoftext|> b", "a<|startoftext|>b<|endoftext|>", "<|ENDOFTEXT|>. <|endoftext|>."]
+    ids, bounds = packing.WordTokenizer(WORD, literal).encode_all(pa.array(texts))
     assert [ids[a:z].tolist() for a, z in zip(bounds[:-1], bounds[1:], strict=True)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+def test_packed_special_tokens(spark):
+    from tokenizers import Tokenizer
+
+    t, text = Tokenizer.from_file(WORD), "a <|endoftext|> b <|startoftext|>"
+    ids = np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    [r] = packing.pack(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), WORD).collect()
+    assert (r["length"], r["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 # token files
 
 
@@ -236,6 +248,22 @@ def best(word, scores, unknown):
     return table[-1]
 
 
+def best_of_long(word, scores, unknown, deepest):
+    """As best, for long words: back pointers, and no piece longer than the longest."""
+    total, came = [0.0] + [-np.inf] * len(word), [0] * (len(word) + 1)
+    for end in range(1, len(word) + 1):
+        for start in range(max(0, end - deepest), end):
+            if word[start:end] in scores or end - start == 1:
+                s = total[start] + scores.get(word[start:end], unknown)
+                if s > total[end]:
+                    total[end], came[end] = s, start
+    path, end = [], len(word)
+    while end:
+        path.append(word[came[end] : end])
+        end = came[end]
+    return path[::-1]
+
+
 def test_viterbi_is_best():
     names, stored, types = pieces.read_model(PIECE)
     m = pieces.Unigram(names, pieces.rank_scores(stored), types)
@@ -248,6 +276,35 @@ def test_viterbi_is_best():
         assert got == [y for x in plain for y in ([x] if isinstance(x, str) else x)]
 
 
+def test_whole_documents_and_unspaced_text_are_segmented_best(spark):
+    """Every document of a table, and long text without spaces, both ways of walking against the plain programme."""
+    names, stored, types = pieces.read_model(PIECE)
+    m = pieces.Unigram(names, pieces.rank_scores(stored), types)
+    scores = {p: float(s) for p, s, t in zip(names, m.scores, types, strict=True) if t == pieces.NORMAL}
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    rng = np.random.default_rng(8)
+    texts += ["".join(rng.choice(list("abcdeghilnorstu漢字語ßé😀"), 3000)), "漢字" * 500, "a" * 4000]
+    deepest, seen = max(map(len, scores)), {}
+    for text, ids in zip(texts, m.encode_all(texts), strict=True):
+        if not text:
+            assert ids == b""
+            continue
+        got, at = [names[i] for i in np.frombuffer(ids, "<u4")], 0
+        for unit in pieces._units(text):
+            unit = pieces.MARK + unit.replace(" ", pieces.MARK)
+            if unit not in seen:
+                path = best_of_long(unit, scores, float(m.unknown), deepest)
+                seen[unit] = [y for x in path for y in ([x] if x in scores else [f"<0x{b:02X}>" for b in x.encode()])]
+            want = seen[unit]
+            own = got[at : at + len(want)]
+            at += len(want)
+            if own != want:  # another path of the same score
+                assert sum(scores.get(x, 0.0) for x in own) == pytest.approx(sum(scores.get(x, 0.0) for x in want)) and "".join(own) == "".join(want)
+        assert at == len(got)
+    units = [(pieces.MARK + w).encode() for t in texts[-3:] for w in (t, t[:700])]
+    assert [m._alone(u) for u in units] == m._viterbi(units)
+
+
 def test_pieces_round_trip(odd, none):
     got = pieces.encode(odd, PIECE).collect()
     assert len(got) == len(ROWS) and all(r["round_trip"] for r in got)
