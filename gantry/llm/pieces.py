@@ -4,10 +4,12 @@ Spaces become the marker U+2581 and one marker goes before the text. The best se
 summed log score over the pieces found in the trie; a character that no piece covers alone may stand as unknown, at
 UNKNOWN_PENALTY under the least ordinary score, and is written as its bytes' pieces. As no piece has a marker behind another
 character (checked when the model is read), paths never cross into the next word: each word is segmented once, many
-words side by side, and kept for the worker's later tasks.
+words side by side, and kept for the worker's later tasks. Few long words (text without spaces) are walked byte by byte,
+in a time that grows with their bytes: about a second and a half a megabyte.
 
 Decoding joins pieces and bytes, turns markers into spaces and drops the first. It gives back every text that has no
-U+2581 of its own. Null and empty texts have no pieces. Repeated rows are encoded each. An empty table gives an empty
+U+2581 of its own. Of segmentations with equal scores the one found first stays: shorter pieces at the left, then at the
+right. Null and empty texts have no pieces. Repeated rows are encoded each. An empty table gives an empty
 result. Columns other than key and text are ignored.
 """
 
@@ -33,6 +35,8 @@ UNKNOWN_PENALTY = 10.0
 NEVER = -1e8
 #: Words kept by a worker (in two generations), and the longest one kept.
 CACHED_WORDS, CACHED_CHARS = 500_000, 48
+#: Units of like length that are walked byte by byte, one after the other; more are walked together.
+ALONE = 64
 
 
 # the model file ----------------------------------------------------------------------------------------------------
@@ -174,6 +178,7 @@ class Unigram:
             self.text_of[i] = b""
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.lists: list[list] | None = None
 
     def segment(self, units: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each unit; units of like length are walked together."""
@@ -184,11 +189,47 @@ class Unigram:
             n = 1
             while at + n < len(order) and n < 8192 and (n + 1) * len(units[order[at + n]]) <= max(1 << 20, len(units[order[at]])) and len(units[order[at + n]]) <= 2 * len(units[order[at]]) + 8:
                 n += 1
-            for i, ids in zip(order[at : at + n], self._viterbi([units[i] for i in order[at : at + n]]), strict=True):
+            own = [units[i] for i in order[at : at + n]]
+            for i, ids in zip(order[at : at + n], self._viterbi(own) if n > ALONE else map(self._alone, own), strict=True):
                 out[i] = ids
             at += n
         return out
 
+    def _alone(self, unit: bytes) -> bytes:
+        """As _viterbi, byte by byte: for long units, of which there are too few to be walked together."""
+        if self.lists is None:
+            self.lists = [x.tolist() for x in (self.trie.base, self.trie.check, self.trie.value, self.scores)]
+        base, check, value, scores = self.lists
+        n = len(unit)
+        best, came, piece = [-np.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
+        best[0] = 0.0
+        for s in range(n):
+            lead = unit[s]
+            if lead & 0xC0 == 0x80:
+                continue
+            char = s + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+            here, state, bare = best[s], 0, True
+            for e in range(s, n):
+                to = base[state] + unit[e] + 1
+                if check[to] != state:
+                    break
+                state = to
+                v = value[to]
+                if v >= 0:
+                    if e + 1 == char:
+                        bare = False
+                    score = here + scores[v]
+                    if score > best[e + 1]:
+                        best[e + 1], came[e + 1], piece[e + 1] = score, s, v
+            if bare and (score := here + self.unknown) > best[char]:
+                best[char], came[char], piece[char] = score, s, -1
+        ids, e = [], n
+        while e:
+            s = came[e]
+            ids += [piece[e]] if piece[e] >= 0 else self.byte_id[np.frombuffer(unit[s:e], np.uint8)][::-1].tolist()
+            e = s
+        return np.array(ids[::-1], "<u4").tobytes()
+
     def _viterbi(self, units: list[bytes]) -> list[bytes]:
         n = len(units)
         size = np.fromiter(map(len, units), np.int64, n)
