@@ -13,6 +13,8 @@ fingerprint and so a component. An empty table gives an empty result. Columns ot
 
 from __future__ import annotations
 
+import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
@@ -317,9 +319,36 @@ def similar(a: str | None, b: str | None, width: int, least: float) -> bool:
     return both >= least * (len(x) + len(y) - both)
 
 
-def text_id(words: list[bytes]) -> int:
-    """Texts with equal words are one; a signed 64-bit integer."""
-    return int.from_bytes(xxhash.xxh3_64_digest(b" ".join(words)), "big", signed=True)
+def text_digest(words: list[bytes]) -> bytes:
+    """Texts with equal words are one: 128 bits."""
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
+def text_id(digest: bytes, moved: dict[bytes, int], bits: int = 64) -> int:
+    """A signed 64-bit integer for a digest: its last bits, or what moved has for it, where those of another text are the same."""
+    found = moved.get(digest) if moved else None
+    return found if found is not None else int.from_bytes(digest[-8:], "big", signed=True) >> (64 - bits)
+
+
+def clashing(kinds: DataFrame, bits: int) -> dict[bytes, int]:
+    """New ids for the digests among (id, digest) that share an id of `bits` bits with another: other hashes of them, until all differ.
+
+    At 64 bits there are about n * n / 2^65 of them: some ten among 2 * 10^10 texts.
+    """
+    moved: dict[bytes, int] = {}
+    spark, turn = kinds.sparkSession, 0
+    clash = kinds.groupBy("id").count().where("count > 1").select("id")
+    open_ = [bytes(r["digest"]) for r in kinds.join(clash, "id", "left_semi").select("digest").collect()]
+    while open_:
+        turn += 1
+        tried = {d: int.from_bytes(hashlib.blake2b(d, digest_size=8, salt=turn.to_bytes(4, "big")).digest(), "big", signed=True) for d in open_}
+        taken = {r["id"] for r in kinds.join(F.broadcast(spark.createDataFrame([(i,) for i in tried.values()], "id bigint")), "id", "left_semi").select("id").distinct().collect()}
+        taken |= set(moved.values())
+        counts = Counter(tried.values())
+        good = {d: i for d, i in tried.items() if i not in taken and counts[i] == 1}
+        moved |= good
+        open_ = [d for d in open_ if d not in good]
+    return moved
 
 
 def shingle_set(words: list[bytes], width: int) -> np.ndarray:
@@ -370,7 +399,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[label[moved]], nodes[moved]
 
 
-def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, seeds: int = 4, budget: int = BUDGET) -> DataFrame:
+def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, seeds: int = 4, budget: int = BUDGET, id_bits: int = 64) -> DataFrame:
     """(key, component): documents linked by a shingle similarity of `similarity` or more; component is the least key.
 
     First the trie self-join above, once a seed, over word-set fingerprints: what it links within `budget` bits and the
@@ -379,7 +408,8 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     order common to all (rare shingles first), so no link is missed. Pairs inside one cluster are left out, as are those
     whose sizes, places or parity bits prove them unlike; each pair left is held against the shingles of both texts.
     Where candidates are dense (a template's many versions), whole components of candidates are compared inside tasks
-    and only a forest of the links found leaves them. Texts with equal words are one document here.
+    and only a forest of the links found leaves them. Texts with equal words are one document here, told by 128 bits; tasks
+name them by 64 (id_bits, for tests), and texts whose names would be the same get others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,35 +420,41 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
             found, n = np.unique(np.concatenate(held), return_counts=True)
             found, n = found[n >= LEAST_MET].view(np.int64), n[n >= LEAST_MET]
             held.clear()
-            none = [pa.nulls(len(n), t) for t in (kind, pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary())]
+            none = [pa.nulls(len(n), t) for t in (kind, pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.binary())]
             return pa.record_batch([*none, pa.array(found), pa.array(n)], names)
 
         kind_of = None
         for b in batches:
             kind_of = b.column("key").type
-            ids, prints, sizes, bits = [], [], [], []
+            digests, prints, sizes, bits = [], [], [], []
             for t in b.column("text"):
                 words = words_of(t.as_py())
                 shingles = shingle_set(words, width)
                 held.append(shingles)
-                ids.append(text_id(words))
+                digests.append(text_digest(words))
                 prints.append(np.array(word_set_prints(words, seeds), np.uint64).view(np.int64).tolist())
                 sizes.append(len(shingles))
                 bits.append(parity_bits(shingles))
                 if len(held) == 512:
                     yield counted(kind_of)
-            none = [pa.nulls(len(ids), pa.int64())] * 2
-            yield pa.record_batch([b.column("key"), pa.array(ids, pa.int64()), pa.array(prints, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), *none], names)
+            none = [pa.nulls(len(digests), pa.int64())] * 2
+            ids = [text_id(d, {}, id_bits) for d in digests]
+            yield pa.record_batch([b.column("key"), pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(prints, pa.list_(pa.int64())), pa.array(sizes, pa.int64()), pa.array(bits, pa.binary()), *none], names)
         if held:
             yield counted(kind_of)
 
-    names = ["key", "id", "prints", "size", "bits", "shingle", "met"]
+    names = ["key", "id", "digest", "prints", "size", "bits", "shingle", "met"]
     kind = docs.schema[key].dataType.simpleString()
     plain = key_and_text(docs, key, text)
-    seen = durable(plain.mapInArrow(run, f"key {kind}, id bigint, prints array<bigint>, size bigint, bits binary, shingle bigint, met bigint"), "word-set-prints")
-    made = seen.where("id IS NOT NULL").select("key", "id", "prints", "size", "bits")
-    nodes = made.where("key IS NOT NULL").groupBy("id").agg(F.min("key").alias("node"), F.first("prints").alias("prints"), F.first("size").alias("size"), F.first("bits").alias("bits"))
+    seen = durable(plain.mapInArrow(run, f"key {kind}, id bigint, digest binary, prints array<bigint>, size bigint, bits binary, shingle bigint, met bigint"), "word-set-prints")
+    made = seen.where("id IS NOT NULL").select("key", "id", "digest", "prints", "size", "bits")
+    nodes = made.where("key IS NOT NULL").groupBy("id", "digest").agg(F.min("key").alias("node"), F.first("prints").alias("prints"), F.first("size").alias("size"), F.first("bits").alias("bits"))
     nodes = durable(nodes, "distinct-texts")
+    moved = clashing(nodes.select("id", "digest"), id_bits)
+    if moved:
+        new = F.broadcast(nodes.sparkSession.createDataFrame([(bytearray(d), i) for d, i in moved.items()], "moved binary, new_id bigint"))
+        renamed = lambda df: df.join(new, F.col("digest") == F.col("moved"), "left").withColumn("id", F.coalesce("new_id", "id")).drop("moved", "new_id")
+        made, nodes = renamed(made), durable(renamed(nodes), "distinct-texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of text ids that are similar."""
@@ -454,7 +490,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
 
         def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                yield pa.record_batch([pa.array([text_id(words_of(t.as_py())) for t in b.column("text")], pa.int64()), b.column("text")], ["id", "text"])
+                yield pa.record_batch([pa.array([text_id(text_digest(words_of(t.as_py())), moved, id_bits) for t in b.column("text")], pa.int64()), b.column("text")], ["id", "text"])
 
         asked = ids.join(nodes.select("id", "node"), "id").select("node").distinct()
         found = among(plain, "key", asked, "left_semi").mapInArrow(named, "id bigint, text string")
@@ -478,7 +514,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     met = seen.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("met").alias("met")).orderBy(F.desc("met"), "shingle").limit(MOST_FREQUENT)
     again = made.join(nodes.select("id", "node"), "id").where("key <> node").select("key").distinct()
     again = again.join(nodes.select(F.col("node").alias("key")), "key", "left_anti")
-    shared = shared_shingles(among(plain.where("key IS NOT NULL"), "key", again, "left_anti"), met, width, similarity)
+    shared = shared_shingles(among(plain.where("key IS NOT NULL"), "key", again, "left_anti"), met, width, similarity, moved, id_bits)
 
     def shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -500,7 +536,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", width:
     return made.join(of, made["id"] == of["known_id"], "left").select(F.col("key").alias(key), "component")
 
 
-def shared_shingles(texts: DataFrame, met: DataFrame, width: int, similarity: float) -> DataFrame:
+def shared_shingles(texts: DataFrame, met: DataFrame, width: int, similarity: float, moved: dict[bytes, int], id_bits: int = 64) -> DataFrame:
     """(shingle, id, place): the leading shingles of each text that lead in another text too. Those of met come last, the rest go by hash."""
     often = met.toArrow()
     names, counts = often.column("shingle").to_numpy().view(np.uint64), often.column("met").to_numpy()
@@ -519,7 +555,7 @@ def shared_shingles(texts: DataFrame, met: DataFrame, width: int, similarity: fl
                     at[names[np.minimum(at, len(names) - 1)] != own] = len(names)
                     own = own[np.argsort(counts[at], kind="stable")]
                 n = len(own) - int(np.ceil(similarity * len(own) - 1e-9)) + 1
-                out.append((own[:n].view(np.int64), np.full(n, text_id(words)), np.arange(n)))
+                out.append((own[:n].view(np.int64), np.full(n, text_id(text_digest(words), moved, id_bits)), np.arange(n)))
             if out:
                 yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["shingle", "id", "place"])
 

@@ -131,6 +131,17 @@ def test_near_copies_equal_all_pairs(spark, most, monkeypatch):
     assert [c for _, c in sorted(simhash.near_copies(docs).collect())] == roots(len(texts), pairs)
 
 
+@pytest.mark.parametrize("bits", [5, 1])
+def test_texts_whose_names_meet_stay_apart(spark, bits):
+    """Names of a few bits: unlike texts share them, and still each is compared and kept by its own words."""
+    rng = np.random.default_rng(2)
+    source = [[f"w{x}" for x in rng.integers(0, 50_000, 120)] for _ in range(30)]
+    texts = [t for s in source for t in (s, [*s[:60], "changed", *s[61:]])] + [[], [], source[3]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    want = {i: i - i % 2 for i in range(60)} | {60: 60, 61: 60, 62: 6}
+    assert dict(simhash.near_copies(docs, id_bits=bits).collect()) == want
+
+
 def test_copies_beside_an_unlike_text_are_found(spark, monkeypatch):
     """All fingerprints agree, so that the forest holds each text against one unlike text only."""
     monkeypatch.setattr(simhash, "word_set_prints", lambda words, seeds: [0] * seeds)
