@@ -4,9 +4,10 @@ A text is cut before a word where the gear hash of the WINDOW bytes up to it fal
 depend on the bytes around them alone and an insertion moves no cut beyond its window; and before every word that has
 no such cut at itself and the MOST_WORDS words before it, so that a text of one word over and over has cuts too. A chunk begins at every cut and
 ends at the first cut from which it has `min_words` words or more, so chunks overlap: a passage is found from its first
-cut to its last, and nothing shorter than `min_words` words in one piece counts as repeated. Equal chunks have equal
-digests. Of equal chunks that of the least (document, position) stays, and the bytes of all others are removed. Of each
-removed chunk an equal one stands at a lesser place, so every passage stays somewhere.
+cut to its last, and nothing shorter than `min_words` words in one piece counts as repeated. Chunks with equal digests of
+128 bits are equal. Of equal chunks that of the least (document, position) is not removed, and the bytes of all others
+are. Parts of the one that is not removed may still go with another chunk that overlaps it, which then has an equal at a
+lesser place: so each piece between two cuts stands somewhere in the result, but a passage may stand in pieces only.
 
 Chunks are not shuffled as rows. Documents are held in pages of a few MB (whole rows as one Arrow block). A page asks,
 for each of its distinct digests, once, in one packed row a bucket of digests, whether a lesser document has it; the
@@ -52,6 +53,8 @@ PAGES_A_HEAT = 4096
 _BYTES_A_CUT = 2.4
 #: A page's name: 8 bytes of its content, 8 of chance.
 _NAME = np.dtype([("content", "u8"), ("chance", "u8")])
+#: A chunk's digest: 128 bits, for equal digests decide what is removed.
+_DIGEST = np.dtype([("low", "u8"), ("high", "u8")])
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -96,9 +99,9 @@ class Chunks:
         self.words = np.diff(upto)
         past = np.searchsorted(upto, upto[:-1] + least)
         self.past = past[past <= len(bounds)]
-        n, of = len(self.past), xxhash.xxh3_64_intdigest
+        n, of = len(self.past), xxhash.xxh3_128_digest
         last = word_ends[upto[self.past] - 1] if n else bounds[:0]  # white space behind a chunk is not part of it
-        self.digest = np.fromiter((of(text[a:z]) for a, z in zip(bounds[:n].tolist(), last.tolist(), strict=True)), np.uint64, n)
+        self.digest = np.frombuffer(b"".join(of(text[a:z]) for a, z in zip(bounds[:n].tolist(), last.tolist(), strict=True)), _DIGEST)
 
 
 def runs(repeated: np.ndarray, past: np.ndarray, pieces: int) -> np.ndarray:
@@ -111,21 +114,23 @@ def runs(repeated: np.ndarray, past: np.ndarray, pieces: int) -> np.ndarray:
     return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)], axis=1)
 
 
-def ranks(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct names in order, the number of each among them); as np.unique, which is slow on pairs."""
-    order = np.lexsort((names["chance"], names["content"]))
-    turn = names[order]
-    new = np.concatenate([[True], turn[1:] != turn[:-1]])
-    of = np.empty(len(names), np.int64)
+def ranks(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct pairs in order, the place of each one's first, the number of each among them); as np.unique, which is slow on pairs."""
+    one, two = (pairs[f] for f in pairs.dtype.names)
+    order = np.lexsort((two, one))
+    a, b = one[order], two[order]
+    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])[: len(pairs)]
+    of = np.empty(len(pairs), np.int64)
     of[order] = np.cumsum(new) - 1
-    return turn[new], of
+    return pairs[order[new]], order[new], of
 
 
 def contest(pages: np.ndarray, of: np.ndarray, digest: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, list[tuple[bytes, bytes]]]:
     """(places of the least (owner, page) of each digest, (page, digests) of all others); of is each entry's page."""
-    order = np.lexsort((of, owner, digest))
+    order = np.lexsort((of, owner, digest["high"], digest["low"]))
+    low, high = digest["low"][order], digest["high"][order]
     later = np.zeros(len(order), bool)
-    later[1:] = digest[order[1:]] == digest[order[:-1]]
+    later[1:] = (low[1:] == low[:-1]) & (high[1:] == high[:-1])
     beaten = order[later]
     beaten = beaten[np.argsort(of[beaten], kind="stable")]
     cuts = np.searchsorted(of[beaten], np.arange(len(pages) + 1))
@@ -134,6 +139,7 @@ def contest(pages: np.ndarray, of: np.ndarray, digest: np.ndarray, owner: np.nda
 
 def by_bucket(digest: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, places of its digests), those with any."""
+    digest = digest["low"]
     bucket = (digest % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
@@ -144,12 +150,12 @@ def by_bucket(digest: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarra
 
 def _repeated(digests: list[np.ndarray], answers: list[bytes]) -> np.ndarray:
     """Of a page's chunks in order: whether a lesser document elsewhere has it, or an earlier chunk of the page."""
-    every = np.concatenate([*digests, np.zeros(0, np.uint64)])
-    kinds, first, back = np.unique(every, return_index=True, return_inverse=True)
+    lesser = np.frombuffer(b"".join(answers), _DIGEST)  # all of them are digests that the page asked for
+    every = np.concatenate([*digests, np.zeros(0, _DIGEST)])
+    kinds, first, of = ranks(np.concatenate([every, lesser]))
     elsewhere = np.zeros(len(kinds), bool)
-    if answers:
-        lesser = np.concatenate([np.frombuffer(a, np.uint64) for a in answers])
-        elsewhere[np.searchsorted(kinds, lesser)] = True  # all of them are digests that the page asked for
+    elsewhere[of[len(every) :]] = True
+    back = of[: len(every)]
     out = np.ones(len(every), bool)
     out[first] = False
     return out | elsewhere[back]
@@ -220,46 +226,54 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
         """For each page and bucket: the page's distinct digests there and the least key that has each."""
         for b in batches:
             for page, block in zip(b.column("page").to_pylist(), b.column("block").to_pylist(), strict=True):
-                digests, owners = [], []
+                digests, owners, keys = [], [], []
                 for _, k, c in chunked(block):
                     digests.append(c.digest)
-                    owners.append(np.full(len(c.digest), none if k is None else k, np.int64))
+                    owners.append(np.full(len(c.digest), len(keys), np.uint32))
+                    keys.append(none if k is None else k)
                 if not digests:
                     continue
-                digest, first = np.unique(np.concatenate(digests), return_index=True)
+                digest, first, _ = ranks(np.concatenate(digests))
                 owner = np.concatenate(owners)[first]
                 own = int.from_bytes(page[8:12]) % heats
-                rows = [(page, own, i, digest[at].tobytes(), owner[at].tobytes()) for i, at in by_bucket(digest, buckets)]
-                yield pa.record_batch([pa.array([r[n] for r in rows], t) for n, t in enumerate((pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["names", "heat", "bucket", "digests", "owners"])
+                rows = []
+                for i, at in by_bucket(digest, buckets):
+                    # the row's documents once, and for each digest the number of its own among them
+                    held, number = np.unique(owner[at], return_inverse=True)
+                    rows.append((page, own, i, digest[at].tobytes(), number.astype(np.uint32).tobytes(), np.array(keys, np.int64)[held].tobytes()))
+                yield pa.record_batch([pa.array([r[n] for r in rows], t) for n, t in enumerate((pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["names", "heat", "bucket", "digests", "owners", "keys"])
 
     def meet(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(pages, page of each, digest, owner) of the entries of a group; a row names one page for all its digests or one for each."""
-        digests = [np.frombuffer(d.as_py(), np.uint64) for d in t.column("digests")]
+        digests = [np.frombuffer(d.as_py(), _DIGEST) for d in t.column("digests")]
         names = [np.frombuffer(p.as_py(), _NAME) for p in t.column("names")]
-        pages, of = ranks(np.concatenate(names))
+        pages, _, of = ranks(np.concatenate(names))
         times = np.concatenate([np.full(len(p), len(d) // len(p)) for p, d in zip(names, digests, strict=True)])
-        return pages, np.repeat(of, times), np.concatenate(digests), np.concatenate([np.frombuffer(o.as_py(), np.int64) for o in t.column("owners")])
+        owners = [np.frombuffer(k.as_py(), np.int64)[np.frombuffer(o.as_py(), np.uint32)] for o, k in zip(t.column("owners"), t.column("keys"), strict=True)]
+        return pages, np.repeat(of, times), np.concatenate(digests), np.concatenate(owners)
 
     def heat(t: pa.Table) -> pa.Table:
         """One bucket of one heat: answers to all but the least holders, who go on (rows without a page) where there are other heats."""
         among, of, digest, owner = meet(t)
         least, answers = contest(among, of, digest, owner)
-        rows = [(page, d, None, None, None) for page, d in answers]
+        rows = [(page, d, None, None, None, None) for page, d in answers]
         if heats > 1:
             names, digest, owner = among[of[least]], digest[least], owner[least]
-            rows += [(None, digest[at].tobytes(), names[at].tobytes(), i, owner[at].tobytes()) for i, at in by_bucket(digest, final)]
-        types = (pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary())
-        return pa.table([pa.array([r[n] for r in rows], x) for n, x in enumerate(types)], ["page", "digests", "names", "bucket", "owners"])
+            for i, at in by_bucket(digest, final):
+                held, number = np.unique(owner[at], return_inverse=True)
+                rows.append((None, digest[at].tobytes(), names[at].tobytes(), i, number.astype(np.uint32).tobytes(), held.tobytes()))
+        types = (pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array([r[n] for r in rows], x) for n, x in enumerate(types)], ["page", "digests", "names", "bucket", "owners", "keys"])
 
     def last(t: pa.Table) -> pa.Table:
         _, answers = contest(*meet(t))
         return pa.table([pa.array([r[n] for r in answers], pa.binary()) for n in (0, 1)], ["page", "digests"])
 
-    asked = pages.mapInArrow(ask, "names binary, heat int, bucket int, digests binary, owners binary")
-    answers = asked.groupBy("heat", "bucket").applyInArrow(heat, "page binary, digests binary, names binary, bucket int, owners binary")
+    asked = pages.mapInArrow(ask, "names binary, heat int, bucket int, digests binary, owners binary, keys binary")
+    answers = asked.groupBy("heat", "bucket").applyInArrow(heat, "page binary, digests binary, names binary, bucket int, owners binary, keys binary")
     if heats > 1:
         answers = durable(answers, "heats")
-        on = answers.where("page IS NULL").select("names", "bucket", "digests", "owners")
+        on = answers.where("page IS NULL").select("names", "bucket", "digests", "owners", "keys")
         answers = answers.where("page IS NOT NULL").select("page", "digests").union(on.groupBy("bucket").applyInArrow(last, "page binary, digests binary"))
     gathered = answers.groupBy("page").agg(F.collect_list("digests").alias("answers")).withColumnRenamed("page", "to_page")
     joined = pages.join(gathered, pages["page"] == gathered["to_page"], "left").select("block", "answers")

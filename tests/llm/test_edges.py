@@ -255,3 +255,20 @@ def test_a_shared_folder_is_asked_for_on_clusters():
 def test_shelf_outlives_the_package():
     common.shelf("test")["x"] = pa
     assert common.shelf("test")["x"] is pa
+
+
+@pytest.mark.parametrize("part", ["low", "high"])
+def test_half_a_digest_removes_nothing(spark, monkeypatch, part):
+    """Chunks whose digests agree in one half only are different chunks, and no text is cut."""
+    of = xxhash.xxh3_128_digest
+
+    def half(data):
+        made = of(data)
+        return bytes(8) + made[8:] if part == "low" else made[:8] + bytes(8)
+
+    monkeypatch.setattr(substring.xxhash, "xxh3_128_digest", half)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10_000, 200)) for _ in range(12)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[3]])), "doc_id bigint, text string")
+    left = dict(substring.dedupe(docs).select("doc_id", "text").collect())
+    assert [left[i] for i in range(12)] == texts and len(left[12].split()) < 20
