@@ -58,7 +58,7 @@ class Search:
     moving: float = 0.05
     recall: float = 0.99
     audited: int = 1000
-    block: int = 2000
+    block: int = 500
     seed: int = 13
 
 
