@@ -1,11 +1,13 @@
-"""Cutting lineage with a reliable checkpoint or a written table, which outlive lost executors."""
+"""Cutting lineage with a reliable checkpoint or a written table, which outlive lost executors and are removed when the driver ends."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _shared(df: DataFrame) -> str:
@@ -17,7 +19,20 @@ def _shared(df: DataFrame) -> str:
         if not found and (not master.startswith("local") or master.startswith("local-cluster")):
             raise ValueError("spark.checkpoint.dir is not set: on a cluster, name a folder there that all executors share")
         spark.sparkContext.setCheckpointDir(found or tempfile.mkdtemp(prefix="gantry-"))
-    return context.getCheckpointDir().get()
+    folder = context.getCheckpointDir().get()
+    if folder not in _checkpoints:  # Spark makes one of its own under the folder that is set, for this driver alone
+        _checkpoints.add(folder)
+        atexit.register(_remove, df.sparkSession, folder)
+    return folder
+
+
+_checkpoints: set[str] = set()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have gone before the driver's Python
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut(df: DataFrame) -> DataFrame:

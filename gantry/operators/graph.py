@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gantry.operators.cycles import break_cycles, strongly_connected  # noqa: F401
 from gantry.operators.durable import cut, written
 from gantry.operators.relational import canonical_pairs, keep_first, place_in
 
+#: Steps along a chain that are planned as one round, between two tables.
+STEPS_A_ROUND = 6
+
 
 def degrees(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, degree) of every node; pairs are canonical."""
@@ -53,51 +57,30 @@ def components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         label = label.drop("was")
 
 
-def longest_path(edges: DataFrame, most_rounds: int = 100_000) -> DataFrame:
-    """(id, depth, before): the most edges on a path that ends at each node of an acyclic graph, and the node before it there."""
-    ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    state = cut(ids.select("id", F.lit(0).alias("depth"), F.lit(None).cast("bigint").alias("before")))
-    nodes = state.count()
-    for _ in range(min(most_rounds, nodes + 1)):
-        best = edges.join(state, edges["src"] == state["id"]).groupBy("dst").agg(F.max(F.struct((F.col("depth") + 1).alias("depth"), (-F.col("src")).alias("least"))).alias("best"))
-        new = state.join(best, state["id"] == best["dst"], "left").select("id", F.coalesce("best.depth", F.lit(0)).alias("depth"), (-F.col("best.least")).alias("before"), F.col("depth").alias("was"))
-        new = cut(new)
-        done = new.where("depth <> was").isEmpty()
-        state = new.drop("was")
-        if done:
-            return state
-    raise ValueError("the graph has a cycle")
-
-
-def on_cycles(edges: DataFrame) -> DataFrame:
-    """The edges left when all that lead to or from a node without the other kind are peeled off, round by round."""
-    left = cut(edges)
-    n = left.count()
-    while n:
-        ends = left.select(F.col("dst").alias("src")).distinct()
-        starts = left.select(F.col("src").alias("dst")).distinct()
-        left = cut(left.join(ends, "src", "left_semi").join(starts, "dst", "left_semi").select(edges.columns))
-        was, n = n, left.count()
-        if n == was:
-            break
-    return left
-
-
-def break_cycles(edges: DataFrame) -> DataFrame:
-    """An acyclic subset of the edges (src, dst, ...). Edges on no cycle all stay.
+def longest_path(edges: DataFrame) -> DataFrame:
+    """(id, depth, before): the most edges on a path that ends at each node of an acyclic graph, and the least node before it there.
 
-    In each round, in each weakly connected part of what lies on cycles, the edges into its least node go: those close
-    every cycle that runs through it. Parts are worked on side by side, so the rounds do not grow with their number.
+    A node is done in the step after the last that leads to it, and its depth is that step's number. So every edge is
+    followed once, from the nodes that have just been done, and a graph with a cycle is told when no node is left to do.
     """
-    gone = None
-    rest = on_cycles(edges.select("src", "dst").distinct())
-    while not rest.isEmpty():
-        nodes = rest.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-        heads = components(nodes, rest).select(F.col("component").alias("dst")).distinct()
-        closing = cut(rest.join(heads, "dst", "left_semi").select("src", "dst"))
-        gone = closing if gone is None else cut(gone.unionByName(closing))
-        rest = on_cycles(rest.join(closing, ["src", "dst"], "left_anti"))
-    return edges if gone is None else edges.join(gone, ["src", "dst"], "left_anti").select(edges.columns)
+    edges = written(edges.select("src", "dst"))
+    into = edges.groupBy(F.col("dst").alias("into")).agg(F.count("*").alias("n"))
+    ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct().join(into, F.col("id") == F.col("into"), "left")
+    first = F.when(F.col("n").isNull(), 0).alias("depth")
+    state = written(ids.select("id", F.coalesce("n", F.lit(0)).alias("open"), first, F.lit(None).cast(edges.schema["src"].dataType).alias("before")))
+    depth = 0
+    while not state.where(F.col("depth") == depth).isEmpty():
+        for _ in range(STEPS_A_ROUND):
+            new = state.where(F.col("depth") == depth).select(F.col("id").alias("src"))
+            told = edges.join(new, "src").groupBy(F.col("dst").alias("to")).agg(F.count("*").alias("n"), F.min("src").alias("least"))
+            left = F.col("open") - F.coalesce("n", F.lit(0))
+            now = (F.col("open") > 0) & (left == 0)
+            depth += 1
+            state = state.join(told, F.col("id") == F.col("to"), "left").select("id", left.alias("open"), F.when(now, depth).otherwise(F.col("depth")).alias("depth"), F.when(now, F.col("least")).otherwise(F.col("before")).alias("before"))
+        state = written(state)
+    if not state.where("depth IS NULL").isEmpty():
+        raise ValueError("the graph has a cycle")
+    return state.select("id", "depth", "before")
 
 
 def critical_chain(edges: DataFrame) -> DataFrame:

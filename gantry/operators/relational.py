@@ -125,32 +125,51 @@ def radius_join(points: DataFrame, radius: float, key: str = "id", axes: tuple[s
 def exact_quantiles(df: DataFrame, value: str, shares: tuple[float, ...]) -> list[float | None]:
     """Interpolated quantiles of a column over all its rows, exact, without a sort or a task that holds them all.
 
-    Rounds of histograms: each narrows the range of the ranks wanted to one of BINS bins, until that holds one value.
-    The driver gets BINS + 1 rows a round. NULLs and NaN do not count; without rows the answer is None.
+    Rounds of histograms: each narrows the ranges of the ranks wanted to one of BINS bins, until those hold one value.
+    A round is one job for all open ranges, and the driver gets BINS rows a range. NULLs and NaN do not count; without
+    rows the answer is None. Infinities are counted apart: between two unequal values of which one is infinite, so is
+    the answer (NaN between the two infinities).
     """
     x = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    n, low, high = x.agg(F.count("*"), F.min("v"), F.max("v")).first()
-    if not n:
+    inf = float("inf")
+    finite = F.when(F.abs("v") < inf, F.col("v"))
+    below, n, above, low, high = x.agg(F.count_if(F.col("v") == -inf), F.count(finite), F.count_if(F.col("v") == inf), F.min(finite), F.max(finite)).first()
+    total = below + n + above
+    if not total:
         return [None] * len(shares)
-    found: dict[int, float] = {0: low, n - 1: high}
-    places = [(n - 1) * s for s in shares]
-    wanted = {r for p in places for r in (int(p), min(int(p) + 1, n - 1))}
-    open_ranges = {(0, low, high): wanted - set(found)}  # rank of the least value in it, that value, the greatest
-    while any(open_ranges.values()):
-        (first, a, z), ranks = next((k, r) for k, r in open_ranges.items() if r)
-        del open_ranges[first, a, z]
-        inside = x.where((F.col("v") >= a) & (F.col("v") <= z))
-        bin_of = F.least(F.floor((F.col("v") - a) / ((z - a) / BINS)), F.lit(BINS - 1)) if z > a else F.lit(0)
-        for r in inside.groupBy(bin_of.alias("b")).agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most")).orderBy("least").collect():
-            own = {k for k in ranks if first <= k < first + r["n"]}
-            for k in list(own):
-                if r["least"] == r["most"] or k in (first, first + r["n"] - 1):
-                    found[k] = r["least"] if k == first else r["most"]
-                    own.discard(k)
-            if own:
-                open_ranges[first, r["least"], r["most"]] = own
+    places = [(total - 1) * s for s in shares]
+    wanted = {r for p in places for r in (int(p), min(int(p) + 1, total - 1))}
+    found: dict[int, float] = {r: -inf if r < below else inf for r in wanted if not below <= r < below + n}
+    ends = {below: low, below + n - 1: high} if n else {}
+    found |= {r: ends[r] for r in wanted if r in ends}
+    # rank of the least value of each range, that value, the greatest, the ranks wanted in it
+    ranges = [(below, low, high, wanted - set(found))] if wanted - set(found) else []
+    x = x.where(F.abs("v") < inf)
+    while ranges:
+        where, bin_of = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+        for k, (_, a, z, _) in enumerate(ranges):
+            inside = F.col("v").between(a, z)
+            width = z / BINS - a / BINS  # z - a may be too great for a double
+            own = F.least(F.floor(F.col("v") / width - a / width), F.lit(BINS - 1)) if width > 0 and abs(a / width) < inf and abs(z / width) < inf else F.when(F.col("v") > a, 1).otherwise(0)
+            where, bin_of = F.when(inside, k).otherwise(where), F.when(inside, own.cast("bigint")).otherwise(bin_of)
+        rows = x.select("v", where.alias("k"), bin_of.alias("b")).where("k IS NOT NULL").groupBy("k", "b").agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most")).orderBy("k", "least").collect()
+        narrower, first, at = [], 0, -1
+        for r in rows:
+            if r["k"] != at:
+                at, first = r["k"], ranges[r["k"]][0]
+            own = {k for k in ranges[at][3] if first <= k < first + r["n"]}
+            ends = {first: r["least"], first + r["n"] - 1: r["most"]} if r["least"] != r["most"] else dict.fromkeys(own, r["least"])
+            found |= {k: ends[k] for k in own if k in ends}
+            if own - set(ends):
+                narrower.append((first, r["least"], r["most"], own - set(ends)))
             first += r["n"]
-    return [found[int(p)] + (found[min(int(p) + 1, n - 1)] - found[int(p)]) * (p - int(p)) for p in places]
+        ranges = narrower
+
+    def between(p: float) -> float:
+        a, z, part = found[int(p)], found[min(int(p) + 1, total - 1)], p - int(p)
+        return a if a == z or not part else a + (z - a) * part if abs(a) < inf and abs(z) < inf else a + z
+
+    return [between(p) for p in places]
 
 
 def exact_quantile(df: DataFrame, value: str, share: float) -> float | None:

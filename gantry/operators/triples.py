@@ -120,18 +120,32 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def n_triples(triples: DataFrame, base: str = "urn:asset:") -> DataFrame:
-    """Lines of N-Triples, a subset of Turtle; write them with .write.text."""
+    """Lines of N-Triples, a subset of Turtle; write them with .write.text. Backslashes, quotes and line ends in literals are escaped."""
     iri = lambda c: F.concat(F.lit(f"<{base}"), c, F.lit(">"))
-    escaped = F.regexp_replace(F.regexp_replace(F.regexp_replace("o", r"\\", r"\\\\"), '"', r'\\"'), "\n", r"\\n")
+    escaped = F.regexp_replace("o", r'([\\"])', r"\\$1")
+    for plain, letter in (("\n", "n"), ("\r", "r")):
+        escaped = F.replace(escaped, F.lit(plain), F.lit("\\" + letter))
     literal = F.concat(F.lit('"'), escaped, F.lit('"^^'), iri(F.col("o_type")))
     return triples.select(F.concat(iri(F.col("s")), F.lit(" "), iri(F.col("p")), F.lit(" "), F.when(F.col("o_kind") == "iri", iri(F.col("o"))).otherwise(literal), F.lit(" .")).alias("value"))
 
 
+def _unescaped(text: Column) -> Column:
+    """Escapes resolved in one pass from the left, so that an escaped backslash is never the start of another escape."""
+    marks = F.regexp_extract_all(text, F.lit(r"\\.|[^\\]+"), F.lit(0))
+    back = F.lit("\\")
+    one = lambda x: F.when(x == "\\n", "\n").when(x == "\\r", "\r").when(x == "\\t", "\t").when(F.startswith(x, back), F.substring(x, 2, 1)).otherwise(x)
+    return F.array_join(F.transform(marks, one), "")
+
+
 def read_n_triples(lines: DataFrame, base: str = "urn:asset:") -> DataFrame:
-    """Triples of lines (column value) as n_triples writes them; several files are one set."""
+    """Triples of lines (column value) as n_triples writes them; several files are one set. Empty lines and comments are passed over.
+
+    A line of any other form raises with its text when it is read: no triple is dropped.
+    """
     pattern = rf'^<{base}([^>]*)> <{base}([^>]*)> (?:<{base}([^>]*)>|"((?:[^"\\]|\\.)*)"\^\^<{base}([^>]*)>) \.$'
     part = lambda i: F.regexp_extract("value", pattern, i)
-    is_iri = F.col("value").rlike(rf"^<[^>]*> <[^>]*> <[^>]*> \.$")
-    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(part(4), r"\\n", "\n"), r'\\"', '"'), r"\\\\", r"\\")
-    made = lines.where(F.col("value").rlike(pattern)).select(part(1).alias("s"), part(2).alias("p"), F.when(is_iri, part(3)).otherwise(plain).alias("o"), F.when(is_iri, "iri").otherwise("literal").alias("o_kind"), F.when(~is_iri, part(5)).alias("o_type"))
+    is_iri = F.col("value").rlike(r"^<[^>]*> <[^>]*> <[^>]*> \.$")
+    known = F.when(F.col("value").rlike(pattern), F.when(is_iri, "iri").otherwise("literal")).otherwise(F.raise_error(F.concat(F.lit("this is no triple: "), F.col("value"))))
+    rows = lines.where(~F.col("value").rlike(r"^\s*(#.*)?$"))
+    made = rows.select(part(1).alias("s"), part(2).alias("p"), F.when(is_iri, part(3)).otherwise(_unescaped(part(4))).alias("o"), known.alias("o_kind"), F.when(~is_iri, part(5)).alias("o_type"))
     return made.dropDuplicates()

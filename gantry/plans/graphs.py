@@ -228,20 +228,6 @@ def _across(zoned: DataFrame, dag: DataFrame) -> DataFrame:
     return e.where("za <> zb").groupBy(F.col("za").alias("src"), F.col("zb").alias("dst")).agg(F.count("*").alias("n"))
 
 
-@query("critical_chain")
-def critical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The longest chain of the precedence graph, its cycles broken, with what each step is."""
-    dag = graph.cut(graph.break_cycles(precedence_dag(spark, sf_dir)))
-    o = _zoned(spark, sf_dir).select("id", "name", "cls", "z", "zone")
-    return graph.critical_chain(dag).join(o, "id", "left")
-
-
-@query("install_rank")
-def install_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dag = graph.cut(graph.break_cycles(precedence_dag(spark, sf_dir)))
-    return graph.install_rank(dag, objects(spark, sf_dir))
-
-
 def _touching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges(spark, sf_dir).select("src", "dst")
 
@@ -254,36 +240,88 @@ def touch_zone_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _across(_zoned(spark, sf_dir), touch_precedence_dag(spark, sf_dir))
 
 
-@query("touch_clustering")
+@query("touch_clustering", f"""WITH f AS ({{EDGES}}), b AS ({_BOTH}), d AS (SELECT src AS id, count(*) AS degree FROM b GROUP BY src),
+t AS (SELECT x.src AS id, count(*) AS n FROM b x JOIN b y ON x.src = y.src AND x.dst < y.dst JOIN f ON f.src = x.dst AND f.dst = y.dst GROUP BY x.src)
+SELECT o.id, coalesce(degree, 0) AS degree, coalesce(t.n, 0) AS triangles, round(CASE WHEN coalesce(degree, 0) < 2 THEN 0 ELSE 2.0 * coalesce(t.n, 0) / (degree * (degree - 1)) END, 6)::DOUBLE AS clustering FROM ({{OBJ}}) o LEFT JOIN d ON o.id = d.id LEFT JOIN t ON o.id = t.id""")
 def touch_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.clustering(objects(spark, sf_dir), graph.cut(_touching(spark, sf_dir)))
 
 
-@query("touch_components")
+@query("touch_components", f"""WITH RECURSIVE b AS ({_BOTH}), r(id, other) USING KEY (id) AS (SELECT id, id FROM ({{OBJ}}) UNION (SELECT b.dst, min(r.other) FROM r JOIN b ON b.src = r.id JOIN recurring.r k ON k.id = b.dst WHERE r.other < k.other GROUP BY b.dst)) SELECT id, other AS component FROM r""")
 def touch_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.components(objects(spark, sf_dir), _touching(spark, sf_dir))
 
 
-@query("touch_isolation_sections")
+@query("touch_isolation_sections", f"""WITH RECURSIVE o AS ({{OBJ}}), v AS (SELECT id FROM o WHERE size = 7), e AS ({_BOTH}),
+w(device, id) AS (SELECT v.id, e.dst FROM v JOIN e ON e.src = v.id WHERE e.dst NOT IN (SELECT id FROM v) UNION SELECT w.device, e.dst FROM w JOIN e ON e.src = w.id WHERE e.dst NOT IN (SELECT id FROM v))
+SELECT v.id, count(w.id) AS section FROM v LEFT JOIN w ON w.device = v.id GROUP BY v.id""")
 def touch_isolation_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sections(objects(spark, sf_dir), graph.cut(_touching(spark, sf_dir)))
 
 
-@query("touch_neighbors_1hop")
+@query("touch_neighbors_1hop", f"SELECT src AS id, dst AS neighbor FROM ({_BOTH})")
 def touch_neighbors_1hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, neighbor) of all objects."""
     return rel.symmetric_closure(_touching(spark, sf_dir), "src", "dst").select(F.col("src").alias("id"), F.col("dst").alias("neighbor"))
 
 
-@query("touch_precedence_dag")
+@query("touch_precedence_dag", _PRECEDE.replace("{PARTS}", "{EDGES}"))
 def touch_precedence_dag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.precedence(_ranked(spark, sf_dir), _touching(spark, sf_dir))
 
 
-@query("longest_chain")
+# an edge lies on a cycle where its end leads back to its start; of those the ones that do not go up in height go
+_TOUCH_DAG = f"({_PRECEDE.replace('{PARTS}', '{EDGES}')})"
+_ACYCLIC = f"""SELECT p.src, p.dst, p.edge_type FROM {_TOUCH_DAG} p LEFT JOIN (WITH RECURSIVE q AS {_TOUCH_DAG}, r(a, b) AS (SELECT src, dst FROM q UNION SELECT r.a, q.dst FROM r JOIN q ON r.b = q.src) SELECT a, b FROM r) c ON c.a = p.dst AND c.b = p.src
+JOIN ({{OBJ}}) x ON x.id = p.src JOIN ({{OBJ}}) y ON y.id = p.dst WHERE c.a IS NULL OR (x.z, x.id) < (y.z, y.id)"""
+_DEPTHS = f"""WITH RECURSIVE e AS MATERIALIZED ({_ACYCLIC}), w(id, depth) AS (SELECT src, 0 FROM e UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON e.src = w.id), d AS (SELECT id, max(depth) AS depth FROM w GROUP BY id),
+l AS (SELECT d.id, d.depth, (SELECT min(e.src) FROM e JOIN d b ON b.id = e.src WHERE e.dst = d.id AND b.depth = d.depth - 1) AS before FROM d)"""
+
+
+def _acyclic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    height = objects(spark, sf_dir).select("id", F.col("z").alias("place"))
+    return graph.cut(graph.break_cycles(graph.cut(touch_precedence_dag(spark, sf_dir)), height))
+
+
+@query("acyclic_precedence", _ACYCLIC)
+def acyclic_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The precedence graph of all touching objects without the edges of its cycles that lead down."""
+    return _acyclic(spark, sf_dir)
+
+
+_ZONE_DAG = f"SELECT a.zone AS src, b.zone AS dst, count(*) AS n FROM {_TOUCH_DAG} e JOIN ({_GRID}) a ON e.src = a.id JOIN ({_GRID}) b ON e.dst = b.id WHERE a.zone <> b.zone GROUP BY 1, 2"
+
+
+@query("acyclic_zone_dependencies", f"""WITH RECURSIVE q AS ({_ZONE_DAG}), r(a, b) AS (SELECT src, dst FROM q UNION SELECT r.a, q.dst FROM r JOIN q ON r.b = q.src)
+SELECT src, dst, n FROM q WHERE src < dst OR NOT EXISTS (SELECT 1 FROM r WHERE r.a = q.dst AND r.b = q.src)""")
+def acyclic_zone_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.break_cycles(touch_zone_dependencies(spark, sf_dir))
+
+
+@query("zone_cycles", f"""WITH RECURSIVE q AS ({_ZONE_DAG}), r(a, b) AS (SELECT src, dst FROM q UNION SELECT r.a, q.dst FROM r JOIN q ON r.b = q.src)
+SELECT x.a AS id, min(x.b) AS component FROM r x JOIN r y ON x.a = y.b AND x.b = y.a GROUP BY x.a""")
+def zone_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, component) of the zones that wait for each other."""
+    return graph.strongly_connected(touch_zone_dependencies(spark, sf_dir))
+
+
+@query("longest_chain", f"{_DEPTHS} SELECT id, depth::INT AS depth, before FROM l")
 def longest_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, depth, before) of the precedence graph of all touching objects; its depths are the levels of a topological order."""
-    return graph.longest_path(graph.cut(touch_precedence_dag(spark, sf_dir).select("src", "dst")))
+    return graph.longest_path(_acyclic(spark, sf_dir))
+
+
+@query("critical_chain", f"""{_DEPTHS}, c(step, id, before) AS (SELECT depth, id, before FROM (SELECT * FROM l ORDER BY depth DESC, id LIMIT 1) UNION ALL SELECT l.depth, l.id, l.before FROM c JOIN l ON l.id = c.before)
+SELECT c.id, c.step::INT AS step, coalesce(e.edge_type, '') AS edge_type, o.name, o.cls, o.z, o.zone FROM c LEFT JOIN e ON e.src = c.before AND e.dst = c.id LEFT JOIN ({_GRID}) o ON o.id = c.id""")
+def critical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest chain of the precedence graph of all touching objects, with what each step is."""
+    o = _zoned(spark, sf_dir).select("id", "name", "cls", "z", "zone")
+    return graph.critical_chain(_acyclic(spark, sf_dir)).join(o, "id", "left")
+
+
+@query("install_rank", f"{_DEPTHS} SELECT o.id, row_number() OVER (ORDER BY l.depth IS NULL, l.depth, o.id) AS rank FROM ({{OBJ}}) o LEFT JOIN l ON l.id = o.id")
+def install_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.install_rank(_acyclic(spark, sf_dir), objects(spark, sf_dir))
 
 
 @query("louvain_zones")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.functions import text as names
@@ -53,6 +53,37 @@ def unit_npd_inches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects(spark, sf_dir).select("id", F.round(units.npd_inches(raw), 9).alias("inches"))
 
 
+#: Texts over a size n, one of each row by its id: of a length, of a weight, pressure or temperature (with its unit), of a pipe's diameters.
+_LENGTHS = ["-{n} ft", "1.{n} ft 6 in", "{n} ft  -2.5 in", "{n}. in", ".5 in", "{n} 1/0 in", "{n}.5 1/2 in", "-{n} 1/2 in", "\t{n} FT 3/4 IN ", "{n} ft 4", "-.25 mm", "{n}/8 in"]
+_AMOUNTS = ["-{n}.5 u", "{n}. u", ".5 u", "{n}.0625u", " -{n}   U", "+{n} u", "{n} u u"]
+_DIAMETERS = ["-{n}in x .5in", "{n}mm x 0", "{n}. in", ".5mm", "{n}in x 2mm", "{n} IN X 0", "{n}in x 0.0", "{n}.25 in x -3 in"]
+
+
+def _texts(forms: list[str]) -> Column:
+    n = F.col("size").cast("string")
+    out = F.lit(None).cast("string")
+    for k, form in enumerate(forms):
+        before, _, after = form.partition("{n}")
+        out = F.when(F.col("id") % len(forms) == k, F.concat(F.lit(before), n, F.lit(after)) if "{n}" in form else F.lit(form)).otherwise(out)
+    return out
+
+
+@query("unit_grammar", """SELECT id, round(CASE id % 12 WHEN 0 THEN -size * 0.3048::DOUBLE WHEN 1 THEN ('1.' || size)::DOUBLE * 0.3048 + 6 * 0.0254::DOUBLE WHEN 2 THEN size * 0.3048::DOUBLE - 2.5 * 0.0254::DOUBLE WHEN 4 THEN 0.5 * 0.0254::DOUBLE
+  WHEN 8 THEN size * 0.3048::DOUBLE + 0.75 * 0.0254::DOUBLE WHEN 10 THEN -0.25 * 0.001::DOUBLE WHEN 11 THEN size / 8 * 0.0254::DOUBLE END, 9) AS m,
+  round(a * 0.45359237::DOUBLE, 9) AS kg, round(a * 6.894757::DOUBLE, 9) AS kpa, round((CASE WHEN id % 7 <> 4 THEN a END - 32) * 5 / 9, 9) AS c,
+  round(CASE id % 8 WHEN 0 THEN -size * 0.0254::DOUBLE WHEN 1 THEN size * 0.001::DOUBLE WHEN 3 THEN 0.0005 WHEN 5 THEN size * 0.0254::DOUBLE WHEN 7 THEN (size + 0.25::DOUBLE) * 0.0254 END, 9)::DOUBLE AS end1,
+  round(CASE id % 8 WHEN 0 THEN 0.0127 WHEN 1 THEN 0 WHEN 3 THEN 0.0005 WHEN 5 THEN 0 WHEN 7 THEN -0.0762 END, 9)::DOUBLE AS end2
+FROM (SELECT *, CASE id % 7 WHEN 0 THEN -(size + 0.5::DOUBLE) WHEN 3 THEN size + 0.0625::DOUBLE WHEN 4 THEN -size::DOUBLE END AS a FROM ({OBJ}))""")
+def unit_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signs, leading and trailing points, fractions beside numbers, either case and stray white space, by every parser."""
+    amount = _texts(_AMOUNTS)
+    o = objects(spark, sf_dir)
+    named = [F.regexp_replace(amount, "(?i)u", u) for u in ("lbm", "psi")] + [F.regexp_replace(F.regexp_replace(amount, "U", "f"), "u", "F")]
+    npd = units.npd_m(_texts(_DIAMETERS))
+    made = o.select("id", units.length_m(_texts(_LENGTHS)).alias("m"), units.weight_kg(named[0]).alias("kg"), units.pressure_kpa(named[1]).alias("kpa"), units.temperature_c(named[2]).alias("c"), npd["end1"].alias("end1"), npd["end2"].alias("end2"))
+    return made.select("id", *[F.round(x, 9).alias(x) for x in ("m", "kg", "kpa", "c", "end1", "end2")])
+
+
 #: Patterns of the classes by name, in order of precedence.
 CLASS_RULES = [(r"(?i)\bpipe\b(?!\s+(rack|support))", "Piping"), (r"(?i)\b(beam|column|rack)\b", "Structure"), (r"(?i)\b(pump|tank|vessel)\b", "Equipment"), (r"(?i)\bcable\b", "Electrical"), (r"(?i)\b(duct|ventilat)\b", "HVAC")]
 

@@ -77,13 +77,16 @@ def write_csv_with_bom(df: DataFrame, path: str) -> None:
 
 
 def csv_profile(spark: SparkSession, path: str, rows: int = 100) -> tuple[int, StructType]:
-    """Rows of a CSV with a header, and its schema as its first `rows` rows have it; only those are parsed for the schema."""
-    lines = spark.read.text(path)
-    head = spark.read.csv(path, header=True).limit(rows)
+    """Rows of a CSV with a header, and its schema as its first `rows` rows have it; only those are parsed for the schema.
+
+    Rows are counted as parsed, so a quoted line break does not make two; a file is then one task's.
+    """
+    whole = spark.read.csv(path, header=True, multiLine=True)
+    head = whole.limit(rows)
     text = head.select(F.to_csv(F.struct("*")).alias("value")).rdd.map(lambda r: r[0])
-    kinds = spark.read.csv(text, inferSchema=True).schema
+    kinds = spark.read.csv(text, inferSchema=True, multiLine=True).schema
     schema = StructType([StructField(n, f.dataType) for n, f in zip(head.columns, kinds, strict=True)])
-    return lines.count() - len(lines.inputFiles()), schema
+    return whole.count(), schema
 
 
 def parquet_footers(spark: SparkSession, path: str) -> DataFrame:

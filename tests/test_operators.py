@@ -9,6 +9,9 @@ from gantry.sources import io, lineage
 from gantry.streaming.rolling import windowed_counts
 
 
+INF = float("inf")
+
+
 def frame(spark, rows, schema):
     return spark.createDataFrame(rows, schema)
 
@@ -78,6 +81,23 @@ def test_aggregates(spark):
     assert sorted(map(tuple, closed.collect())) == [(1, 2, "A", "B"), (2, 1, "B", "A")]
 
 
+@pytest.mark.parametrize("values", [[1.0, 2.0, 3.0, 4.0, INF], [-INF, INF], [-INF, 1.0, 1.0], [INF] * 3, [-1.7e308, 1.7e308, 0.0, 1.0], [5e-324, 1e-323, 0.0, 1.5e-323], [float(x) for x in range(20_000)], [2.0] * 50 + [3.0], [1e300 + k for k in range(9)], [0.1 * k for k in range(999)] + [-INF, INF, INF]])
+def test_quantiles_end(spark, values):
+    """Infinities, the widest and the narrowest ranges, ties: always an end, and the value at the rank."""
+    df = frame(spark, [(v,) for v in values] + [(None,), (float("nan"),)], "v double").repartition(3)
+    shares = (0.0, 0.25, 0.5, 0.9, 1.0)
+    turn = sorted(values)
+    for got, share in zip(rel.exact_quantiles(df, "v", shares), shares, strict=True):
+        at = (len(turn) - 1) * share
+        a, b = turn[int(at)], turn[min(int(at) + 1, len(turn) - 1)]
+        if a == b or at == int(at):
+            assert got == a
+        elif INF in (abs(a), abs(b)):
+            assert got == a + b or (got != got and a + b != a + b)
+        else:
+            assert got == pytest.approx(a + (b - a) * (at - int(at)), rel=1e-12)
+
+
 def test_triples(spark):
     t = frame(
         spark,

@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import random
 
-from gantry.operators import graph, ontology
+import pytest
+
+from gantry.operators import cycles, graph, ontology, triples
 from gantry.sources import io, lineage
 
 
@@ -33,6 +35,24 @@ def test_csv_mark_and_profile(spark, tmp_path):
     assert rows == 3 and [(f.name, f.dataType.simpleString()) for f in schema] == [("n", "int"), ("t", "string")]
 
 
+def test_csv_rows_with_line_breaks(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('n,t\n1,"two\nlines"\n2,one\n')
+    rows, schema = io.csv_profile(spark, str(tmp_path / "q.csv"))
+    assert rows == 2 and [(f.name, f.dataType.simpleString()) for f in schema] == [("n", "int"), ("t", "string")]
+
+
+def test_literals_there_and_back(spark, tmp_path):
+    """Backslashes before letters, quotes, line ends of both kinds and nothing at all, through a file."""
+    texts = ["\\n", "a\\\\n\n", 'say "x"', "\r\n", "", "\\", '\\"', "tab\t", "é\U0001f600 \\t"]
+    t = spark.createDataFrame([(f"s{i}", "p", x, "literal", "xsd:string") for i, x in enumerate(texts)] + [("s0", "p", "o", "iri", None)], "s string, p string, o string, o_kind string, o_type string")
+    triples.n_triples(t).write.text(str(tmp_path / "t"))
+    assert sorted(map(str, triples.read_n_triples(spark.read.text(str(tmp_path / "t"))).collect())) == sorted(map(str, t.collect()))
+    some = spark.createDataFrame([("# a comment",), ("",), ("  ",), ("<urn:asset:a> <urn:asset:b> <urn:asset:c> .",)], "value string")
+    assert triples.read_n_triples(some).count() == 1
+    with pytest.raises(Exception, match="this is no triple: <a> <b>"):
+        triples.read_n_triples(some.union(spark.createDataFrame([("<a> <b>",)], "value string"))).collect()
+
+
 def test_footers(spark, tmp_path):
     spark.range(10).selectExpr("id", "cast(id AS string) AS s").repartition(2).write.parquet(str(tmp_path / "f"))
     got = io.parquet_footers(spark, str(tmp_path / "f")).collect()
@@ -69,6 +89,51 @@ def depths(edges):
     return found
 
 
+def components_of(edges):
+    """By mutual reach: {node: least member} of the strongly connected components of two nodes or more."""
+    reach = {x: {x} for e in edges for x in e}
+    for _ in reach:
+        for a, b in edges:
+            reach[a] |= reach[b]
+    out = {x: min(y for y in reach if y in reach[x] and x in reach[y]) for x in reach}
+    return {x: c for x, c in out.items() if list(out.values()).count(c) > 1}
+
+
+#: Cycles with bridges between them, one within another, a tail and a head, loops; the last two once lost a bridge.
+CYCLES = [
+    [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 6), (6, 5)],
+    [(0, 1), (1, 2), (2, 0), (2, 5), (5, 6), (6, 7), (7, 5), (7, 6), (9, 0), (7, 10), (1, 1)],
+    [(2, 3), (3, 2), (1, 4), (4, 1), (2, 1)],
+    [(2, 3), (3, 2), (4, 5), (5, 4), (2, 1), (1, 4)],
+]
+
+
+@pytest.mark.parametrize("case", range(1, 6))
+def test_strong_components(spark, case):
+    """Only edges inside a component go, those that do not go up; an edge on no cycle always stays."""
+    rng = random.Random(case)
+    edges = CYCLES[case] if case < 4 else sorted({(rng.randrange(24), rng.randrange(24)) for _ in range((30, 60)[case - 4])})
+    df = spark.createDataFrame([(a, b, f"{a}>{b}") for a, b in edges], "src bigint, dst bigint, edge_type string")
+    want = components_of([e for e in edges if e[0] != e[1]])
+    of = graph.cut(cycles.strongly_connected(df))
+    assert dict(of.collect()) == want
+    left = cycles.break_cycles(df, of=of).collect()
+    inside = lambda a, b: a in want and want[a] == want.get(b)
+    assert sorted((r["src"], r["dst"]) for r in left) == sorted((a, b) for a, b in edges if a != b and (not inside(a, b) or a < b))
+    assert acyclic([(r["src"], r["dst"]) for r in left]) and all(r["edge_type"] == f"{r['src']}>{r['dst']}" for r in left)
+    order = {x: rng.choice((0, 1, None)) for e in edges for x in e}
+    place = lambda x: (order[x] is not None, order[x] or 0, x)
+    got = cycles.break_cycles(df, spark.createDataFrame(list(order.items()), "id bigint, place int"), of).collect()
+    assert sorted((r["src"], r["dst"]) for r in got) == sorted((a, b) for a, b in edges if a != b and (not inside(a, b) or place(a) < place(b)))
+
+
+def test_strong_components_of_names(spark):
+    df = spark.createDataFrame([("b", "a"), ("a", "b"), ("b", "c"), (None, "a")], "src string, dst string")
+    assert dict(cycles.strongly_connected(df).collect()) == {"a": "a", "b": "a"}
+    assert sorted(map(tuple, cycles.break_cycles(df.where("src IS NOT NULL")).collect())) == [("a", "b"), ("b", "c")]
+    assert cycles.break_cycles(df.limit(0)).collect() == []
+
+
 def test_cycles_break(spark):
     rng = random.Random(7)
     for n, m in ((3, 3), (12, 30), (25, 40)):
