@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.operators import blocks
+from gantry.operators import blocks, paths, scene
+from gantry.plans import graphs
 from gantry.plans.base import edges, objects, query
 
 _OWN = "SELECT e.src, e.dst, a.grp FROM ({EDGES}) e JOIN ({OBJ}) a ON a.id = e.src JOIN ({OBJ}) b ON b.id = e.dst WHERE a.grp = b.grp"
@@ -42,3 +43,67 @@ def group_fragmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of each group before and after one class of objects goes, for all groups at once."""
     o = objects(spark, sf_dir)
     return blocks.fragmentation(o, edges(spark, sf_dir), o.where("cls = 'PROMO'"))
+
+
+# transforms along a deep tree: each object turns by quarters about the vertical axis and moves, so numbers stay whole
+
+_PARENT = "CASE WHEN id - 1 - id % 3 >= 0 THEN id - 1 - id % 3 END"
+
+
+@query("scene_transforms", f"""WITH RECURSIVE o AS MATERIALIZED (SELECT id, {_PARENT} AS parent, id % 4 AS k, (size % 3 - 1)::DOUBLE AS x, (id % 5 - 2)::DOUBLE AS y, 1.0::DOUBLE AS z FROM ({{OBJ}})),
+w(id, k, x, y, z) AS (SELECT id, k, x, y, z FROM o WHERE parent IS NULL UNION ALL
+  SELECT o.id, (w.k + o.k) % 4, w.x + CASE w.k WHEN 0 THEN o.x WHEN 1 THEN -o.y WHEN 2 THEN -o.x ELSE o.y END, w.y + CASE w.k WHEN 0 THEN o.y WHEN 1 THEN o.x WHEN 2 THEN -o.y ELSE -o.x END, w.z + o.z FROM w JOIN o ON o.parent = w.id),
+p AS (SELECT *, CASE k WHEN 0 THEN 1 WHEN 2 THEN -1 ELSE 0 END AS c, CASE k WHEN 1 THEN 1 WHEN 3 THEN -1 ELSE 0 END AS s FROM w)
+SELECT id, (0 - (x + c - 2 * s))::DOUBLE AS x, (z + 3)::DOUBLE AS y, (y + s + 2 * c)::DOUBLE AS z, s::DOUBLE AS nx, 0.0::DOUBLE AS ny, c::DOUBLE AS nz FROM p""")
+def scene_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point and a normal of each object in the axes of the asset table, under all transforms from its root down."""
+    k = F.col("id") % 4
+    c, s = F.when(k == 0, 1.0).when(k == 2, -1.0).otherwise(0.0), F.when(k == 1, 1.0).when(k == 3, -1.0).otherwise(0.0)
+    zero, one = F.lit(0.0), F.lit(1.0)
+    local = F.array(c, -s, zero, (F.col("size") % 3 - 1).cast("double"), s, c, zero, (F.col("id") % 5 - 2).cast("double"), zero, zero, one, one, zero, zero, zero, one)
+    o = objects(spark, sf_dir)
+    vertices = o.select("id", *[F.lit(v).alias(n) for n, v in (("x", 1.0), ("y", 2.0), ("z", 3.0), ("nx", 0.0), ("ny", 1.0), ("nz", 0.0))])
+    made = scene.in_asset_axes(o.select("id", F.expr(_PARENT).alias("parent"), local.alias("transform")), vertices)
+    return made.select("id", *[(F.col(n) + 0.0).alias(n) for n in ("x", "y", "z", "nx", "ny", "nz")])
+
+
+# path patterns
+
+_ZONES = "SELECT id, cls, size, CAST(floor(x / 15) AS BIGINT) || '_' || CAST(floor(y / 15) AS BIGINT) AS zone FROM ({OBJ})"
+
+
+def _zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return objects(spark, sf_dir).withColumn("zone", F.concat_ws("_", F.floor(F.col("x") / 15), F.floor(F.col("y") / 15)))
+
+
+@query("zone_boundary_relations", f"""SELECT least(a.zone, b.zone) AS zone1, greatest(a.zone, b.zone) AS zone2, e.relation, count(*) AS n FROM ({{EDGES}}) e JOIN ({_ZONES}) a ON a.id = e.src JOIN ({_ZONES}) b ON b.id = e.dst WHERE a.zone <> b.zone GROUP BY ALL""")
+def zone_boundary_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How objects of two zones touch, by kind."""
+    g = _zoned(spark, sf_dir).select("id", "zone")
+    e = edges(spark, sf_dir).select("src", "dst", "relation").join(g.withColumnsRenamed({"id": "src", "zone": "za"}), "src").join(g.withColumnsRenamed({"id": "dst", "zone": "zb"}), "dst")
+    return e.where("za <> zb").groupBy(F.least("za", "zb").alias("zone1"), F.greatest("za", "zb").alias("zone2"), "relation").agg(F.count("*").alias("n"))
+
+
+@query("zone_reach", f"""WITH RECURSIVE g AS MATERIALIZED ({_ZONES}), p AS MATERIALIZED ({graphs.TOUCH_DAG}), w(zone, id, n) AS (SELECT zone, id, 0 FROM g UNION SELECT w.zone, p.dst, w.n + 1 FROM w JOIN p ON p.src = w.id WHERE w.n < 3)
+SELECT w.zone AS from_zone, g.zone AS to_zone, count(DISTINCT w.id) AS objects FROM w JOIN g ON g.id = w.id WHERE w.n > 0 AND w.zone <> g.zone GROUP BY ALL""")
+def zone_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(a IN_ZONE z1) -[MUST_PRECEDE *1..3]-> (b IN_ZONE z2): how many b of z2 wait for an object of z1 within three steps."""
+    g = _zoned(spark, sf_dir)
+    e = graphs.touch_precedence_dag(spark, sf_dir).select("src", "dst", F.lit("MUST_PRECEDE").alias("label"))
+    found = paths.ends(e, g.select(F.col("zone").alias("origin"), "id"), [paths.Hop(("MUST_PRECEDE",), "out", 1, 3)])
+    met = found.join(g.select("id", "zone"), "id").where("origin <> zone")
+    return met.groupBy(F.col("origin").alias("from_zone"), F.col("zone").alias("to_zone")).agg(F.count("*").alias("objects"))
+
+
+@query("valve_surroundings", f"""WITH RECURSIVE e AS MATERIALIZED (SELECT e.src, e.dst, e.relation, a.grp IS NOT NULL AND a.grp = b.grp AS own FROM ({{EDGES}}) e JOIN ({{OBJ}}) a ON a.id = e.src JOIN ({{OBJ}}) b ON b.id = e.dst),
+b AS MATERIALIZED (SELECT src, dst FROM e WHERE own AND relation <> 'overlap' UNION ALL SELECT dst, src FROM e WHERE own AND relation <> 'overlap'), x AS MATERIALIZED (SELECT src, dst FROM e WHERE relation = 'overlap' UNION ALL SELECT dst, src FROM e WHERE relation = 'overlap'),
+w(valve, id) AS (SELECT id, id FROM ({{OBJ}}) WHERE size = 7 UNION SELECT w.valve, b.dst FROM w JOIN b ON b.src = w.id)
+SELECT w.valve, count(DISTINCT x.dst) AS objects FROM w JOIN x ON x.src = w.id GROUP BY w.valve""")
+def valve_surroundings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(valve) -[touching within its group *]- (o) -[overlap]- (other): how many others, for each valve."""
+    o, of = objects(spark, sf_dir), objects(spark, sf_dir).select("id", "grp")
+    e = edges(spark, sf_dir).join(of.withColumnsRenamed({"id": "src", "grp": "ga"}), "src").join(of.withColumnsRenamed({"id": "dst", "grp": "gb"}), "dst")
+    label = F.when(F.col("relation") == "overlap", "overlap").when(F.col("ga") == F.col("gb"), "own")
+    e = e.select("src", "dst", label.alias("label")).where("label IS NOT NULL")
+    found = paths.ends(e, o.where("size = 7").select(F.col("id").alias("origin"), "id"), [paths.Hop(("own",), "both", 0, None), paths.Hop(("overlap",), "both")])
+    return found.groupBy(F.col("origin").alias("valve")).agg(F.count("*").alias("objects"))

@@ -1,10 +1,11 @@
 """Blocks and removal, against plain programmes."""
 
+import math
 import random
 
 import pytest
 
-from gantry.operators import blocks
+from gantry.operators import blocks, paths, scene
 from tests.test_operators import reach
 
 
@@ -57,3 +58,103 @@ def test_fragmentation(spark):
     pairs = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5), (5, 6)], "src bigint, dst bigint")
     got = blocks.fragmentation(nodes, pairs, spark.createDataFrame([(2,), (7,), (6,)], "id bigint"))
     assert sorted(map(tuple, got.collect())) == [("a", 1, 2, 1), ("b", 1, 1, 0), ("c", 1, 0, -1)]
+
+
+# transforms
+
+
+def times(a, b):
+    return [sum(a[4 * i + k] * b[4 * k + j] for k in range(4)) for i in range(4) for j in range(4)]
+
+
+def test_world_transforms(spark):
+    """A chain of over 1,000 with branches, order kept (turns do not commute), against a plain walk; unknown and null parents are roots."""
+    rng = random.Random(5)
+    local, parent = {}, {}
+    for i in range(1300):
+        a = rng.uniform(0, 6.3)
+        c, s = math.cos(a), math.sin(a)
+        turn = [c, -s, 0, 0, s, c, 0, 0, 0, 0, 1, 0] if i % 2 else [1, 0, 0, 0, 0, c, -s, 0, 0, s, c, 0]
+        local[i] = [*(turn[k] if k % 4 < 3 else rng.uniform(-1, 1) for k in range(12)), 0.0, 0.0, 0.0, 1.0]
+        parent[i] = i - 1 if i % 50 else max(0, i - 3)
+    parent[0], parent[1290], local[1295] = None, 99_999, None
+    rows = [(i, parent[i], local[i] and list(map(float, local[i]))) for i in local]
+    got = dict(scene.world_transforms(spark.createDataFrame(rows, "id bigint, parent bigint, transform array<double>")).collect())
+    world = {}
+    for i in local:
+        own = local[i] or scene.IDENTITY
+        world[i] = times(world[parent[i]], own) if parent[i] in world and i else own
+        assert got[i] == pytest.approx(world[i], abs=1e-8)
+    depth = {}
+    for i in local:
+        depth[i] = depth.get(parent[i], 0) + 1
+    assert max(depth.values()) > 1000
+
+
+def test_transforms_that_are_none(spark):
+    schema = "id bigint, parent bigint, transform array<double>"
+    loop = spark.createDataFrame([(1, 2, None), (2, 3, None), (3, 1, None), (4, 1, None)], schema)
+    with pytest.raises(ValueError, match="form a loop"):
+        scene.world_transforms(loop)
+    with pytest.raises(Exception, match="several rows"):
+        scene.world_transforms(spark.createDataFrame([(1, None, None), (1, None, None), (2, 1, None)], schema)).collect()
+    with pytest.raises(Exception, match="not 16 numbers"):
+        scene.world_transforms(spark.createDataFrame([(1, None, [1.0])], schema)).collect()
+    assert scene.world_transforms(loop.limit(0)).collect() == []
+
+
+def test_points_and_normals(spark):
+    nodes = spark.createDataFrame([(1, None, [2.0, 0.0, 0.0, 5.0, 0.0, 2.0, 0.0, 6.0, 0.0, 0.0, 2.0, 7.0, 0.0, 0.0, 0.0, 1.0])], "id bigint, parent bigint, transform array<double>")
+    vertices = spark.createDataFrame([(1, 1.0, 2.0, 3.0, 0.0, 3.0, 4.0, "a"), (1, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, "b"), (9, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, "c")], "id bigint, x double, y double, z double, nx double, ny double, nz double, name string")
+    got = {r["name"]: tuple(r[c] for c in ("x", "y", "z", "nx", "ny", "nz")) for r in scene.in_asset_axes(nodes, vertices).collect()}
+    assert got == {"a": (-7.0, 13.0, 10.0, 0.0, 0.8, pytest.approx(0.6)), "b": (-5.0, 7.0, 6.0, 0.0, 0.0, 0.0)}
+
+
+# path patterns
+
+
+def plain_ends(edges, starts, pattern):
+    """By brute force: sets of (origin, node) after each hop, repeated hops until nothing is new."""
+    def step(at, hop):
+        out = set()
+        for o, n in at:
+            for a, b, label in edges:
+                if hop.labels is None or label in hop.labels:
+                    out |= {(o, b)} if a == n and hop.way in ("out", "both") else set()
+                    out |= {(o, a)} if b == n and hop.way in ("in", "both") else set()
+        return out
+
+    at = set(starts)
+    for hop in pattern:
+        for _ in range(hop.least):
+            at = step(at, hop)
+        more, k = at, hop.least
+        while more and (hop.most is None or k < hop.most):
+            more, k = step(more, hop) - (at if hop.most is None else set()), k + 1
+            at = at | more
+    return at
+
+
+PATTERNS = [
+    [],
+    [paths.Hop(("a",))],
+    [paths.Hop(("a",), "both"), paths.Hop(("b",), "in")],
+    [paths.Hop(("a", "b"), "out", 0, None)],
+    [paths.Hop(("a",), "out", 2, 3), paths.Hop(None, "both", 0, 1)],
+    [paths.Hop(("a",), "out", 1, None), paths.Hop(("b",), "out", 0, None), paths.Hop(("c",), "in", 0, 2)],
+]
+
+
+@pytest.mark.parametrize("k", range(len(PATTERNS)))
+def test_path_patterns(spark, k):
+    rng = random.Random(k)
+    edges = sorted({(rng.randrange(15), rng.randrange(15), rng.choice("abc")) for _ in range(34)})
+    starts = sorted({(f"z{i % 3}", rng.randrange(15)) for i in range(5)})
+    got = paths.ends(spark.createDataFrame(edges, "src bigint, dst bigint, label string"), spark.createDataFrame(starts, "origin string, id bigint"), PATTERNS[k]).collect()
+    assert len(got) == len({tuple(r) for r in got}) and {tuple(r) for r in got} == plain_ends(edges, starts, PATTERNS[k])
+
+
+def test_hops_are_checked():
+    for bad in ({"way": "up"}, {"least": -1}, {"least": 3, "most": 2}, {"least": 0, "most": 0}):
+        with pytest.raises(ValueError, match="not a hop"):
+            paths.Hop(**bad)
