@@ -22,7 +22,7 @@ def _whole(form: str, exact_case: bool = False) -> str:
 
 def _get(text: Column, pattern: str, group: int) -> Column:
     """A group as a double, NULL where the text does not match or the group is absent."""
-    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group).try_cast("double"))
+    return F.regexp_extract(text, pattern, group).try_cast("double")
 
 
 def inches(token: Column) -> Column:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gantry.functions import text as names
-from gantry.operators import gold, ontology
+from gantry.operators import gold, kpis, ontology
 from gantry.operators import relational as rel
+from gantry.operators.durable import cut
+from gantry.plans import graphs
 from gantry.plans.base import edges, query, table
 
 #: Columns of the raw objects over part, in SQL that both engines read alike.
@@ -161,25 +163,48 @@ def piperuns_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(gold.piperuns(built(spark, sf_dir), NOW)).withColumn("bbox_volume_total_m3", F.round("bbox_volume_total_m3", 4))
 
 
-# figures that the KPIs rest on, by simple rules of their own
+# the figures that the KPIs rest on, over the participants and the touching pairs between them
 _ZONES = "SELECT object_id, floor(centroid_x / 15) * 100 + floor(centroid_y / 15) AS zone_id"
-_KPIS = "SELECT object_id, centroid_x / 40 AS corrosion_risk_index, 1 / (1.0 + num % 9) AS maintenance_accessibility_index, CASE WHEN class_raw = 'Equipment' THEN CAST(num % 101 AS DOUBLE) END AS equipment_criticality_score"
-_VALVES = "SELECT object_id, CASE WHEN num % 2 = 0 THEN num % 5 END AS isolation_section_size"
+_P = f"(SELECT * FROM ({_GOLD}) WHERE graph_participant)"
+_E = f"(SELECT e.src, e.dst FROM ({{EDGES}}) e JOIN {_P} a ON a.num = e.src JOIN {_P} b ON b.num = e.dst)"
+_CRITICAL = f"""(SELECT num, CASE WHEN max(raw) OVER () > 0 THEN raw / max(raw) OVER () ELSE raw END AS equipment_criticality_score FROM (
+SELECT p.num, (count(n.num) * (1 + count(DISTINCT n.sp3d_pipeline)))::DOUBLE AS raw FROM {_P} p LEFT JOIN (SELECT src, dst FROM {_E} UNION ALL SELECT dst, src FROM {_E}) e ON e.src = p.num LEFT JOIN {_P} n ON n.num = e.dst GROUP BY p.num))"""
+_ACCESS = f"""(SELECT p.num, 1 / (1.0::DOUBLE + count(o.num)) AS maintenance_accessibility_index FROM {_P} p LEFT JOIN {_P} o
+ON o.num <> p.num AND sqrt((o.centroid_x - p.centroid_x) ** 2 + (o.centroid_y - p.centroid_y) ** 2 + (o.centroid_z - p.centroid_z) ** 2) <= 5 GROUP BY p.num)"""
+_CORROSION = f"""(SELECT num, CASE WHEN max(raw) OVER () > 0 THEN raw / max(raw) OVER () ELSE raw END AS corrosion_risk_index FROM (SELECT num, coalesce(greatest(design_pressure_kpa, 0) * greatest(design_temperature_c, 0) *
+  CASE sp3d_material WHEN 'Carbon Steel' THEN 1.0 WHEN 'Stainless Steel' THEN 0.3 ELSE 0.5 END, 0)::DOUBLE AS raw FROM (SELECT num, sp3d_material, CASE WHEN design_temperature_c IS NOT NULL THEN design_pressure_kpa END AS design_pressure_kpa, CASE WHEN design_pressure_kpa IS NOT NULL THEN design_temperature_c END AS design_temperature_c FROM ({_GOLD}))))"""
+_KPIS = f"(SELECT g.object_id, c.corrosion_risk_index, a.maintenance_accessibility_index, k.equipment_criticality_score FROM ({_GOLD}) g JOIN {_CORROSION} c USING (num) LEFT JOIN {_ACCESS} a USING (num) LEFT JOIN {_CRITICAL} k USING (num))"
+_VALVES = f"""(WITH RECURSIVE p AS MATERIALIZED (SELECT num, object_id, coalesce(lower(display_name) LIKE '%valve%' OR lower(display_name) LIKE '%blind%' OR lower(display_name) LIKE '%spectacle%', false) AS device FROM {_P} WHERE refined_class = 'Piping'),
+  b AS MATERIALIZED (SELECT e.src, e.dst, y.device AS to_device FROM (SELECT src, dst FROM {_E} UNION ALL SELECT dst, src FROM {_E}) e JOIN p x ON x.num = e.src JOIN p y ON y.num = e.dst),
+  w(device, num) AS (SELECT p.num, b.dst FROM p JOIN b ON b.src = p.num WHERE p.device AND NOT b.to_device UNION SELECT w.device, b.dst FROM w JOIN b ON b.src = w.num WHERE NOT b.to_device)
+  SELECT p.object_id, true AS is_isolation_valve, count(w.num) AS isolation_section_size FROM p LEFT JOIN w ON w.device = p.num WHERE p.device GROUP BY p.object_id)"""
 
 
-def _sides(g: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    strip = lambda sql: sql.removeprefix("SELECT ").split(", ")
-    return g.selectExpr(*strip(_ZONES)), g.selectExpr(*strip(_KPIS)), g.where("num % 11 = 0").selectExpr(*strip(_VALVES))
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edges(spark, sf_dir).select("src", "dst")
+
+
+@query("object_kpis", f"SELECT object_id, round(corrosion_risk_index + 1e-9, 6) AS corrosion_risk_index, round(maintenance_accessibility_index + 1e-9, 6) AS maintenance_accessibility_index, round(equipment_criticality_score + 1e-9, 6) AS equipment_criticality_score FROM {_KPIS}")
+def object_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(kpis.object_kpis(built(spark, sf_dir), _pairs(spark, sf_dir)))
+
+
+@query("valve_isolation", f"SELECT * FROM {_VALVES}")
+def valve_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.valve_isolation(built(spark, sf_dir), _pairs(spark, sf_dir))
+
+
+def _zones(g: DataFrame) -> DataFrame:
+    return g.selectExpr(*_ZONES.removeprefix("SELECT ").split(", "))
 
 
 _ZONE_KPIS = f"""SELECT zone_id, count(*) AS zone_object_count, coalesce(sum(dry_weight_kg), 0) AS zone_total_weight_kg, count(*) FILTER (refined_class = 'Equipment') AS zone_equipment_count, avg(corrosion_risk_index) AS zone_mean_corrosion_risk,
   avg(maintenance_accessibility_index) AS zone_mean_accessibility, count(*) FILTER (equipment_criticality_score > p) AS zone_critical_equipment_count, count(DISTINCT sp3d_pipeline) AS zone_shutdown_impact
-FROM (SELECT * FROM ({_GOLD}) JOIN ({_ZONES} FROM ({_GOLD})) USING (object_id) JOIN ({_KPIS} FROM ({_GOLD})) USING (object_id) WHERE graph_participant),
-(SELECT quantile_cont(equipment_criticality_score, 0.9) AS p FROM ({_KPIS} FROM ({_GOLD}) WHERE graph_participant)) GROUP BY zone_id"""
+FROM (SELECT * FROM {_P} JOIN ({_ZONES} FROM ({_GOLD})) USING (object_id) JOIN {_KPIS} USING (object_id)), (SELECT quantile_cont(equipment_criticality_score, 0.9) AS p FROM {_CRITICAL}) GROUP BY zone_id"""
 _PIPE_KPIS = f"""SELECT * EXCLUDE raw, CASE WHEN max(raw) OVER () > 0 THEN raw / max(raw) OVER () ELSE raw END AS pipeline_corrosion_risk FROM (
 SELECT sp3d_pipeline, count(*) AS pipeline_object_count, coalesce(sum(dry_weight_kg), 0) AS pipeline_total_weight_kg, avg(design_pressure_kpa) AS pipeline_mean_pressure_kpa, avg(design_temperature_c) AS pipeline_mean_temperature_c,
-  count(DISTINCT floor(centroid_x / 15) * 100 + floor(centroid_y / 15)) AS pipeline_zone_span, count(*) FILTER (num % 11 = 0) AS pipeline_valve_count, count(*) FILTER (num % 22 = 0) AS pipeline_isolation_sections,
-  coalesce(avg(design_pressure_kpa), 0) * coalesce(avg(design_temperature_c), 0) AS raw FROM ({_GOLD}) WHERE sp3d_pipeline IS NOT NULL GROUP BY sp3d_pipeline)"""
+  count(DISTINCT floor(centroid_x / 15) * 100 + floor(centroid_y / 15)) AS pipeline_zone_span, count(v.object_id) AS pipeline_valve_count, count(v.isolation_section_size) AS pipeline_isolation_sections,
+  coalesce(avg(design_pressure_kpa), 0) * coalesce(avg(design_temperature_c), 0) AS raw FROM ({_GOLD}) LEFT JOIN {_VALVES} v USING (object_id) WHERE sp3d_pipeline IS NOT NULL GROUP BY sp3d_pipeline)"""
 
 
 def _six(sql: str, doubles: list[str]) -> str:
@@ -189,9 +214,8 @@ def _six(sql: str, doubles: list[str]) -> str:
 
 @query("zone_kpis_full", _six(_ZONE_KPIS, ["zone_total_weight_kg", "zone_mean_corrosion_risk", "zone_mean_accessibility"]).replace("round(zone_mean_accessibility + 1e-9, 6)", "round(zone_mean_accessibility::DOUBLE + 1e-9, 6)").replace("zone_id, count", "zone_id::BIGINT AS zone_id, count", 1))
 def zone_kpis_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = built(spark, sf_dir)
-    zones, kpis, _ = _sides(g)
-    return _rounded(gold.zone_kpis(g, zones, kpis).withColumn("zone_mean_accessibility", F.col("zone_mean_accessibility").cast("double")))
+    g = cut(built(spark, sf_dir))
+    return _rounded(gold.zone_kpis(g, _zones(g), kpis.object_kpis(g, _pairs(spark, sf_dir))))
 
 
 _PIPE_DOUBLES = ["pipeline_total_weight_kg", "pipeline_mean_pressure_kpa", "pipeline_mean_temperature_c", "pipeline_corrosion_risk"]
@@ -199,19 +223,19 @@ _PIPE_DOUBLES = ["pipeline_total_weight_kg", "pipeline_mean_pressure_kpa", "pipe
 
 @query("pipeline_kpis_full", _six(_PIPE_KPIS, _PIPE_DOUBLES))
 def pipeline_kpis_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = built(spark, sf_dir)
-    zones, _, valves = _sides(g)
-    return _rounded(gold.pipeline_kpis(g, zones, valves))
+    g = cut(built(spark, sf_dir))
+    return _rounded(gold.pipeline_kpis(g, _zones(g), kpis.valve_isolation(g, _pairs(spark, sf_dir))))
 
 
 @query("plant_kpis_full", f"""SELECT (SELECT count(*) FROM part) AS total_objects, (SELECT count(*) FROM ({_GOLD}) WHERE graph_participant) AS total_physical_objects,
-  (SELECT round(sum(dry_weight_kg) / 1000 + 1e-9, 6) FROM ({_GOLD}) WHERE graph_participant) AS total_weight_tonnes, 7::BIGINT AS critical_chain_length, (SELECT count(*) FROM ({_ZONE_KPIS})) AS max_parallel_zones,
+  (SELECT round(sum(dry_weight_kg) / 1000 + 1e-9, 6) FROM ({_GOLD}) WHERE graph_participant) AS total_weight_tonnes, ({graphs.DEPTHS} SELECT max(depth) + 1 FROM l)::BIGINT AS critical_chain_length, (SELECT count(*) FROM ({_ZONE_KPIS})) AS max_parallel_zones,
   (SELECT sum(zone_critical_equipment_count)::BIGINT FROM ({_ZONE_KPIS})) AS high_criticality_equipment, (SELECT count(*) FROM ({_PIPE_KPIS}) WHERE pipeline_corrosion_risk > 0.7) AS high_corrosion_pipelines,
   (SELECT count(*) FROM ({_ZONE_KPIS}) WHERE zone_mean_accessibility < 0.2) AS low_accessibility_zones""")
 def plant_kpis_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = built(spark, sf_dir)
-    zones, kpis, valves = _sides(g)
-    return _rounded(gold.plant_kpis(g, gold.zone_kpis(g, zones, kpis), gold.pipeline_kpis(g, zones, valves), 7))
+    g, pairs = cut(built(spark, sf_dir)), cut(_pairs(spark, sf_dir))
+    chain = graphs.longest_chain(spark, sf_dir).agg(F.coalesce(F.max("depth") + 1, F.lit(0))).first()[0]
+    by_zone, by_pipeline = gold.zone_kpis(g, _zones(g), kpis.object_kpis(g, pairs)), gold.pipeline_kpis(g, _zones(g), kpis.valve_isolation(g, pairs))
+    return _rounded(gold.plant_kpis(g, by_zone, by_pipeline, chain))
 
 
 @query("verdict_dim", f"SELECT verdict, count(*) AS object_count, coalesce(verdict IN ('OK_MESH', 'OK_FBX'), false) AS is_ok FROM ({_RAW}) GROUP BY verdict")
@@ -271,7 +295,7 @@ def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("is_analysis_volume"), "AnalysisArtifact:AnalysisVolume").when(F.col("is_container"), "BIMObject:HierarchyNode").otherwise(F.coalesce(F.try_element_at(by_class, "refined_class"), F.lit("BIMObject")))
     own = g.select(F.col("object_id").alias("id"), label.alias("label"), F.col("display_name").alias("name"))
     lines = g.where("sp3d_pipeline IS NOT NULL").select("sp3d_pipeline").distinct().select(F.concat(F.lit("pipeline-"), "sp3d_pipeline"), F.lit("Pipeline"), "sp3d_pipeline")
-    zones = _sides(g)[0].select(F.col("zone_id").cast("bigint").cast("string").alias("z")).distinct().select(F.concat(F.lit("zone-"), "z"), F.lit("Zone"), "z")
+    zones = _zones(g).select(F.col("zone_id").cast("bigint").cast("string").alias("z")).distinct().select(F.concat(F.lit("zone-"), "z"), F.lit("Zone"), "z")
     return own.union(lines).union(zones)
 
 
@@ -285,7 +309,7 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = edges(spark, sf_dir).select(F.concat(F.lit("obj-"), "src").alias("start_id"), F.concat(F.lit("obj-"), "dst").alias("end_id"), F.lit("ADJACENT_TO").alias("type"))
     up = r.where("parent_id <> ''").join(ids, "parent_id", "left_semi").select("object_id", "parent_id", F.lit("HAS_PARENT"))
     line = r.where("sp3d_pipeline IS NOT NULL").select("object_id", F.concat(F.lit("pipeline-"), "sp3d_pipeline"), F.lit("BELONGS_TO_PIPELINE"))
-    zone = _sides(r)[0].select("object_id", F.concat(F.lit("zone-"), F.col("zone_id").cast("bigint").cast("string")), F.lit("IN_ZONE"))
+    zone = _zones(r).select("object_id", F.concat(F.lit("zone-"), F.col("zone_id").cast("bigint").cast("string")), F.lit("IN_ZONE"))
     return near.union(up).union(line).union(zone)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gantry.operators import graph
+from gantry.operators import graph, kpis
 from gantry.operators import relational as rel
 from gantry.plans.base import edges, objects, parts, query, table
 
@@ -134,15 +134,7 @@ def isolation_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sections(o: DataFrame, e: DataFrame) -> DataFrame:
-    """The objects a device closes off: sizes of the distinct components, without devices, that it touches."""
-    device, rest = o.where("size = 7").select("id"), o.where("size <> 7")
-    gone = device.select(F.col("id").alias("gone"))
-    plain = e.join(gone, e["src"] == F.col("gone"), "left_anti").join(gone, F.col("dst") == F.col("gone"), "left_anti")
-    of = graph.components(rest, plain)
-    sizes = of.groupBy("component").agg(F.count("*").alias("n"))
-    touch = rel.symmetric_closure(e, "src", "dst").join(device.select(F.col("id").alias("src")), "src").join(of.select(F.col("id").alias("dst"), "component"), "dst").select("src", "component").distinct()
-    total = touch.join(sizes, "component").groupBy("src").agg(F.sum("n").alias("section"))
-    return device.join(total, device["id"] == total["src"], "left").select("id", F.coalesce("section", F.lit(0)).alias("section"))
+    return kpis.sections(o.where("size = 7"), o.where("size <> 7"), e)
 
 
 _GRID = "SELECT *, CAST(floor(x / 15) AS BIGINT) || '_' || CAST(floor(y / 15) AS BIGINT) AS zone FROM ({OBJ})"
@@ -275,7 +267,7 @@ TOUCH_DAG = _PRECEDE.replace("{PARTS}", "{EDGES}")
 _TOUCH_DAG = f"({TOUCH_DAG})"
 _ACYCLIC = f"""SELECT p.src, p.dst, p.edge_type FROM {_TOUCH_DAG} p LEFT JOIN (WITH RECURSIVE q AS {_TOUCH_DAG}, r(a, b) AS (SELECT src, dst FROM q UNION SELECT r.a, q.dst FROM r JOIN q ON r.b = q.src) SELECT a, b FROM r) c ON c.a = p.dst AND c.b = p.src
 JOIN ({{OBJ}}) x ON x.id = p.src JOIN ({{OBJ}}) y ON y.id = p.dst WHERE c.a IS NULL OR (x.z, x.id) < (y.z, y.id)"""
-_DEPTHS = f"""WITH RECURSIVE e AS MATERIALIZED ({_ACYCLIC}), w(id, depth) AS (SELECT src, 0 FROM e UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON e.src = w.id), d AS (SELECT id, max(depth) AS depth FROM w GROUP BY id),
+DEPTHS = f"""WITH RECURSIVE e AS MATERIALIZED ({_ACYCLIC}), w(id, depth) AS (SELECT src, 0 FROM e UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON e.src = w.id), d AS (SELECT id, max(depth) AS depth FROM w GROUP BY id),
 l AS (SELECT d.id, d.depth, (SELECT min(e.src) FROM e JOIN d b ON b.id = e.src WHERE e.dst = d.id AND b.depth = d.depth - 1) AS before FROM d)"""
 
 
@@ -306,13 +298,13 @@ def zone_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.strongly_connected(touch_zone_dependencies(spark, sf_dir))
 
 
-@query("longest_chain", f"{_DEPTHS} SELECT id, depth::INT AS depth, before FROM l")
+@query("longest_chain", f"{DEPTHS} SELECT id, depth::INT AS depth, before FROM l")
 def longest_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, depth, before) of the precedence graph of all touching objects; its depths are the levels of a topological order."""
     return graph.longest_path(_acyclic(spark, sf_dir))
 
 
-@query("critical_chain", f"""{_DEPTHS}, c(step, id, before) AS (SELECT depth, id, before FROM (SELECT * FROM l ORDER BY depth DESC, id LIMIT 1) UNION ALL SELECT l.depth, l.id, l.before FROM c JOIN l ON l.id = c.before)
+@query("critical_chain", f"""{DEPTHS}, c(step, id, before) AS (SELECT depth, id, before FROM (SELECT * FROM l ORDER BY depth DESC, id LIMIT 1) UNION ALL SELECT l.depth, l.id, l.before FROM c JOIN l ON l.id = c.before)
 SELECT c.id, c.step::INT AS step, coalesce(e.edge_type, '') AS edge_type, o.name, o.cls, o.z, o.zone FROM c LEFT JOIN e ON e.src = c.before AND e.dst = c.id LEFT JOIN ({_GRID}) o ON o.id = c.id""")
 def critical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest chain of the precedence graph of all touching objects, with what each step is."""
@@ -320,7 +312,7 @@ def critical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.critical_chain(_acyclic(spark, sf_dir)).join(o, "id", "left")
 
 
-@query("install_rank", f"{_DEPTHS} SELECT o.id, row_number() OVER (ORDER BY l.depth IS NULL, l.depth, o.id) AS rank FROM ({{OBJ}}) o LEFT JOIN l ON l.id = o.id")
+@query("install_rank", f"{DEPTHS} SELECT o.id, row_number() OVER (ORDER BY l.depth IS NULL, l.depth, o.id) AS rank FROM ({{OBJ}}) o LEFT JOIN l ON l.id = o.id")
 def install_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.install_rank(_acyclic(spark, sf_dir), objects(spark, sf_dir))
 
