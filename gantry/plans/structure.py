@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.operators import blocks, paths, scene
+from gantry.operators import blocks, matching, paths, scene
+from gantry.operators import relational as rel
 from gantry.plans import graphs
 from gantry.plans.base import edges, objects, query
 
@@ -107,3 +108,16 @@ def valve_surroundings(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = e.select("src", "dst", label.alias("label")).where("label IS NOT NULL")
     found = paths.ends(e, o.where("size = 7").select(F.col("id").alias("origin"), "id"), [paths.Hop(("own",), "both", 0, None), paths.Hop(("overlap",), "both")])
     return found.groupBy(F.col("origin").alias("valve")).agg(F.count("*").alias("objects"))
+
+
+# matching
+
+#: Metres beyond which two objects are no match, and what a match may fall short of the best by.
+MATCH_REACH, MATCH_EPSILON = 3.0, 0.01
+
+
+@query("assigned_matches")
+def assigned_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of even ids matched with those of odd ids by place, one to one, at the least total distance (within epsilon a row)."""
+    near = rel.radius_join(objects(spark, sf_dir), MATCH_REACH).where("a % 2 = 0 AND b % 2 = 1")
+    return matching.assign(near.select("a", "b", F.col("distance").alias("cost")), MATCH_REACH, MATCH_EPSILON)

@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from gantry.operators import blocks, paths, scene
+from gantry.operators import blocks, matching, paths, scene
 from tests.test_operators import reach
 
 
@@ -158,3 +158,45 @@ def test_hops_are_checked():
     for bad in ({"way": "up"}, {"least": -1}, {"least": 3, "most": 2}, {"least": 0, "most": 0}):
         with pytest.raises(ValueError, match="not a hop"):
             paths.Hop(**bad)
+
+
+# matching
+
+
+def least_total(cost, n, m, reach):
+    """The least sum of costs, `reach` for each left row alone, by going through all right rows taken."""
+    best = {0: 0.0}
+    for a in range(n):
+        new = {}
+        for taken, total in best.items():
+            for b in [None, *range(m)]:
+                c = reach if b is None else cost.get((a, b), reach)
+                if b is not None and (taken >> b & 1 or c >= reach):
+                    continue
+                key = taken if b is None else taken | 1 << b
+                new[key] = min(new.get(key, 1e9), total + c)
+        best = new
+    return min(best.values())
+
+
+@pytest.mark.parametrize("most", [matching.LOCAL_PAIRS, 5])
+def test_assignment(spark, monkeypatch, most):
+    """Many small tables side by side: one to one, and each total within epsilon a row of the least; ties and lone rows among them."""
+    monkeypatch.setattr(matching, "LOCAL_PAIRS", most)
+    rng, reach, epsilon, rows, cases = random.Random(6), 5.0, 0.05, [], []
+    for k in range(10):
+        n, m = rng.randrange(1, 7), rng.randrange(1, 7)
+        whole = k % 3 == 0  # costs with ties
+        cost = {(a, b): float(rng.randrange(1, 7)) if whole else rng.uniform(0, 7) for a in range(n) for b in range(m) if rng.random() < 0.7}
+        cases.append((n, m, cost))
+        rows += [(100 * k + a, 100 * k + b, c) for (a, b), c in cost.items()]
+    # twice the price war of three for one place, and rows that do not count
+    rows += [(9000, 9000, 1.0), (9001, 9000, 1.0), (9002, 9000, 1.0), (9003, 9003, 6.0), (None, 9004, 1.0), (9005, 9005, None), (9000, 9000, 2.0)]
+    got = matching.assign(spark.createDataFrame(rows, "a bigint, b bigint, cost double"), reach, epsilon).collect()
+    assert len({r["a"] for r in got}) == len({r["b"] for r in got}) == len(got)
+    assert all((r["a"], r["b"], r["cost"]) in rows and r["cost"] < reach for r in got)
+    assert sum(r["b"] == 9000 for r in got) == 1 and not any(r["a"] in (9003, 9005) for r in got)
+    for k, (n, m, cost) in enumerate(cases):
+        own = [r["cost"] for r in got if r["a"] // 100 == k]
+        assert sum(own) + reach * (n - len(own)) <= least_total(cost, n, m, reach) + epsilon * (n + m)
+    assert matching.assign(spark.createDataFrame([], "a bigint, b bigint, cost double"), reach, epsilon).collect() == []
