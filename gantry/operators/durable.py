@@ -41,8 +41,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_folder(df: DataFrame) -> str:
+    """A fresh path among the kept tables, for files of another form."""
+    return f"{_shared(df)}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """As cut(), for loops of many rounds: a table knows its size, where a checkpoint's guess is the product of all rounds before."""
-    path = f"{_shared(df)}/{uuid.uuid4().hex}"
+    path = new_folder(df)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

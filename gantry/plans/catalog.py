@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from gantry.plans import base, extra, gold, graphs, knowledge, rollups, scalars, structure  # noqa: F401
+from gantry.plans import base, extra, gold, graphs, knowledge, rollups, scalars, silver, structure  # noqa: F401
 
 QUERIES, ORACLES = base.QUERIES, base.ORACLES

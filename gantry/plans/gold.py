@@ -316,6 +316,20 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.union(up).union(line).union(zone)
 
 
+_STEPS = f"UNION ALL SELECT 'obj-' || src, 'obj-' || dst, 'MUST_PRECEDE', edge_type FROM ({graphs.ACYCLIC})"
+
+
+@query("graph_edges_full", f"""SELECT 'obj-' || src AS start_id, 'obj-' || dst AS end_id, 'ADJACENT_TO' AS type, NULL::VARCHAR AS edge_type FROM ({{EDGES}})
+UNION ALL SELECT object_id, parent_id, 'HAS_PARENT', NULL FROM ({_RAW}) WHERE parent_id IN (SELECT object_id FROM ({_RAW}))
+UNION ALL SELECT object_id, 'pipeline-' || sp3d_pipeline, 'BELONGS_TO_PIPELINE', NULL FROM ({_RAW}) WHERE sp3d_pipeline IS NOT NULL
+UNION ALL SELECT object_id, 'zone-' || zone_id::BIGINT, 'IN_ZONE', NULL FROM ({_ZONES} FROM ({_RAW})) {_STEPS}""")
+def graph_edges_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five kinds of edges of the property graph; those of the precedence graph without cycles say what they come from."""
+    steps = graphs.acyclic_precedence(spark, sf_dir)
+    steps = steps.select(F.concat(F.lit("obj-"), "src").alias("start_id"), F.concat(F.lit("obj-"), "dst").alias("end_id"), F.lit("MUST_PRECEDE").alias("type"), "edge_type")
+    return graph_edges(spark, sf_dir).withColumn("edge_type", F.lit(None).cast("string")).unionByName(steps)
+
+
 # ontology ----------------------------------------------------------------------------------------------------------
 
 #: Shared things and the property that names each; literals of an object and their types; its links.

@@ -265,9 +265,9 @@ def touch_precedence_dag(spark: SparkSession, sf_dir: str) -> DataFrame:
 # an edge lies on a cycle where its end leads back to its start; of those the ones that do not go up in height go
 TOUCH_DAG = _PRECEDE.replace("{PARTS}", "{EDGES}")
 _TOUCH_DAG = f"({TOUCH_DAG})"
-_ACYCLIC = f"""SELECT p.src, p.dst, p.edge_type FROM {_TOUCH_DAG} p LEFT JOIN (WITH RECURSIVE q AS {_TOUCH_DAG}, r(a, b) AS (SELECT src, dst FROM q UNION SELECT r.a, q.dst FROM r JOIN q ON r.b = q.src) SELECT a, b FROM r) c ON c.a = p.dst AND c.b = p.src
+ACYCLIC = f"""SELECT p.src, p.dst, p.edge_type FROM {_TOUCH_DAG} p LEFT JOIN (WITH RECURSIVE q AS {_TOUCH_DAG}, r(a, b) AS (SELECT src, dst FROM q UNION SELECT r.a, q.dst FROM r JOIN q ON r.b = q.src) SELECT a, b FROM r) c ON c.a = p.dst AND c.b = p.src
 JOIN ({{OBJ}}) x ON x.id = p.src JOIN ({{OBJ}}) y ON y.id = p.dst WHERE c.a IS NULL OR (x.z, x.id) < (y.z, y.id)"""
-DEPTHS = f"""WITH RECURSIVE e AS MATERIALIZED ({_ACYCLIC}), w(id, depth) AS (SELECT src, 0 FROM e UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON e.src = w.id), d AS (SELECT id, max(depth) AS depth FROM w GROUP BY id),
+DEPTHS = f"""WITH RECURSIVE e AS MATERIALIZED ({ACYCLIC}), w(id, depth) AS (SELECT src, 0 FROM e UNION SELECT e.dst, w.depth + 1 FROM w JOIN e ON e.src = w.id), d AS (SELECT id, max(depth) AS depth FROM w GROUP BY id),
 l AS (SELECT d.id, d.depth, (SELECT min(e.src) FROM e JOIN d b ON b.id = e.src WHERE e.dst = d.id AND b.depth = d.depth - 1) AS before FROM d)"""
 
 
@@ -276,7 +276,7 @@ def _acyclic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.cut(graph.break_cycles(graph.cut(touch_precedence_dag(spark, sf_dir)), height))
 
 
-@query("acyclic_precedence", _ACYCLIC)
+@query("acyclic_precedence", ACYCLIC)
 def acyclic_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The precedence graph of all touching objects without the edges of its cycles that lead down."""
     return _acyclic(spark, sf_dir)

@@ -8,7 +8,7 @@ import random
 import pytest
 
 from gantry.operators import cycles, graph, ontology, triples
-from gantry.sources import io, lineage
+from gantry.sources import io, lineage, silver
 
 
 def test_sqlite_there_and_back(spark, tmp_path):
@@ -161,3 +161,29 @@ def test_chain_and_rank(spark):
     assert all((a["id"], b["id"]) in set(edges) and b["edge_type"] == f"{a['id']}-{b['id']}" for a, b in zip(chain, chain[1:], strict=False)) and chain[0]["edge_type"] == ""
     rank = {r["id"]: r["rank"] for r in graph.install_rank(df, spark.range(33)).collect()}
     assert sorted(rank.values()) == list(range(1, 34)) and all(rank[a] < rank[b] for a, b in edges) and [rank[i] for i in (30, 31, 32)] == [31, 32, 33]
+
+
+def test_declared_sources(spark, tmp_path):
+    """Headers in any order, text that does not fit, absent and unknown columns, quoted line breaks."""
+    (tmp_path / "a.csv").write_text('Tolerance,Extra,SourceObjectId,Distance,RelationType\n0.1,e,"a ""b""",nan,touch\nmuch,,x,1e2,\n')
+    df = silver.read(spark, str(tmp_path / "a.csv"), silver.ADJACENCY)
+    assert df.columns == [n for _, n, _ in silver.ADJACENCY.columns] + ["Extra"]
+    assert [(r["source_object_id"], r["distance_m"], r["relation_type"], r["tolerance_m"], r["target_name"], r["Extra"]) for r in df.collect()] == [('a "b"', None, "touch", 0.1, None, "e"), ("x", 100.0, None, None, None, None)]
+    (tmp_path / "g.csv").write_text('GroupId,MemberObjectIds,ElementCount\n"g\n1",a;b,2.0\ng2,c,x\n')
+    got = silver.read(spark, str(tmp_path / "g.csv"), silver.GROUPS, multi_line=True)
+    assert "MemberObjectIds" not in got.columns and [(r["group_id"], r["group_size"]) for r in got.collect()] == [("g\n1", 2), ("g2", None)]
+    assert dict(got.dtypes)["group_centroid_z"] == "double"
+
+
+def test_silver_sides(spark):
+    """Hierarchy is the source of parents and levels; a group of many objects multiplies none."""
+    objects = spark.createDataFrame([("a", "no", "3.0"), ("b", "no", "x")], "object_id string, parent_id string, level string")
+    hierarchy = spark.createDataFrame([("a", None, 0), ("b", "a", 1)], "object_id string, parent_id string, level bigint")
+    validation = spark.createDataFrame([("a", "g"), ("b", "g")], "object_id string, group_id string")
+    groups, geometry = spark.createDataFrame([("g", 2)], "group_id string, group_size bigint"), spark.createDataFrame([("a", 1.5)], "object_id string, centroid_x double")
+    assert [r["level"] for r in silver.with_levels(objects).orderBy("object_id").collect()] == [3, None]
+    base, sides = silver.silver(geometry, validation, groups, hierarchy, objects)
+    for side, key in sides:
+        base = base.join(side, key, "left")
+    got = {r["object_id"]: (r["parent_id"], r["level"], r["group_id"], r["group_size"], r["centroid_x"]) for r in base.collect()}
+    assert got == {"a": (None, 0, "g", 2, 1.5), "b": ("a", 1, "g", 2, None)}
