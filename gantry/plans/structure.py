@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.operators import blocks, matching, paths, scene
+from gantry.operators import blocks, matching, paths, profile, scene
 from gantry.operators import relational as rel
 from gantry.plans import graphs
 from gantry.plans.base import edges, objects, query
@@ -121,3 +121,42 @@ def assigned_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects of even ids matched with those of odd ids by place, one to one, at the least total distance (within epsilon a row)."""
     near = rel.radius_join(objects(spark, sf_dir), MATCH_REACH).where("a % 2 = 0 AND b % 2 = 1")
     return matching.assign(near.select("a", "b", F.col("distance").alias("cost")), MATCH_REACH, MATCH_EPSILON)
+
+
+# profiles
+
+_WIDE = """SELECT x, y, z, size, level, pressure, temperature, weight, size * 2.5::DOUBLE + id % 2 AS size_again, -pressure AS fall, 7::BIGINT AS fixed, CASE WHEN id % 4 <> 0 THEN 0 ELSE size END::BIGINT AS often_zero,
+  CASE WHEN id % 3 = 0 THEN z END AS often_missing, CASE WHEN id % 50 = 1 THEN 1000.0::DOUBLE ELSE size::DOUBLE END AS rare_peak, grp FROM ({OBJ})"""
+_WIDE_NUMBERS = ["x", "y", "z", "size", "level", "pressure", "temperature", "weight", "size_again", "fall", "fixed", "often_zero", "often_missing", "rare_peak"]
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = objects(spark, sf_dir)
+    size = F.col("size").cast("double")
+    return o.select(
+        "x", "y", "z", "size", "level", "pressure", "temperature", "weight", (size * 2.5 + F.col("id") % 2).alias("size_again"), (-F.col("pressure")).alias("fall"), F.lit(7).cast("bigint").alias("fixed"),
+        F.when(F.col("id") % 4 != 0, 0).otherwise(F.col("size")).alias("often_zero"), F.when(F.col("id") % 3 == 0, F.col("z")).alias("often_missing"), F.when(F.col("id") % 50 == 1, 1000.0).otherwise(size).alias("rare_peak"), "grp",
+    )
+
+
+_PAIRS = [(a, b) for i, a in enumerate(_WIDE_NUMBERS) for b in _WIDE_NUMBERS[i + 1 :]]
+
+
+@query("correlation_matrix", "WITH w AS (" + _WIDE + ") " + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, count(*) FILTER ({a} IS NOT NULL AND {b} IS NOT NULL) AS n, {'NULL::DOUBLE' if 'fixed' in (a, b) else f'round(corr({a}, {b}), 6) + 0.0'} AS correlation FROM w" for a, b in _PAIRS))
+def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of numeric columns, each over the rows with both values."""
+    found = profile.correlations(_wide(spark, sf_dir), _WIDE_NUMBERS)
+    return found.select("a", "b", "n", (F.round("correlation", 6) + 0.0).alias("correlation"))
+
+
+_SINGLE = " UNION ALL ".join(
+    [f"SELECT 'missing' AS kind, '{c}' AS \"column\", NULL::VARCHAR AS other, avg(({c} IS NULL)::INT) AS value, avg(({c} IS NULL)::INT) >= 0.2 AS told FROM w" for c in [*_WIDE_NUMBERS, "grp"]]
+    + [f"SELECT 'constant', '{c}', NULL, max({c}), min({c}) = max({c}) FROM w UNION ALL SELECT 'zeros', '{c}', NULL, avg(({c} = 0)::INT), avg(({c} = 0)::INT) >= 0.5 FROM w UNION ALL SELECT 'skewed', '{c}', NULL, s, abs(s) >= 2 FROM (SELECT avg((v - m) ** 3) / nullif(var_pop(v) ** 1.5, 0) AS s FROM (SELECT {c}::DOUBLE AS v, avg({c}::DOUBLE) OVER () AS m FROM w))" for c in _WIDE_NUMBERS]
+    + [f"SELECT 'correlated', '{a}', '{b}', corr({a}, {b}), abs(corr({a}, {b})) >= 0.9 FROM w" for a, b in _PAIRS if "fixed" not in (a, b)]
+)
+
+
+@query("full_profile_alerts", f"WITH w AS ({_WIDE}), s AS ({_SINGLE}) SELECT kind, \"column\", other, round(value::DOUBLE, 6) + 0.0 AS value FROM s WHERE told")
+def full_profile_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Constant, missing, zero and skewed columns, and pairs of columns that say the same."""
+    return profile.alerts(_wide(spark, sf_dir)).withColumn("value", F.round("value", 6) + 0.0)

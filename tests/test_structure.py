@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from gantry.operators import blocks, matching, paths, scene
+from gantry.operators import blocks, matching, paths, profile, scene
 from tests.test_operators import reach
 
 
@@ -200,3 +200,32 @@ def test_assignment(spark, monkeypatch, most):
         own = [r["cost"] for r in got if r["a"] // 100 == k]
         assert sum(own) + reach * (n - len(own)) <= least_total(cost, n, m, reach) + epsilon * (n + m)
     assert matching.assign(spark.createDataFrame([], "a bigint, b bigint, cost double"), reach, epsilon).collect() == []
+
+
+# profiles
+
+
+def test_co_moments(spark):
+    """Large values close together, gaps, NaN and infinities, a constant and an empty column, over several tasks."""
+    rng = random.Random(8)
+    rows = []
+    for k in range(400):
+        x = 1e9 + rng.random()
+        rows.append((x, -3 * x + rng.random() * 0.1, None if k % 3 else float(k), 5, rng.choice([float("nan"), float("inf"), 1.0, 2.0, -1.0]), None))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d int, e double, f double").repartition(5)
+    got = {(r["a"], r["b"]): (r["n"], r["correlation"]) for r in profile.correlations(df, list("abcdef")).collect()}
+    clean = [[None if v is None or not math.isfinite(v) else float(v) for v in r] for r in rows]
+    for i, p in enumerate("abcdef"):
+        for j in range(i + 1, 6):
+            both = [(r[i], r[j]) for r in clean if r[i] is not None and r[j] is not None]
+            if not both:
+                assert (p, "abcdef"[j]) not in got
+                continue
+            mx, my = (sum(v[k] - both[0][k] for v in both) / len(both) + both[0][k] for k in (0, 1))
+            sxx, syy, sxy = (sum((v[m] - (mx, my)[m]) * (v[n] - (mx, my)[n]) for v in both) for m, n in ((0, 0), (1, 1), (0, 1)))
+            n, r = got[p, "abcdef"[j]]
+            assert n == len(both)
+            assert r is None if sxx == 0 or syy == 0 else r == pytest.approx(sxy / math.sqrt(sxx * syy), abs=1e-6)
+    assert profile.correlations(df.limit(0), ["a", "b"]).collect() == []
+    told = {(r["kind"], r["column"], r["other"]) for r in profile.alerts(df).collect()}
+    assert {("constant", "d", None), ("missing", "c", None), ("missing", "f", None), ("correlated", "a", "b")} <= told and ("missing", "a", None) not in told
