@@ -29,6 +29,12 @@ CLASS_WORDS = {
 }
 NOT_PIPING = ("rack", "trench", "support", "way", "bridge", "shoe")
 
+#: The reasons of a class's confidence.
+REASONS = {
+    "no piping": "xlsx_class_clean", "both": "piping_has_pipeline_and_metadata", "pipeline": "piping_pipeline_only", "metadata": "piping_metadata_only", "rack": "piping_no_metadata_pipe_rack_folder",
+    "trench": "piping_no_metadata_pipe_trench_folder", "pipeline folder": "piping_no_metadata_pipeline_folder", "steel": "piping_no_metadata_steel_tee_substring", "nothing": "piping_no_metadata_unknown",
+}
+
 #: SI columns, the text each comes from, and its parser.
 SI_COLUMNS: dict[str, tuple[str, Callable[[Column], Column]]] = {
     "dry_weight_kg": ("sp3d_dry_weight", units.weight_kg), "wet_weight_kg": ("sp3d_wet_weight", units.weight_kg), "length_m": ("sp3d_length", units.length_m), "width_m": ("sp3d_width", units.length_m),
@@ -101,8 +107,8 @@ def add_confidence(df: DataFrame) -> DataFrame:
     path = F.coalesce("system_path", F.lit(""))
     level = F.when(~piping | (line & meta), "HIGH").when(line | meta, "LOW").otherwise("LIKELY_BUG")
     # of two folders in one path the trench tells
-    folder = F.when(path.rlike(r"(?i)Pipe\s*Trench"), "pipe_trench_folder").when(path.rlike(r"(?i)Pipe\s*Rack"), "pipe_rack_folder").when(path.rlike("(?i)Pipeline"), "pipeline_folder").when(path.rlike("(?i)steel"), "steel_tee_substring").otherwise("unknown")
-    reason = F.when(~piping, "xlsx_class_clean").when(line & meta, "piping_has_pipeline_and_metadata").when(line, "piping_pipeline_only").when(meta, "piping_metadata_only").otherwise(F.concat(F.lit("piping_no_metadata_"), folder))
+    folder = F.when(path.rlike(r"(?i)Pipe\s*Trench"), REASONS["trench"]).when(path.rlike(r"(?i)Pipe\s*Rack"), REASONS["rack"]).when(path.rlike("(?i)Pipeline"), REASONS["pipeline folder"]).when(path.rlike("(?i)steel"), REASONS["steel"]).otherwise(REASONS["nothing"])
+    reason = F.when(~piping, REASONS["no piping"]).when(line & meta, REASONS["both"]).when(line, REASONS["pipeline"]).when(meta, REASONS["metadata"]).otherwise(folder)
     return df.withColumns({"classification_confidence": level, "classification_confidence_reason": reason})
 
 

@@ -184,7 +184,7 @@ def quartile_outliers(df: DataFrame, value: str, factor: float = 1.5) -> DataFra
 
 def deterministic_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """n rows by the hash of their key: the same each time."""
-    return df.orderBy(F.xxhash64(key), key).limit(n)
+    return df.orderBy(F.md5(F.col(key).cast("string").cast("binary")), key).limit(n)
 
 
 def column_stats(df: DataFrame) -> DataFrame:

@@ -84,7 +84,7 @@ def removal_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query("deterministic_sample")
+@query("deterministic_sample", "SELECT p_partkey, p_name FROM part ORDER BY md5(p_partkey::VARCHAR), p_partkey LIMIT 100")
 def deterministic_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rel.deterministic_sample(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_partkey", 100)
 
