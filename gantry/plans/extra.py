@@ -71,7 +71,13 @@ def nearest_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.groupBy(F.col("a").alias("id")).agg(F.min(F.struct(F.round("distance", 6).alias("d"), "b")).alias("m")).select("id", F.col("m.b").alias("match"))
 
 
-@query("removal_effect")
+def _without(cls: str) -> str:
+    return f"""SELECT * FROM (WITH RECURSIVE o AS MATERIALIZED (SELECT id FROM ({{OBJ}}) WHERE cls <> '{cls}'), b AS MATERIALIZED (SELECT src, dst FROM ({{EDGES}}) UNION ALL SELECT dst, src FROM ({{EDGES}})),
+w(id, root) USING KEY (id) AS (SELECT id, id FROM o UNION (SELECT b.dst, min(w.root) FROM w JOIN b ON b.src = w.id JOIN recurring.w k ON k.id = b.dst WHERE w.root < k.root GROUP BY b.dst))
+SELECT count(DISTINCT root) AS components, '{cls}' AS without FROM w)"""
+
+
+@query("removal_effect", f"{_without('LARGE')} UNION ALL {_without('PROMO')}")
 def removal_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the touching objects after each class is taken out."""
     o, e = objects(spark, sf_dir), graph.cut(edges(spark, sf_dir).select("src", "dst"))
