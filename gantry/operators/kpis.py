@@ -45,8 +45,7 @@ def criticality(gold: DataFrame, pairs: DataFrame) -> DataFrame:
 def accessibility(gold: DataFrame) -> DataFrame:
     """(num, maintenance_accessibility_index): 1 / (1 + others within RADIUS)."""
     nodes = gold.where("graph_participant").select("num", F.col("centroid_x").alias("x"), F.col("centroid_y").alias("y"), F.col("centroid_z").alias("z"))
-    near = rel.radius_join(nodes, RADIUS, "num").groupBy("a").agg(F.count("*").alias("n"))
-    return nodes.join(near, F.col("num") == F.col("a"), "left").select("num", (1.0 / (1.0 + F.coalesce("n", F.lit(0)))).alias("maintenance_accessibility_index"))
+    return rel.radius_counts(nodes, RADIUS, "num").select("num", (1.0 / (1.0 + F.col("near"))).alias("maintenance_accessibility_index"))
 
 
 def corrosion(gold: DataFrame) -> DataFrame:
