@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gantry.operators import blocks, matching, paths, profile, scene
+from gantry.operators import blocks, graph, matching, paths, profile, scene
 from gantry.operators import relational as rel
+from gantry.operators.durable import written
 from gantry.plans import graphs
-from gantry.plans.base import edges, objects, query
+from gantry.plans.base import edges, edges_alike, objects, query
 
 _OWN = "SELECT e.src, e.dst, a.grp FROM ({EDGES}) e JOIN ({OBJ}) a ON a.id = e.src JOIN ({OBJ}) b ON b.id = e.dst WHERE a.grp = b.grp"
 
 
 def _own_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Touching pairs within a group."""
-    of = objects(spark, sf_dir).select("id", "grp")
-    e = edges(spark, sf_dir).select("src", "dst")
-    return e.join(of.withColumnsRenamed({"id": "src", "grp": "ga"}), "src").join(of.withColumnsRenamed({"id": "dst", "grp": "gb"}), "dst").where("ga = gb").select("src", "dst")
+    return edges_alike(spark, sf_dir, objects(spark, sf_dir).select("id", F.col("grp").alias("alike")))
 
 
 @query("cut_objects", f"""WITH RECURSIVE e AS MATERIALIZED ({_OWN}), b AS MATERIALIZED (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e), o AS MATERIALIZED (SELECT id, grp FROM ({{OBJ}})),
@@ -43,7 +42,7 @@ SELECT grp, count(DISTINCT root) AS n FROM w JOIN o USING (id) GROUP BY grp)"""
 def group_fragmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of each group before and after one class of objects goes, for all groups at once."""
     o = objects(spark, sf_dir)
-    return blocks.fragmentation(o, edges(spark, sf_dir), o.where("cls = 'PROMO'"))
+    return blocks.fragmentation(o, _own_pairs(spark, sf_dir), o.where("cls = 'PROMO'"))
 
 
 # transforms along a deep tree: each object turns by quarters about the vertical axis and moves, so numbers stay whole
@@ -106,8 +105,13 @@ def valve_surroundings(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = edges(spark, sf_dir).join(of.withColumnsRenamed({"id": "src", "grp": "ga"}), "src").join(of.withColumnsRenamed({"id": "dst", "grp": "gb"}), "dst")
     label = F.when(F.col("relation") == "overlap", "overlap").when(F.col("ga") == F.col("gb"), "own")
     e = e.select("src", "dst", label.alias("label")).where("label IS NOT NULL")
-    found = paths.ends(e, o.where("size = 7").select(F.col("id").alias("origin"), "id"), [paths.Hop(("own",), "both", 0, None), paths.Hop(("overlap",), "both")])
-    return found.groupBy(F.col("origin").alias("valve")).agg(F.count("*").alias("objects"))
+    e = written(e)
+    # all valves of one part of a group have the same surroundings, so those are found once for each part
+    of = written(graph.components(o, e.where("label = 'own'")))
+    over = rel.symmetric_closure(e.where("label = 'overlap'").select("src", "dst"), "src", "dst")
+    met = over.join(of.select(F.col("id").alias("src"), "component"), "src").select("component", "dst").distinct()
+    found = met.groupBy("component").agg(F.count("*").alias("objects"))
+    return o.where("size = 7").select(F.col("id").alias("valve")).join(of, F.col("valve") == F.col("id")).join(found, "component").select("valve", "objects")
 
 
 # matching
