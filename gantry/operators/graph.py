@@ -44,17 +44,27 @@ def clustering(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, component): the least id reachable. Least labels pass along edges, then along labels (pointer jumping)."""
-    both = cut(pairs.select("src", "dst").union(pairs.select("dst", "src")).distinct())
-    label = cut(nodes.select("id", F.col("id").alias("component")))
-    while True:
-        near = both.join(label, both["dst"] == label["id"]).groupBy("src").agg(F.min("component").alias("near"))
-        low = cut(label.join(near, label["id"] == near["src"], "left").select("id", F.col("component").alias("was"), F.least("component", F.coalesce("near", "component")).alias("component")))
-        up = low.select(F.col("id").alias("at"), F.col("component").alias("further"))
-        label = cut(low.join(up, F.col("component") == F.col("at"), "left").select("id", "was", F.least("component", F.coalesce("further", "component")).alias("component")))
-        if label.where("component <> was").isEmpty():
-            return label.select("id", "component")
-        label = label.drop("was")
+    """(id, component): the least id reachable along pairs of these nodes.
+
+    In each round every part that touches one of lesser name goes into the least of them, chains of such steps are followed
+    to their ends by doubling, and parts become the nodes of what is left. So all pairs are passed over once, and few of
+    them join two parts after that.
+    """
+    label = written(nodes.select("id", F.col("id").alias("component")))
+    ends = lambda c: nodes.select(F.col("id").alias(c))
+    left = written(canonical_pairs(pairs.select("src", "dst")).join(ends("src"), "src", "left_semi").join(ends("dst"), "dst", "left_semi"))
+    while not left.isEmpty():
+        up = written(left.groupBy(F.col("dst").alias("part")).agg(F.min("src").alias("to")))
+        while True:
+            further = up.select(F.col("part").alias("mid"), F.col("to").alias("far"))
+            up = written(up.select("part", "to").join(further, F.col("to") == F.col("mid"), "left").select("part", F.coalesce("far", "to").alias("to"), F.col("far").isNotNull().alias("moved")))
+            if up.where("moved").isEmpty():
+                break
+        label = written(label.join(up.select("part", "to"), F.col("component") == F.col("part"), "left").select("id", F.coalesce("to", "component").alias("component")))
+        one, other = up.select(F.col("part").alias("src"), F.col("to").alias("a")), up.select(F.col("part").alias("dst"), F.col("to").alias("b"))
+        now = left.join(one, "src", "left").join(other, "dst", "left").select(F.coalesce("a", "src").alias("src"), F.coalesce("b", "dst").alias("dst"))
+        left = written(canonical_pairs(now))
+    return label
 
 
 def longest_path(edges: DataFrame) -> DataFrame:

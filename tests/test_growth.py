@@ -2,9 +2,14 @@
 
 import random
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from gantry.operators import graph
 from gantry.operators import relational as rel
+from gantry.plans import base, catalog, extra, graphs, structure
+from tests.oracle import rows_of
 
 
 def _crowd(spark):
@@ -45,3 +50,73 @@ def test_counts_of_a_crowd(spark):
     placed = [r for r in rows if r[2] is not None]
     want = {p[0]: 0 if p[2] is None else sum(_apart(p, q) <= 3.0 for q in placed) - 1 for p in rows}
     assert dict(rel.radius_counts(df, 3.0).collect()) == want
+
+
+@pytest.fixture(scope="module")
+def plant(spark, tmp_path_factory):
+    """60 orders of up to 8 parts, some parts in none, and some rows with a NULL."""
+    rng, at = random.Random(5), str(tmp_path_factory.mktemp("growth"))
+    parts = [(k, f"n{k}", rng.choice(("LARGE", "PROMO", "SMALL")) + " A B", rng.choice(("b1", "b2")), rng.choice((7, 7, 8, 9)), 900.0) for k in range(90)]
+    lines = [(o, k, float(rng.randrange(1, 50))) for o in range(60) for k in rng.sample(range(80), rng.randrange(1, 9))] + [(None, 1, 1.0), (4, None, 1.0), (5, 1, 2.0), (5, 1, 3.0)]
+    spark.createDataFrame(parts, "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int, p_retailprice double").write.parquet(f"{at}/part.parquet")
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_quantity double").write.parquet(f"{at}/lineitem.parquet")
+    return at
+
+
+def agree(spark, plant, name):
+    con = duckdb.connect()
+    for t in ("part", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{plant}/{t}.parquet/*.parquet'")
+    made = con.execute(catalog.ORACLES[name])
+    names = [d[0] for d in made.description]
+    got = catalog.QUERIES[name](spark, plant)
+    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of(names, made.fetchall())
+
+
+def test_tasks_of_edges_grow_with_the_orders(spark, plant, monkeypatch):
+    monkeypatch.setattr(base, "LINES_A_TASK", 10, raising=False)
+    assert base.edges(spark, plant).rdd.getNumPartitions() > 20
+    agree(spark, plant, "tier_filter")
+    agree(spark, plant, "clash_rank")
+
+
+def test_valves_of_one_part_are_followed_together(spark, plant, monkeypatch):
+    def no(*_):
+        raise AssertionError("a row for each valve and object")
+
+    monkeypatch.setattr(structure.paths, "ends", no)
+    agree(spark, plant, "valve_surroundings")
+
+
+@pytest.mark.parametrize("name", ["touch_components", "touch_isolation_sections", "removal_effect"])
+def test_what_is_connected_needs_no_pairs(spark, plant, monkeypatch, name):
+    def no(*_):
+        raise AssertionError("all pairs of an order")
+
+    for module in (graphs, extra):
+        monkeypatch.setattr(module, "edges", no)
+    agree(spark, plant, name)
+
+
+@pytest.mark.parametrize("name", ["cut_objects", "group_fragmentation"])
+def test_only_pairs_of_a_group_are_made(spark, plant, monkeypatch, name):
+    def no(*_):
+        raise AssertionError("all pairs of an order")
+
+    monkeypatch.setattr(structure, "edges", no)
+    agree(spark, plant, name)
+
+
+def test_only_pairs_of_a_class_precede(spark, plant, monkeypatch):
+    def no(*_):
+        raise AssertionError("all pairs of an order")
+
+    monkeypatch.setattr(graphs, "edges", no)
+    agree(spark, plant, "touch_precedence_dag")
+
+
+def test_components_of_an_unlucky_path(spark):
+    ways = [(k, 100 + k) for k in range(40)] + [(k + 1, 100 + k) for k in range(40)] + [(7, None), (5, 5), (900, 3), (300, 301)]
+    nodes = [*range(41), *range(100, 140), 300, 301, 302]
+    got = dict(graph.components(spark.createDataFrame([(k,) for k in nodes], "id bigint"), spark.createDataFrame(ways, "src bigint, dst bigint")).collect())
+    assert got == {k: 0 if k < 300 else min(k, 300) if k < 302 else 302 for k in nodes}
