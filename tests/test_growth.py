@@ -120,3 +120,17 @@ def test_components_of_an_unlucky_path(spark):
     nodes = [*range(41), *range(100, 140), 300, 301, 302]
     got = dict(graph.components(spark.createDataFrame([(k,) for k in nodes], "id bigint"), spark.createDataFrame(ways, "src bigint, dst bigint")).collect())
     assert got == {k: 0 if k < 300 else min(k, 300) if k < 302 else 302 for k in nodes}
+
+
+@pytest.mark.parametrize("edges_a_task", [20, 10_000])
+def test_triangles_by_triples_of_parts(spark, plant, monkeypatch, edges_a_task):
+    monkeypatch.setattr(graph, "EDGES_A_TASK", edges_a_task, raising=False)
+    monkeypatch.setattr(graph, "WEDGES_AT_ONCE", 50, raising=False)
+    agree(spark, plant, "touch_clustering")
+    rng = random.Random(1)
+    pairs = {(a, b) for a, b in ((0, k) for k in range(1, 70)) for _ in (0,)} | {tuple(sorted(rng.sample(range(70), 2))) for _ in range(300)}
+    near = {k: {a + b - k for a, b in pairs if k in (a, b)} for k in range(71)}
+    want = {k: sum(b in near[a] for a in near[k] for b in near[k] if a < b) for k in near}
+    got = graph.clustering(spark.range(71), spark.createDataFrame(sorted(pairs), "src bigint, dst bigint"))
+    assert {r["id"]: r["triangles"] for r in got.collect()} == want
+    assert "wedge" not in _joined(got) and _joined(got).count("Join") <= 2
