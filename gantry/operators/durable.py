@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +52,25 @@ def written(df: DataFrame) -> DataFrame:
     path = new_folder(df)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows of a bucket.
+ROWS_A_BUCKET = 1_000_000
+
+
+def buckets_of(df: DataFrame, rows: int) -> int:
+    """Buckets for so many rows: never fewer than a shuffle has tasks, as a join would deal the rows anew then."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_A_BUCKET))
+
+
+def bucketed(df: DataFrame, key: str, n: int, then: Callable[[DataFrame], DataFrame] = lambda d: d) -> DataFrame:
+    """As written(), in n buckets by the key, so that rounds of joins by it do not move these rows again; `then` is done to the rows once they are dealt."""
+    path, name = new_folder(df), f"kept_{uuid.uuid4().hex}"
+    then(df.repartition(n, key)).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
+    atexit.register(_drop, df.sparkSession, name)
+    return df.sparkSession.table(name)
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    with contextlib.suppress(Exception):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import gantry
 from gantry.operators.cycles import break_cycles, strongly_connected  # noqa: F401
-from gantry.operators.durable import cut, written
+from gantry.operators.durable import bucketed, buckets_of, cut, written
 from gantry.operators.relational import canonical_pairs, keep_first, place_in
 
 # Executors need not have this package on their path: its functions travel with the tasks.
@@ -207,8 +207,10 @@ def zones(nodes: DataFrame, pairs: DataFrame, resolution: float = 1.0, least_gai
     more. A stated deviation from sequential schemes: the result is deterministic, covers all nodes, and does not equal
     theirs node for node.
     """
-    links = pairs.select("src", "dst").union(pairs.select("dst", "src")).where("src <> dst").groupBy("src", "dst").agg(F.count("*").cast("double").alias("w"))
-    links = written(links)
+    pairs = written(pairs.select("src", "dst"))
+    both = pairs.union(pairs.select("dst", "src")).where("src <> dst")
+    dealt = buckets_of(pairs, 2 * pairs.count())
+    links = bucketed(both, "dst", dealt, lambda d: d.groupBy("src", "dst").agg(F.count("*").cast("double").alias("w")))
     deg = links.groupBy(F.col("src").alias("id")).agg(F.sum("w").alias("degree"))
     deg = written(nodes.select("id").join(deg, "id", "left").fillna(0.0, ["degree"]))
     total = links.agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0] or 1.0
@@ -222,42 +224,52 @@ def zones(nodes: DataFrame, pairs: DataFrame, resolution: float = 1.0, least_gai
         between = links.join(label.withColumnsRenamed({"id": "src", "zone": "a"}), "src").join(label.withColumnsRenamed({"id": "dst", "zone": "b"}), "dst")
         between = written(between.groupBy(F.col("a").alias("src"), F.col("b").alias("dst")).agg(F.sum("w").alias("w")))
         within += between.where("src = dst").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
-        links = between.where("src <> dst")
+        links = bucketed(between.where("src <> dst"), "dst", buckets_of(between, between.count()))
         deg = written(deg.join(label, "id").groupBy(F.col("zone").alias("id")).agg(F.sum("degree").alias("degree")))
     names = member.groupBy("zone").agg(F.min("id").alias("least"))
     return member.join(names, "zone").select("id", F.col("least").alias("zone"))
 
 
 def _moves(links: DataFrame, deg: DataFrame, total: float, within: float, resolution: float, least_gain: float, patience: int = 2) -> tuple[DataFrame, float, float]:
-    """(best labels, modularity of nodes alone, modularity of these labels) of one level; ends after `patience` pairs of rounds without a gain."""
-
-    def modularity(label: DataFrame) -> float:
-        ends = links.join(label.withColumnsRenamed({"id": "src", "zone": "a"}), "src").join(label.withColumnsRenamed({"id": "dst", "zone": "b"}), "dst")
-        inside = ends.where("a = b").agg(F.coalesce(F.sum("w"), F.lit(0.0))).first()[0]
-        square = deg.join(label, "id").groupBy("zone").agg(F.sum("degree").alias("d")).agg(F.coalesce(F.sum(F.col("d") * F.col("d")), F.lit(0.0))).first()[0]
-        return (within + inside) / total - resolution * square / total**2
-
-    label = deg.select("id", F.col("id").alias("zone"))
-    best, began = label, modularity(label)
-    got, k, idle = began, 0, 0
-    while idle < patience:
-        for _ in range(2):
-            weight = label.join(deg, "id").groupBy("zone").agg(F.sum("degree").alias("zone_degree"))
-            own = label.select(F.col("id").alias("src"), F.col("zone").alias("own"))
-            near = links.join(label.select(F.col("id").alias("dst"), "zone"), "dst").select("src", "zone", "w")
-            options = near.union(own.select("src", "own", F.lit(0.0))).groupBy("src", "zone").agg(F.sum("w").alias("links"))
-            options = options.join(weight, "zone").join(deg.select(F.col("id").alias("src"), "degree"), "src").join(own, "src")
-            rest = F.col("zone_degree") - F.when(F.col("zone") == F.col("own"), F.col("degree")).otherwise(0.0)
-            options = options.withColumn("gain", F.col("links") - resolution * F.col("degree") * rest / F.lit(total))
-            to = keep_first(options, ["src"], [F.desc("gain"), F.asc("zone")])
-            turn = F.pmod(F.xxhash64("src", F.lit(k)), F.lit(2)) == 0
-            label = written(to.select(F.col("src").alias("id"), F.when(turn, F.col("zone")).otherwise(F.col("own")).alias("zone")))
-            k += 1
-        now = modularity(label)
-        idle = 0 if now > got + least_gain else idle + 1
-        if now > got:
-            best, got = label, now
-    return best, began, got
+    """(best labels, modularity of nodes alone, modularity of these labels) of one level; ends after `patience` pairs of rounds without a gain.
+
+    Links lie in buckets by dst. What they tell of zones is dealt once by src, and all that follows stays there: in a round
+    no link is moved twice. A round also finds the links inside the zones that it began with, so modularity needs no pass of
+    its own; in the second of a pair only links of nodes whose turn it is are followed.
+    """
+    label = best = deg.select("id", F.col("id").alias("zone"))
+    tasks = buckets_of(links, links.count())
+    began = got = 0.0
+    k, idle = 0, 0
+    while True:
+        turn = F.pmod(F.xxhash64("src", F.lit(k)), F.lit(2)) == 0
+        named = label.join(deg, "id")
+        weight = named.groupBy("zone").agg(F.sum("degree").alias("zone_degree"))
+        known = written(named.join(weight, "zone").select("id", "zone", "degree", "zone_degree"))
+        asked = links.where(turn) if k % 2 else links
+        near = asked.join(known.select(F.col("id").alias("dst"), "zone", "zone_degree").hint("shuffle_hash"), "dst").select("src", "zone", "zone_degree", "w")
+        every = near.union(known.select("id", "zone", "zone_degree", F.lit(0.0))).repartition(tasks, "src")
+        options = every.groupBy("src", "zone").agg(F.sum("w").alias("links"), F.max("zone_degree").alias("zone_degree"))
+        own = known.select(F.col("id").alias("src"), F.col("zone").alias("own"), "degree")
+        options = options.join(own.hint("shuffle_hash"), "src")
+        stays = F.col("zone") == F.col("own")
+        gain = F.col("links") - resolution * F.col("degree") * (F.col("zone_degree") - F.when(stays, F.col("degree")).otherwise(0.0)) / F.lit(total)
+        to = options.groupBy("src").agg(F.min(F.struct((-gain).alias("loss"), "zone"))["zone"].alias("zone"), F.max("own").alias("own"), F.sum(F.when(stays, F.col("links")).otherwise(0.0)).alias("inside"))
+        step = written(to.select(F.col("src").alias("id"), F.when(turn, F.col("zone")).otherwise(F.col("own")).alias("zone"), "inside"))
+        if k % 2 == 0:
+            inside = step.agg(F.coalesce(F.sum("inside"), F.lit(0.0))).first()[0]
+            square = weight.agg(F.coalesce(F.sum(F.col("zone_degree") * F.col("zone_degree")), F.lit(0.0))).first()[0]
+            now = (within + inside) / total - resolution * square / total**2
+            if k == 0:
+                began = got = now
+            else:
+                idle = 0 if now > got + least_gain else idle + 1
+            if now > got:
+                best, got = label, now
+            if idle >= patience:
+                return best, began, got
+        label = step.select("id", "zone")
+        k += 1
 
 
 def precedence(objects: DataFrame, pairs: DataFrame, bin_height: float = 3.0, least_rise: float = 0.01) -> DataFrame:
