@@ -13,11 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gantry.operators.durable import written
+from gantry.operators.durable import bucketed, buckets_of, written
 
 
 #: Steps of trimming that are planned as one round, between two tables.
 STEPS_A_ROUND = 3
+#: Edges that do not go up in an order of which each has a bit of its own.
+MARKS = 62
 
 
 def trimmed(edges: DataFrame) -> DataFrame:
@@ -73,6 +75,59 @@ def strongly_connected(edges: DataFrame) -> DataFrame:
     return found.join(alone, "component", "left_anti").select("id", "component")
 
 
+def _without_returning(edges: DataFrame, order: DataFrame) -> DataFrame:
+    """break_cycles() by an order. A cycle goes down somewhere, so only the edges that do not go up are asked for, and which starts their ends reach.
+
+    With up to MARKS of them, what each end reaches along the edges that go up is marked in one number a node; that, and the
+    few edges down, tell what lies on a cycle. With more, strongly connected components are found.
+    """
+    kept = edges.where("src <> dst")
+    one, other = (order.select(F.col("id").alias(f"{c}_id"), F.col("place").alias(f"{c}_place"), F.lit(True).alias(f"{c}_known")) for c in "ab")
+    named = kept.join(one, F.col("src") == F.col("a_id"), "left").join(other, F.col("dst") == F.col("b_id"), "left")
+    up = F.coalesce(F.struct("a_place", "src") < F.struct("b_place", "dst"), F.lit(False))
+    named = written(named.withColumn("_up", up).select(*edges.columns, "_up"))
+    down = [tuple(r) for r in named.where("NOT _up").select("src", "dst").distinct().limit(MARKS + 1).collect()]
+    if len(down) > MARKS:
+        return break_cycles(edges, order, strongly_connected(edges))
+    met = _reached(named.where("_up").select("src", "dst"), down)
+    reaches = {i: {j for j, (start, _) in enumerate(down) if start == end or met.get(start, 0) >> i & 1} for i, (_, end) in enumerate(down)}
+    gone = []
+    for i in reaches:  # which edges down come after this one, itself among them on a cycle
+        after, new = set(), {i}
+        while new:
+            new = {k for j in new for k in reaches[j]} - after
+            after |= new
+        if i in after:
+            gone.append(down[i])
+    if not gone:
+        return named.select(edges.columns)
+    out = edges.sparkSession.createDataFrame(gone, edges.select("src", "dst").schema)
+    return named.join(F.broadcast(out), ["src", "dst"], "left_anti").select(edges.columns)
+
+
+def _reached(edges: DataFrame, down: list[tuple]) -> dict:
+    """For each start of the edges down: the bits of those whose ends reach it along the edges. Only nodes whose marks have grown are followed."""
+    if not down:
+        return {}
+    edges = written(edges)
+    edges = bucketed(edges, "src", buckets_of(edges, edges.count()))
+    first: dict = {}
+    for i, (_, end) in enumerate(down):
+        first[end] = first.get(end, 0) | 1 << i
+    kind = edges.schema["src"].dataType.simpleString()
+    new = seen = written(edges.sparkSession.createDataFrame(list(first.items()), f"id {kind}, marks bigint"))
+    while True:
+        told = edges.join(new.hint("shuffle_hash"), F.col("src") == F.col("id")).groupBy(F.col("dst").alias("to")).agg(F.bit_or("marks").alias("more"))
+        now = seen.join(told, F.col("id") == F.col("to"), "full").select(F.coalesce("id", "to").alias("id"), F.coalesce("marks", F.lit(0)).alias("was"), F.coalesce("more", F.lit(0)).alias("more"))
+        now = now.select("id", F.col("was").bitwiseOR(F.col("more")).alias("marks"), "was")
+        now = written(now)
+        new, seen = now.where("marks <> was").select("id", "marks"), now.select("id", "marks")
+        if new.isEmpty():
+            break
+    starts = edges.sparkSession.createDataFrame(list({(s,) for s, _ in down}), f"id {kind}")
+    return {r["id"]: r["marks"] for r in seen.join(F.broadcast(starts), "id", "left_semi").collect()}
+
+
 def break_cycles(edges: DataFrame, order: DataFrame | None = None, of: DataFrame | None = None) -> DataFrame:
     """An acyclic subset of the edges (src, dst, ...): those that lie on no cycle, and of the others those that go up.
 
@@ -80,6 +135,8 @@ def break_cycles(edges: DataFrame, order: DataFrame | None = None, of: DataFrame
     do not go up go, and no others. Up is from the lesser to the greater id, or by order (id, place), ties by id; nodes
     without a place come first. Loops go. Components that are known already may be given.
     """
+    if of is None and order is not None:
+        return _without_returning(edges, order)
     of = strongly_connected(edges) if of is None else of
     place = of.select("id", "component", F.lit(0).alias("place")) if order is None else of.join(order.select("id", "place"), "id", "left").select("id", "component", "place")
     place = written(place)

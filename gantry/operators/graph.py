@@ -18,8 +18,6 @@ from gantry.operators.relational import canonical_pairs, keep_first, place_in
 # Executors need not have this package on their path: its functions travel with the tasks.
 cloudpickle.register_pickle_by_value(gantry)
 
-#: Steps along a chain that are planned as one round, between two tables.
-STEPS_A_ROUND = 6
 #: Edges that one task of triangles holds, and pairs of edges it looks at side by side.
 EDGES_A_TASK, WEDGES_AT_ONCE = 12_000_000, 2_000_000
 
@@ -131,25 +129,32 @@ def longest_path(edges: DataFrame) -> DataFrame:
 
     A node is done in the step after the last that leads to it, and its depth is that step's number. So every edge is
     followed once, from the nodes that have just been done, and a graph with a cycle is told when no node is left to do.
+    Edges lie in buckets by src and are not moved in a step; nodes that are done leave the table of the next step, and the
+    edges into them go each time that half of the nodes have left. So a long chain at the end costs little a step.
     """
     edges = written(edges.select("src", "dst"))
+    edges = bucketed(edges, "src", buckets_of(edges, edges.count()))
     into = edges.groupBy(F.col("dst").alias("into")).agg(F.count("*").alias("n"))
     ids = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct().join(into, F.col("id") == F.col("into"), "left")
     first = F.when(F.col("n").isNull(), 0).alias("depth")
     state = written(ids.select("id", F.coalesce("n", F.lit(0)).alias("open"), first, F.lit(None).cast(edges.schema["src"].dataType).alias("before")))
-    depth = 0
-    while not state.where(F.col("depth") == depth).isEmpty():
-        for _ in range(STEPS_A_ROUND):
-            new = state.where(F.col("depth") == depth).select(F.col("id").alias("src"))
-            told = edges.join(new, "src").groupBy(F.col("dst").alias("to")).agg(F.count("*").alias("n"), F.min("src").alias("least"))
-            left = F.col("open") - F.coalesce("n", F.lit(0))
-            now = (F.col("open") > 0) & (left == 0)
-            depth += 1
-            state = state.join(told, F.col("id") == F.col("to"), "left").select("id", left.alias("open"), F.when(now, depth).otherwise(F.col("depth")).alias("depth"), F.when(now, F.col("least")).otherwise(F.col("before")).alias("before"))
-        state = written(state)
-    if not state.where("depth IS NULL").isEmpty():
+    steps, depth, at_first = [], 0, state.count()
+    while True:
+        steps += state.inputFiles()
+        new, left = state.agg(F.count("depth"), F.count_if(F.col("depth").isNull())).first()
+        if not new:
+            break
+        rest = state.where("depth IS NULL").select("id", "open")
+        if 2 * left < at_first:
+            edges = written(edges.join(rest.select(F.col("id").alias("dst")).hint("shuffle_hash"), "dst", "left_semi").select("src", "dst"))
+            edges, at_first = bucketed(edges, "src", buckets_of(edges, edges.count())), left
+        told = edges.join(state.where("depth IS NOT NULL").select(F.col("id").alias("src")).hint("shuffle_hash"), "src").groupBy(F.col("dst").alias("to")).agg(F.count("*").alias("n"), F.min("src").alias("least"))
+        depth += 1
+        still = F.col("open") - F.coalesce("n", F.lit(0))
+        state = written(rest.join(told, F.col("id") == F.col("to"), "left").select("id", still.alias("open"), F.when(still == 0, depth).alias("depth"), F.when(still == 0, F.col("least")).alias("before")))
+    if left:
         raise ValueError("the graph has a cycle")
-    return state.select("id", "depth", "before")
+    return edges.sparkSession.read.schema(state.schema).parquet(*steps).where("depth IS NOT NULL").select("id", "depth", "before")
 
 
 def critical_chain(edges: DataFrame) -> DataFrame:
