@@ -123,8 +123,8 @@ MATCH_REACH, MATCH_EPSILON = 3.0, 0.01
 @query("assigned_matches")
 def assigned_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects of even ids matched with those of odd ids by place, one to one, at the least total distance (within epsilon a row)."""
-    near = rel.radius_join(objects(spark, sf_dir), MATCH_REACH).where("a % 2 = 0 AND b % 2 = 1")
-    return matching.assign(near.select("a", "b", F.col("distance").alias("cost")), MATCH_REACH, MATCH_EPSILON)
+    o = objects(spark, sf_dir)
+    return matching.assign_points(o.where("id % 2 = 0"), o.where("id % 2 = 1"), MATCH_REACH, MATCH_EPSILON)
 
 
 # profiles
