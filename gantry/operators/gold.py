@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gantry.functions import text as names
 from gantry.functions import units
 from gantry.operators import relational as rel
+from gantry.operators.durable import written
 
 #: Names of volumes that exist for analysis only.
 ANALYSIS_VOLUMES = ("Insulation Volume", "Obstruction Volume", "Fireproofing Volume", "Acoustic Volume")
@@ -165,7 +166,8 @@ def piperuns(gold: DataFrame, now: str) -> DataFrame:
 
 def zone_kpis(gold: DataFrame, zones: DataFrame, kpis: DataFrame) -> DataFrame:
     """Seven figures for each zone over participants: zones (object_id, zone_id), kpis (object_id, corrosion_risk_index, maintenance_accessibility_index, equipment_criticality_score)."""
-    inside = gold.where("graph_participant").join(kpis, "object_id", "left").join(zones, "object_id", "left")
+    inside = gold.where("graph_participant").select("object_id", "dry_weight_kg", "refined_class", "sp3d_pipeline").join(kpis, "object_id", "left").join(zones, "object_id", "left")
+    inside = written(inside)  # rounds of histograms for the quantile, which are not to make the figures anew
     bound = rel.exact_quantile(inside, "equipment_criticality_score", 0.9)
     critical = F.count_if(F.col("equipment_criticality_score") > bound) if bound is not None else F.lit(0).cast("bigint")
     return inside.where("zone_id IS NOT NULL").groupBy("zone_id").agg(

@@ -35,11 +35,13 @@ def _by_greatest(raw: DataFrame, value: str, name: str) -> DataFrame:
 
 def criticality(gold: DataFrame, pairs: DataFrame) -> DataFrame:
     """(num, equipment_criticality_score): touching objects times one more than the pipelines among them, as a share of the greatest."""
-    nodes = gold.where("graph_participant").select("num")
-    both = rel.symmetric_closure(between(pairs, nodes), "src", "dst")
-    near = both.join(gold.select(F.col("num").alias("dst"), "sp3d_pipeline"), "dst").groupBy("src").agg(F.count("*").alias("degree"), F.count_distinct("sp3d_pipeline").alias("pipelines"))
+    nodes = gold.where("graph_participant").select("num", "sp3d_pipeline")
+    one, other = (nodes.select(F.col("num").alias(c), F.col("sp3d_pipeline").alias(f"{c}_pipeline")) for c in ("src", "dst"))
+    ends = [F.struct(F.col(a).alias("src"), F.col(f"{b}_pipeline").alias("pipeline")) for a, b in (("src", "dst"), ("dst", "src"))]
+    both = pairs.select("src", "dst").join(one, "src").join(other, "dst").select(F.inline(F.array(*ends)))
+    near = both.groupBy("src", "pipeline").agg(F.count("*").alias("n")).groupBy("src").agg(F.sum("n").alias("degree"), F.count("pipeline").alias("pipelines"))
     raw = nodes.join(near, F.col("num") == F.col("src"), "left").select("num", (F.coalesce("degree", F.lit(0)) * (1 + F.coalesce("pipelines", F.lit(0)))).cast("double").alias("raw"))
-    return _by_greatest(raw, "raw", "equipment_criticality_score").drop("raw")
+    return _by_greatest(written(raw), "raw", "equipment_criticality_score").drop("raw")  # the greatest needs all of it first
 
 
 def accessibility(gold: DataFrame) -> DataFrame:

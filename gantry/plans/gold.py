@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gantry.functions import text as names
 from gantry.operators import gold, kpis, ontology
 from gantry.operators import relational as rel
-from gantry.operators.durable import cut
+from gantry.operators.durable import written
 from gantry.plans import graphs
 from gantry.plans.base import edges, query, table
 
@@ -217,7 +217,7 @@ def _six(sql: str, doubles: list[str]) -> str:
 
 @query("zone_kpis_full", _six(_ZONE_KPIS, ["zone_total_weight_kg", "zone_mean_corrosion_risk", "zone_mean_accessibility"]).replace("round(zone_mean_accessibility + 1e-9, 6)", "round(zone_mean_accessibility::DOUBLE + 1e-9, 6)").replace("zone_id, count", "zone_id::BIGINT AS zone_id, count", 1))
 def zone_kpis_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = cut(built(spark, sf_dir))
+    g = written(built(spark, sf_dir))
     return _rounded(gold.zone_kpis(g, _zones(g), kpis.object_kpis(g, _pairs(spark, sf_dir))))
 
 
@@ -226,7 +226,7 @@ _PIPE_DOUBLES = ["pipeline_total_weight_kg", "pipeline_mean_pressure_kpa", "pipe
 
 @query("pipeline_kpis_full", _six(_PIPE_KPIS, _PIPE_DOUBLES))
 def pipeline_kpis_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = cut(built(spark, sf_dir))
+    g = written(built(spark, sf_dir))
     return _rounded(gold.pipeline_kpis(g, _zones(g), kpis.valve_isolation(g, _pairs(spark, sf_dir))))
 
 
@@ -235,7 +235,7 @@ def pipeline_kpis_full(spark: SparkSession, sf_dir: str) -> DataFrame:
   (SELECT sum(zone_critical_equipment_count)::BIGINT FROM ({_ZONE_KPIS})) AS high_criticality_equipment, (SELECT count(*) FROM ({_PIPE_KPIS}) WHERE pipeline_corrosion_risk > 0.7) AS high_corrosion_pipelines,
   (SELECT count(*) FROM ({_ZONE_KPIS}) WHERE zone_mean_accessibility < 0.2) AS low_accessibility_zones""")
 def plant_kpis_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g, pairs = cut(built(spark, sf_dir)), cut(_pairs(spark, sf_dir))
+    g, pairs = written(built(spark, sf_dir)), written(_pairs(spark, sf_dir))
     chain = graphs.longest_chain(spark, sf_dir).agg(F.coalesce(F.max("depth") + 1, F.lit(0))).first()[0]
     by_zone, by_pipeline = gold.zone_kpis(g, _zones(g), kpis.object_kpis(g, pairs)), gold.pipeline_kpis(g, _zones(g), kpis.valve_isolation(g, pairs))
     return _rounded(gold.plant_kpis(g, by_zone, by_pipeline, chain))
