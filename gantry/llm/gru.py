@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-IN_CLASS = 64
+IN_CLASS = 32
 
 
 class Model:
@@ -200,8 +200,9 @@ def score(m: Model, tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, m
 
 
 class Adam:
-    def __init__(self, size: int, rate: float) -> None:
-        self.m, self.v, self.n, self.rate = np.zeros(size, np.float32), np.zeros(size, np.float32), 0, rate
+    def __init__(self, size: int, rate: float, fall: float = 0.0) -> None:
+        """The rate falls to rate / (1 + fall * steps)."""
+        self.m, self.v, self.n, self.rate, self.fall = np.zeros(size, np.float32), np.zeros(size, np.float32), 0, rate, fall
 
     def step(self, flat: np.ndarray, grad: np.ndarray) -> None:
         self.n += 1
@@ -209,14 +210,26 @@ class Adam:
         grad *= grad
         self.v += 0.01 * (grad - self.v)
         a, b = 1 - 0.9**self.n, 1 - 0.99**self.n
-        flat -= (self.rate / a) * self.m / (np.sqrt(self.v / b) + 1e-8)
+        flat -= (self.rate / (1 + self.fall * self.n) / a) * self.m / (np.sqrt(self.v / b) + 1e-8)
 
 
-def train(m: Model, tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, optimizer: Adam, most: int = 512, steps: int = 32) -> tuple[float, int]:
-    """One pass over the documents; returns the natural log probability and the number of tokens met."""
+def spans(starts: np.ndarray, sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, sizes) of the documents cut into spans of at most so many tokens."""
+    n = -(-sizes // most)
+    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.repeat(starts, n) + k * most, np.minimum(np.repeat(sizes, n) - k * most, most)
+
+
+def train(m: Model, tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, optimizer: Adam, most: int = 512, steps: int = 32, span: int | None = None) -> tuple[float, int]:
+    """One pass over the documents; returns the natural log probability and the number of tokens met.
+
+    With a span, the state begins anew after so many tokens, so a long document does not run on alone beside empty lanes.
+    """
     p, grad = m.views(m.flat), np.zeros_like(m.flat)
     g, w = m.views(grad), m.hidden
     ins = inputs_of(tokens, starts)
+    if span:
+        starts, sizes = spans(starts, sizes, span)
     state, total, count = None, 0.0, 0
     for pos, fresh in windows(starts, sizes, most, steps):
         state = np.zeros((pos.shape[1], w), np.float32) if state is None else state[: pos.shape[1]]

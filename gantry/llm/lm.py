@@ -4,11 +4,12 @@
 2. The words of the highest counts (HEAD_WORDS of up to HEAD_BYTES and LONG_WORDS of up to LONG_BYTES at most, so a
    proven bound) go to the tasks with their counts. All other words are looked up by a join on the word; a word longer
    than that, or one common in held-out texts alone, may be hot there, and adaptive execution splits it.
-3. Groups of rarer words: k-means over a bounded sample of documents by their frequent words, then a Bayes rule over
-   byte pairs that gives any word a group, seen or not.
-4. The recurrent model: weights begin on that bounded sample (WARM_DOCUMENTS training documents with the least hashes,
-   wherever they are; of a text over WARM_CHARS a span of that length from a place by its hash), then every task goes once over all its
-   training documents by truncated backpropagation, and the tasks' changes are averaged by their tokens.
+3. Groups of rarer words: a mixture of byte-pair models over those words with their counts in all training documents; a
+   Bayes rule over byte pairs then gives any word a group, seen or not.
+4. The recurrent model: outputs begin at the counts, other weights at random. Every task goes over its training documents by
+   truncated backpropagation, and the tasks' changes are averaged by their tokens, in two rounds: an eighth of the documents
+   (by hash) in small steps of a high rate, then all others in large ones of a low rate. So each is learnt from once, and no
+   document is left out. Tables of few tokens are gone over up to EXTRA_PASSES times before.
 5. Scores: P(class | state) and, of frequent words, P(word | class, state) from the model with its state carried over the
    whole document; within a group (count + 1) / (count of the group + words in it + 1).
 
@@ -20,7 +21,6 @@ empty result. Columns other than key and text are ignored. A very long text is s
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -34,15 +34,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from gantry.llm import gru
-from gantry.llm.common import by_bytes, durable, key_and_text, words_of
+from gantry.llm.common import by_bytes, durable, key_and_text
 from gantry.llm.words import index_words
 
 #: Most words, and bytes in one, that tasks get with their counts; most that the model has as outputs of their own.
 HEAD_WORDS, HEAD_BYTES, MODEL_WORDS = 1 << 17, 48, 1024
 LONG_WORDS, LONG_BYTES = 1 << 12, 1024
-#: Groups of rarer words; documents (and characters of one) in the sample for groups and first weights.
-GROUPS, WARM_DOCUMENTS, WARM_CHARS = 8, 1500, 20_000
-HIDDEN, FOLDS, HELD_OUT = 16, 7, 2
+GROUPS, HIDDEN, FOLDS, HELD_OUT = 8, 16, 7, 2
+#: Of so many training documents one is learnt from in the first round, the others in the second.
+FIRST_OF = 8
+#: Tables of fewer tokens than this are gone over as often as comes to it, but not more often than this, before the two rounds.
+FEW_TOKENS, EXTRA_PASSES = 2_000_000, 4
+#: Tokens after which the state begins anew while learning (never while scoring).
+SPAN = 1024
+#: Characters of one text that seed_texts() shows.
+WARM_CHARS = 20_000
 #: Bytes of text that a task scores or learns from side by side.
 SIDE_BY_SIDE = 8 << 20
 #: Words that a task counts before it passes them on, and floats in one row of weights.
@@ -57,7 +63,7 @@ def held_out(key: Column) -> Column:
 
 
 def seed_texts(plain: DataFrame, rows: int, chars: int = WARM_CHARS) -> list[str]:
-    """Texts, or spans of long ones, of the `rows` training documents with the least hashes."""
+    """Texts, or spans of long ones, of the `rows` training documents with the least hashes: a look at a table; score() does not use it."""
     total = plain.count()
     at = plain.where("NOT held").select(F.xxhash64("key", "text").alias("at"), "text")
     if total > 4 * rows:
@@ -100,6 +106,7 @@ class Words:
     pairs: np.ndarray | None = None  # (65536, groups): log probability of a byte pair in a group
     prior: np.ndarray | None = None
     head_group: np.ndarray | None = None
+    group_counts: np.ndarray | None = None  # of each group: its words in training documents
     norm: np.ndarray | None = None  # of each group: log10 of its count + words + 1
 
     @property
@@ -193,41 +200,37 @@ class Encoded:
         return tuple(np.concatenate(x) for x in ([p.token for p in parts], [p.rank for p in parts], starts, [p.sizes for p in parts]))
 
 
-def fit_groups(w: Words, sample: list[list[bytes]], groups: int = GROUPS) -> np.ndarray:
-    """Sets pairs, prior and head_group; returns the group of each of the model's own words. All from the sample."""
-    own = {x: i for i, x in enumerate(w.words[: w.modelled - 1])}
-    table = np.zeros((len(sample), max(1, len(own))), np.float32)
-    for k, words in enumerate(sample):
-        for x, n in Counter(words).items():
-            if x in own:
-                table[k, own[x]] = n
-    rows = np.sqrt(table)
-    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
-    of = np.zeros(len(sample), np.int64)
-    if len(sample):
-        centre = [rows[0]]
-        while len(centre) < groups:  # the next centre is the document farthest from all so far
-            centre.append(rows[np.stack([rows @ c for c in centre]).max(axis=0).argmin()])
-        centres = np.stack(centre)
-        for _ in range(12):
-            of = (rows @ centres.T).argmax(axis=1)
-            for g in range(groups):
-                if (of == g).any():
-                    c = rows[of == g].sum(axis=0)
-                    centres[g] = c / max(1e-9, float(np.linalg.norm(c)))
-    pairs = np.full((groups, 65536), 0.05)
-    prior = np.ones(groups)
-    for k, words in enumerate(sample):
-        rare = [x for x in words if x not in own]
-        if rare:
-            line = np.frombuffer(b" " + b" ".join(rare) + b" ", np.uint8).astype(np.int64)
-            pairs[of[k]] += np.bincount(line[:-1] * 256 + line[1:], minlength=65536)
-            prior[of[k]] += len(rare)
-    pairs /= pairs.sum(axis=1, keepdims=True)
-    w.pairs, w.prior = np.log(pairs).T.astype(np.float32).copy(), np.log(prior / prior.sum()).astype(np.float32)
+def fit_groups(w: Words, groups: int = GROUPS, rounds: int = 12) -> np.ndarray:
+    """Sets pairs, prior and head_group; returns the group of each of the model's own words.
+
+    A mixture of byte-pair models over all words that tasks get, each with its count in all training documents, by
+    expectation and maximisation; the first shares are drawn with a fixed seed.
+    """
+    w.pairs, w.prior = np.zeros((65536, groups), np.float32), np.zeros(groups, np.float32)
+    if w.words:
+        line = np.frombuffer(b" " + b" ".join(w.words) + b" ", np.uint8).astype(np.int32)
+        pair = line[:-1] * 256 + line[1:]
+        sizes = np.fromiter(map(len, w.words), np.int64, len(w.words)) + 1
+        starts = np.cumsum(sizes) - sizes
+        kinds, pair = np.unique(pair, return_inverse=True)
+        weight = np.sqrt(w.counts).astype(np.float32)  # else a few words would be all there is to tell groups by
+        share = np.random.default_rng(1).dirichlet(np.ones(groups), len(w.words)).astype(np.float32)
+        for k in range(rounds):
+            own = share * weight[:, None]
+            prior = own.sum(axis=0) + 1
+            table = np.stack([np.bincount(pair, weights=np.repeat(own[:, g], sizes), minlength=len(kinds)) for g in range(groups)], axis=1)
+            total = table.sum(axis=0) + 0.05 * 65536
+            known, other = np.log((table + 0.05) / total).astype(np.float32), np.log(0.05 / total).astype(np.float32)
+            if k + 1 < rounds:
+                score = np.add.reduceat(known[pair], starts, axis=0) + np.log(prior / prior.sum()).astype(np.float32)
+                score -= score.max(axis=1, keepdims=True)
+                share = np.exp(score)
+                share /= share.sum(axis=1, keepdims=True)
+        w.pairs[:] = other
+        w.pairs[kinds] = known
+        w.prior[:] = np.log(prior / prior.sum())
     w.head_group = w.group_of(w.words)
-    by_group = np.stack([table[of == g].sum(axis=0) for g in range(groups)]) + 0.1
-    return (by_group / by_group.sum(axis=1, keepdims=True)).argmax(axis=0)[: len(own)]
+    return w.head_group[: w.modelled - 1]
 
 
 def set_norms(w: Words, counts: DataFrame) -> None:
@@ -245,8 +248,9 @@ def set_norms(w: Words, counts: DataFrame) -> None:
                 kinds += np.bincount(of, minlength=GROUPS)
         yield pa.record_batch([pa.array(range(GROUPS), pa.int32()), pa.array(total), pa.array(kinds)], ["g", "n", "kinds"])
 
-    rows = {r["g"]: r["n"] + r["kinds"] + 1 for r in counts.mapInArrow(run, "g int, n bigint, kinds bigint").groupBy("g").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect()}
-    w.norm = np.log10(np.array([rows.get(g, 1) for g in range(GROUPS)], np.float64))
+    rows = {r["g"]: r for r in counts.mapInArrow(run, "g int, n bigint, kinds bigint").groupBy("g").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect()}
+    w.group_counts = np.array([rows[g]["n"] if g in rows else 0 for g in range(GROUPS)], np.int64)
+    w.norm = np.log10(np.array([rows[g]["n"] + rows[g]["kinds"] + 1 if g in rows else 1 for g in range(GROUPS)], np.float64))
 
 
 def side_by_side(batches: Iterator[pa.RecordBatch], encoder: Encoder, learning: bool) -> Iterator[tuple[list[tuple[object, bool]], list[Encoded]]]:
@@ -268,40 +272,34 @@ def side_by_side(batches: Iterator[pa.RecordBatch], encoder: Encoder, learning:
         yield keys, held
 
 
-def first_model(w: Words, groups: np.ndarray, sample: list[list[bytes]], passes: int = 3) -> gru.Model:
-    """Classes of words that share a group, in the order of their counts; weights from the sample."""
+def first_model(w: Words, groups: np.ndarray) -> gru.Model:
+    """Classes of words that share a group, in the order of their counts; outputs begin at the counts, other weights at random ones of a fixed seed."""
     m = gru.Model(w.modelled, GROUPS, HIDDEN)
     order = np.concatenate([[0], 1 + np.lexsort((np.arange(len(groups)), groups))])
     slot = np.empty(w.modelled, np.int64)
     slot[order] = np.arange(w.modelled)
     m.set_slots(slot)
-    if sample:
-        e = Encoder(w)(pa.array([b" ".join(x) for x in sample], pa.binary()))
-        tokens, starts, sizes = e.token, e.starts, e.sizes
-        unigram = np.bincount(tokens, minlength=m.words + GROUPS) + 0.5
-        p = m.views(m.flat)
-        p["bw"][m.slot] = np.log(unigram[: m.words])
-        p["bc"][...] = np.log(np.bincount(m.class_of(np.arange(len(unigram))), weights=unigram, minlength=len(p["bc"])))
-        p["bc"] -= p["bc"].max()
-        p["bw"][m.slot] -= p["bw"][m.slot].max()
-        optimizer = gru.Adam(len(m.flat), 0.02)
-        for k in range(passes):
-            optimizer.rate = 0.02 / (k + 1)
-            gru.train(m, tokens, starts, sizes, optimizer, most=128)
+    unigram = np.concatenate([[w.ends], w.counts[: w.modelled - 1], w.group_counts]) + 0.5
+    p = m.views(m.flat)
+    p["bw"][m.slot] = np.log(unigram[: m.words])
+    p["bc"][...] = np.log(np.bincount(m.class_of(np.arange(len(unigram))), weights=unigram, minlength=len(p["bc"])))
+    p["bc"] -= p["bc"].max()
+    p["bw"][m.slot] -= p["bw"][m.slot].max()
     return m
 
 
-def learn(docs: DataFrame, w: Words, m: gru.Model) -> gru.Model:
-    """One pass of every task over all its training documents, from m's weights; changes averaged by tokens, in a tree of steps."""
+def learn(docs: DataFrame, w: Words, m: gru.Model, small: bool) -> gru.Model:
+    """One pass of every task over all its documents (key, text, held), from m's weights, in small or large steps; changes averaged by tokens, in a tree of steps."""
+    rate, lanes = (0.03, 128) if small else (0.008, 512)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen = gru.Model(m.words, m.groups, m.hidden), 0
         own.flat[:] = m.flat
         own.set_slots(m.slot)
-        optimizer = gru.Adam(len(own.flat), 0.003)
+        optimizer = gru.Adam(len(own.flat), rate, 0.01 if small else 0.0)
         for _, parts in side_by_side(batches, Encoder(w), learning=True):
             tokens, _, starts, sizes = Encoded.together(parts)
-            seen += gru.train(own, tokens, starts, sizes, optimizer, steps=64)[1]
+            seen += gru.train(own, tokens, starts, sizes, optimizer, most=lanes, steps=32 if small else 64, span=SPAN)[1]
         if seen:
             change = (own.flat - m.flat).astype(np.float64) * seen
             parts = [change[i : i + WEIGHTS_IN_ROW].astype(np.float32).tobytes() for i in range(0, len(change), WEIGHTS_IN_ROW)]
@@ -326,6 +324,16 @@ def learn(docs: DataFrame, w: Words, m: gru.Model) -> gru.Model:
     return m
 
 
+def learnt(docs: DataFrame, w: Words, m: gru.Model, tokens: int) -> gru.Model:
+    """The model after all rounds over the training documents of (key, text, held); there are so many tokens in them."""
+    training = docs.where("NOT held")
+    for _ in range(min(EXTRA_PASSES, FEW_TOKENS // max(1, tokens))):
+        m = learn(training, w, m, small=True)
+    first = F.pmod(F.xxhash64("key", "text"), F.lit(FIRST_OF)) == 0
+    m = learn(training.where(first), w, m, small=True)
+    return learn(training.where(~first), w, m, small=False)
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
     kind = docs.schema[key].dataType.simpleString()
@@ -333,10 +341,9 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     counts = durable(count_words(plain), "word-counts")
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     w = frequent(counts)
-    sample = [words_of(x) for x in seed_texts(plain, WARM_DOCUMENTS)]
-    groups = fit_groups(w, sample)
+    groups = fit_groups(w)
     set_norms(w, counts)
-    m = learn(plain, w, first_model(w, groups, sample))
+    m = learnt(plain, w, first_model(w, groups), tokens)
     all_norm = float(np.log10(tokens + vocabulary + 1))
     key_type = to_arrow_type(docs.schema[key].dataType)
     ends, log10e = w.ends, float(np.log10(np.e))
