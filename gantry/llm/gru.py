@@ -16,6 +16,8 @@ from collections.abc import Iterator
 import numpy as np
 
 IN_CLASS = 32
+#: Rows whose outputs are found at a time: they stay in a core's own cache.
+ROWS = 1024
 
 
 class Model:
@@ -53,14 +55,7 @@ class Model:
     def class_of(self, token: np.ndarray) -> np.ndarray:
         """Of every token: its class."""
         table = np.concatenate([self.slot // IN_CLASS, self.classes + np.arange(self.groups)])
-        return table[token]
-
-
-def sigmoid(a: np.ndarray) -> np.ndarray:
-    np.negative(a, out=a)
-    np.exp(a, out=a)
-    a += 1
-    return np.reciprocal(a, out=a)
+        return table.take(token)
 
 
 def lanes(sizes: np.ndarray, most: int) -> tuple[list[list[int]], np.ndarray]:
@@ -101,79 +96,102 @@ def windows(starts: np.ndarray, sizes: np.ndarray, most: int, steps: int) -> Ite
 
 
 def forward(m: Model, p: dict[str, np.ndarray], tokens_in: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = False):
-    """States after each step (steps, lanes, hidden), and what backward() needs."""
+    """States after each step (steps, lanes, hidden), and what backward steps need: the states before, the two gates, the candidates.
+
+    Gates lie one behind the other, (2, lanes, hidden), so that all a step does runs over unbroken memory.
+    """
     steps, n = tokens_in.shape
     h, width = state, m.hidden
-    xs = p["x"][tokens_in]
+    # the gates' weights are turned to their negatives here, which spares a pass at each step of 1 / (1 + exp(-a))
+    x, u = p["x"].reshape(-1, 3, width).transpose(1, 0, 2).copy(), p["u"].reshape(width, 2, width).transpose(1, 0, 2).copy()
+    np.negative(x[:2], out=x[:2])
+    np.negative(u, out=u)
+    xs = x.take(tokens_in, axis=1)
     out = np.empty((steps, n, width), np.float32)
-    saved = [np.empty((steps, n, width * k), np.float32) for k in (1, 2, 1)] if keep else None
+    kept = steps if keep else 1
+    before, zr, c = np.empty((kept, n, width), np.float32), np.empty((kept, 2, n, width), np.float32), np.empty((kept, n, width), np.float32)
     carried = ~fresh
     whole = carried.all(axis=1)
+    reset = np.empty((n, width), np.float32)
     for t in range(steps):
         if not whole[t]:
             h = h * carried[t][:, None]
-        zr = h @ p["u"]
-        zr += xs[t, :, : 2 * width]
-        sigmoid(zr)
-        c = (zr[:, width:] * h) @ p["v"]
-        c += xs[t, :, 2 * width :]
-        np.tanh(c, out=c)
+        k = t if keep else 0
+        gates, cand, new = zr[k], c[k], out[t]
+        np.matmul(h, u, out=gates)
+        gates += xs[:2, t]
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[1], h, out=reset)
+        np.matmul(reset, p["v"], out=cand)
+        cand += xs[2, t]
+        np.tanh(cand, out=cand)
         if keep:
-            saved[0][t], saved[1][t], saved[2][t] = h, zr, c
-        new = h - c
-        new *= zr[:, :width]
-        new += c
-        out[t] = h = new
-    return out, saved
+            before[t] = h
+        np.subtract(h, cand, out=new)
+        new *= gates[0]
+        new += cand
+        h = new
+    return out, (before, zr, c)
 
 
 def class_scores(m: Model, p: dict[str, np.ndarray], states: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray] | None = None):
-    """Natural log probability of each target given the state (rows), and with grads the gradient by the states."""
-    cls = m.class_of(target)
-    logit = states @ p["wc"] + p["bc"]
-    rows = np.arange(len(target))
-    picked = logit[rows, cls]
-    e = np.exp(logit)
-    z = e @ np.ones(e.shape[1], np.float32)  # many times faster than a sum along short rows
-    logp = picked - np.log(z)
-    d = None
-    if grads is not None:
-        e /= z[:, None]
-        e[rows, cls] -= 1
-        grads["wc"] += states.T @ e
-        grads["bc"] += e.sum(axis=0)
-        d = e @ p["wc"].T
-    frequent = np.flatnonzero(target < m.words)
-    if len(frequent):
-        own = cls[frequent].astype(np.uint16)
-        order = np.argsort(own, kind="stable")
-        frequent, own = frequent[order], own[order]
-        place = m.slot[target[frequent]] % IN_CLASS
-        cuts = np.searchsorted(own, np.arange(m.classes + 1))
-        states_of = states[frequent]
-        inner = np.empty(len(frequent), np.float32)
-        back = np.empty_like(states_of) if grads is not None else None
-        ones = np.ones(IN_CLASS, np.float32)
-        for k in np.flatnonzero(np.diff(cuts)).tolist():
-            a, b = cuts[k], cuts[k + 1]
-            s = slice(k * IN_CLASS, (k + 1) * IN_CLASS)
-            logit = states_of[a:b] @ p["ww"][s].T
-            logit += p["bw"][s]
-            r = np.arange(b - a)
-            picked = logit[r, place[a:b]]
-            np.exp(logit, out=logit)
-            z = logit @ ones
-            inner[a:b] = picked - np.log(z)
+    """Natural log probability of each target given the state (rows), and with grads the gradient by the states.
+
+    Rows are taken by the class of their target, some at a time: the outputs of all classes and of the words in this one
+    come from one product, with an output's values for all rows side by side.
+    """
+    kinds = m.classes + m.groups
+    cls = m.class_of(target).astype(np.uint16)
+    order = np.argsort(cls, kind="stable")
+    target = target.take(order)
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=kinds))]).tolist()
+    states = states.take(order, axis=0)
+    logp, d = np.empty(len(target), np.float32), np.empty_like(states) if grads is not None else None
+    place = (m.slot % IN_CLASS + kinds).take(target, mode="clip")
+    weights, bias = np.empty((kinds + IN_CLASS, m.hidden), p["wc"].dtype), np.empty((kinds + IN_CLASS, 1), p["bc"].dtype)
+    weights[:kinds], bias[:kinds, 0] = p["wc"].T, p["bc"]
+    for k in range(m.classes + 1):  # the last: words of all groups, which are classes of their own
+        begin, end, inner = cuts[k], cuts[k + 1] if k < m.classes else len(target), k < m.classes
+        if begin == end:
+            continue
+        s = slice(k * IN_CLASS, (k + 1) * IN_CLASS)
+        if inner:
+            weights[kinds:], bias[kinds:, 0] = p["ww"][s], p["bw"][s]
+        own, shift = (weights, bias) if inner else (weights[:kinds], bias[:kinds])
+        for a in range(begin, end, ROWS):
+            b = min(a + ROWS, end)
+            rows, at = np.arange(b - a), place[a:b]
+            first = k if inner else m.classes + target[a:b] - m.words
+            e = own @ states[a:b].T
+            e += shift
+            picked = e[k] + e[at, rows] if inner else e[first, rows]
+            np.exp(e, out=e)
+            z = e[:kinds].sum(axis=0)
+            picked -= np.log(z)
+            if inner:
+                z_in = e[kinds:].sum(axis=0)
+                picked -= np.log(z_in)
+            logp[a:b] = picked
             if grads is not None:
-                logit /= z[:, None]
-                logit[r, place[a:b]] -= 1
-                grads["ww"][s] += logit.T @ states_of[a:b]
-                grads["bw"][s] += logit.sum(axis=0)
-                back[a:b] = logit @ p["ww"][s]
-        logp[frequent] += inner
-        if grads is not None:
-            d[frequent] += back
-    return logp, d
+                e[:kinds] *= np.reciprocal(z)
+                if inner:
+                    e[kinds:] *= np.reciprocal(z_in)
+                    e[k] -= 1
+                    e[at, rows] -= 1
+                else:
+                    e[first, rows] -= 1
+                by_weight, by_bias = e @ states[a:b], e.sum(axis=1)
+                grads["wc"] += by_weight[:kinds].T
+                grads["bc"] += by_bias[:kinds]
+                if inner:
+                    grads["ww"][s] += by_weight[kinds:]
+                    grads["bw"][s] += by_bias[kinds:]
+                np.matmul(e.T, own, out=d[a:b])
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return logp.take(back), d.take(back, axis=0) if grads is not None else None
 
 
 def inputs_of(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -191,11 +209,11 @@ def score(m: Model, tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, m
     state = None
     for pos, fresh in windows(starts, sizes, most, steps):
         state = np.zeros((pos.shape[1], m.hidden), np.float32) if state is None else state[: pos.shape[1]]
-        states, _ = forward(m, p, ins[pos], fresh, state)
+        states, _ = forward(m, p, ins.take(pos, mode="wrap"), fresh, state)
         state = states[-1]
-        valid = pos >= 0
-        at = pos[valid]
-        out[at] = class_scores(m, p, states[valid], tokens[at])[0]
+        valid = np.flatnonzero(pos >= 0)
+        at = pos.take(valid)
+        out[at] = class_scores(m, p, states.reshape(-1, m.hidden).take(valid, axis=0), tokens.take(at))[0]
     return out
 
 
@@ -233,48 +251,55 @@ def train(m: Model, tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, o
     state, total, count = None, 0.0, 0
     for pos, fresh in windows(starts, sizes, most, steps):
         state = np.zeros((pos.shape[1], w), np.float32) if state is None else state[: pos.shape[1]]
-        tokens_in = ins[pos]
+        tokens_in = ins.take(pos, mode="wrap")
         states, (before, zr, c) = forward(m, p, tokens_in, fresh, state, keep=True)
         state = states[-1]
-        valid = pos >= 0
+        valid = np.flatnonzero(pos >= 0)
         grad[:] = 0
-        target = tokens[pos[valid]]
-        logp, d = class_scores(m, p, states[valid], target, g)
+        target = tokens.take(pos.take(valid))
+        logp, d = class_scores(m, p, states.reshape(-1, w).take(valid, axis=0), target, g)
         total, count = total + float(logp.sum(dtype=np.float64)), count + len(target)
         dh_out = np.zeros_like(states)
-        dh_out[valid] = d
-        da = np.empty((*pos.shape, 3 * w), np.float32)
-        dh = np.zeros((pos.shape[1], w), np.float32)
-        # what the steps share is made for the window at once: slopes of the two gates and of the candidate
-        slope = 1 - zr
-        by_c = slope[:, :, :w] * (1 - c * c)
-        slope *= zr
-        by_z, by_r = slope[:, :, :w] * (before - c), slope[:, :, w:] * before
-        z, r = np.ascontiguousarray(zr[:, :, :w]), np.ascontiguousarray(zr[:, :, w:])
-        v_back, u_back, begins = p["v"].T.copy(), p["u"].T.copy(), fresh.any(axis=1)
+        dh_out.reshape(-1, w)[valid] = d
+        da = np.empty((3, *states.shape), np.float32)
+        dh, rest, both = np.zeros_like(states[0]), np.empty_like(states[0]), np.empty((2, *states[0].shape), np.float32)
+        v_back, u_back, begins = p["v"].T.copy(), p["u"].reshape(w, 2, w).transpose(1, 2, 0).copy(), fresh.any(axis=1)
         for t in range(len(pos) - 1, -1, -1):
             dh += dh_out[t]
-            dc = dh * by_c[t]
-            rh = dc @ v_back
-            own = da[t]
-            np.multiply(dh, by_z[t], out=own[:, :w])
-            np.multiply(rh, by_r[t], out=own[:, w : 2 * w])
-            own[:, 2 * w :] = dc
-            dh *= z[t]
-            rh *= r[t]
-            dh += rh
-            dh += own[:, : 2 * w] @ u_back
+            (z, r), cand, h = zr[t], c[t], before[t]
+            by_z, by_r, by_c = da[0, t], da[1, t], da[2, t]
+            np.subtract(1, z, out=rest)
+            rest *= dh
+            np.multiply(cand, cand, out=by_c)
+            np.subtract(1, by_c, out=by_c)
+            by_c *= rest
+            np.subtract(h, cand, out=by_z)
+            by_z *= z
+            by_z *= rest
+            np.matmul(by_c, v_back, out=by_r)
+            by_r *= r
+            dh *= z
+            dh += by_r
+            np.subtract(1, r, out=rest)
+            rest *= h
+            by_r *= rest
+            np.matmul(da[:2, t], u_back, out=both)
+            dh += both[0]
+            dh += both[1]
             if begins[t]:
                 dh[fresh[t]] = 0
-        flat_da, flat_h = da.reshape(-1, 3 * w), before.reshape(-1, w)
-        g["u"] += flat_h.T @ flat_da[:, : 2 * w]
-        g["v"] += (zr[:, :, w:].reshape(-1, w) * flat_h).T @ flat_da[:, 2 * w :]
+        flat_h = before.reshape(-1, w)
+        by_z, by_r, by_c = flat_da = da.reshape(3, -1, w)
+        g["u"][:, :w] += flat_h.T @ by_z
+        g["u"][:, w:] += flat_h.T @ by_r
+        g["v"] += (zr[:, 1].reshape(-1, w) * flat_h).T @ by_c
         # rows past a lane's end have zero gradients from the output and so none at all
         ids = tokens_in.ravel().astype(np.uint16)
         order = np.argsort(ids, kind="stable")
-        ids = ids[order]
+        ids = ids.take(order)
         cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        g["x"][ids[cut]] += np.add.reduceat(flat_da[order], cut, axis=0)
+        for k in range(3):
+            g["x"][ids[cut], k * w : (k + 1) * w] += np.add.reduceat(flat_da[k].take(order, axis=0), cut, axis=0)
         grad /= max(1, len(target))
         norm = float(np.sqrt(np.dot(grad, grad)))
         if norm > 1:

@@ -6,11 +6,12 @@
    than that, or one common in held-out texts alone, may be hot there, and adaptive execution splits it.
 3. Groups of rarer words: a mixture of byte-pair models over those words with their counts in all training documents; a
    Bayes rule over byte pairs then gives any word a group, seen or not.
-4. The recurrent model: outputs begin at the counts, other weights at random. Every task goes over its training documents by
+4. Each text is turned once into the model's tokens, two bytes each; rounds and scores read those, not the texts.
+5. The recurrent model: outputs begin at the counts, other weights at random. Every task goes over its training documents by
    truncated backpropagation, and the tasks' changes are averaged by their tokens, in two rounds: an eighth of the documents
    (by hash) in small steps of a high rate, then all others in large ones of a low rate. So each is learnt from once, and no
    document is left out. Tables of few tokens are gone over up to EXTRA_PASSES times before.
-5. Scores: P(class | state) and, of frequent words, P(word | class, state) from the model with its state carried over the
+6. Scores: P(class | state) and, of frequent words, P(word | class, state) from the model with its state carried over the
    whole document; within a group (count + 1) / (count of the group + words in it + 1).
 
 A text is words and one end, which is a token. Null and empty texts are an end alone. A null key counts as the text ''
@@ -31,16 +32,18 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from gantry.llm import gru
 from gantry.llm.common import by_bytes, durable, key_and_text
-from gantry.llm.words import index_words
+from gantry.llm.words import buffers, index_words
 
 #: Most words, and bytes in one, that tasks get with their counts; most that the model has as outputs of their own.
 HEAD_WORDS, HEAD_BYTES, MODEL_WORDS = 1 << 17, 48, 1024
 LONG_WORDS, LONG_BYTES = 1 << 12, 1024
 GROUPS, HIDDEN, FOLDS, HELD_OUT = 8, 16, 7, 2
+#: The model's numbers of tokens, as written: MODEL_WORDS + GROUPS of them.
+TOKEN = np.dtype("<u2")
 #: Of so many training documents one is learnt from in the first round, the others in the second.
 FIRST_OF = 8
 #: Tables of fewer tokens than this are gone over as often as comes to it, but not more often than this, before the two rounds.
@@ -49,8 +52,8 @@ FEW_TOKENS, EXTRA_PASSES = 2_000_000, 4
 SPAN = 1024
 #: Characters of one text that seed_texts() shows.
 WARM_CHARS = 20_000
-#: Bytes of text that a task scores or learns from side by side.
-SIDE_BY_SIDE = 8 << 20
+#: Bytes of tokens that a task scores or learns from side by side; one longer text stands alone.
+SIDE_BY_SIDE = 3 << 20
 #: Words that a task counts before it passes them on, and floats in one row of weights.
 COUNTED_WORDS, WEIGHTS_IN_ROW = 300_000, 1 << 14
 #: Changes of weights that are added in one group, and steps of such groups: more than any job has tasks.
@@ -192,13 +195,6 @@ class Encoded:
     far_word: np.ndarray
     far_times: np.ndarray
 
-    @staticmethod
-    def together(parts: list[Encoded]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(token, rank, starts, sizes) of several as one."""
-        at = np.cumsum([0, *[len(p.token) for p in parts]])
-        starts = [p.starts + a for p, a in zip(parts, at[:-1].tolist(), strict=True)]
-        return tuple(np.concatenate(x) for x in ([p.token for p in parts], [p.rank for p in parts], starts, [p.sizes for p in parts]))
-
 
 def fit_groups(w: Words, groups: int = GROUPS, rounds: int = 12) -> np.ndarray:
     """Sets pairs, prior and head_group; returns the group of each of the model's own words.
@@ -253,23 +249,59 @@ def set_norms(w: Words, counts: DataFrame) -> None:
     w.norm = np.log10(np.array([rows[g]["n"] + rows[g]["kinds"] + 1 if g in rows else 1 for g in range(GROUPS)], np.float64))
 
 
-def side_by_side(batches: Iterator[pa.RecordBatch], encoder: Encoder, learning: bool) -> Iterator[tuple[list[tuple[object, bool]], list[Encoded]]]:
-    """((key, held out) of each row, encoded texts) of about SIDE_BY_SIDE bytes of text; only training documents if learning."""
-    keys, held, size = [], [], 0
-    for b in batches:
-        for part in by_bytes([b], "text"):
-            size += part.column("text").nbytes
-            if learning:
-                part = part.filter(pa.compute.invert(part.column("held")))
-            column = part.column("text")
-            if len(column):
-                keys += zip(part.column("key").to_pylist(), part.column("held").to_pylist(), strict=True)
-                held.append(encoder(column))
-            if size > SIDE_BY_SIDE and held:
-                yield keys, held
-                keys, held, size = [], [], 0
+def side_by_side(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, their tokens, where each text begins, its tokens' number) of about SIDE_BY_SIDE bytes of tokens, in the column text."""
+
+    def made() -> tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray]:
+        rows = pa.Table.from_batches(held)
+        found = [buffers(c) for c in rows.column("text").chunks]
+        sizes = np.concatenate([np.diff(bounds) for _, bounds in found]) // TOKEN.itemsize
+        return rows, np.concatenate([raw for raw, _ in found]).view(TOKEN).astype(np.int32), np.cumsum(sizes) - sizes, sizes
+
+    held, size = [], 0
+    for part in (x for b in batches for x in by_bytes([b], "text", SIDE_BY_SIDE)):
+        if size and size + part.column("text").nbytes > SIDE_BY_SIDE:
+            yield made()
+            held, size = [], 0
+        held.append(part)
+        size += part.column("text").nbytes
     if held:
-        yield keys, held
+        yield made()
+
+
+def encoded(plain: DataFrame, w: Words, all_norm: float) -> DataFrame:
+    """(key, row, held, n_tokens, known, base, rare, far, text) of (key, text, held), written once: what scores need besides the model.
+
+    The new text is the model's numbers of the tokens; base is the base score, and rare the log10 probability of words in
+    their groups, both without the words in far (word, times), whose counts come from a join.
+    """
+    ends, modelled = w.ends, w.modelled
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, encoder = TaskContext.get().partitionId() << 40, Encoder(w)
+        logc = np.append(np.log10(w.counts + 1.0), [np.log10(ends + 1.0), 0.0])  # by rank: -2 an end, -1 to come from the join
+        known = np.append(np.ones(len(w.counts), np.int64), [int(ends > 0), 0])
+        norm = np.append(np.zeros(modelled), w.norm)
+        for part in (x for b in batches for x in by_bytes([b], "text")):
+            if not part.num_rows:
+                continue
+            e = encoder(part.column("text"))
+            base = logc[e.rank]
+            rare = np.where(e.token >= modelled, base - norm[e.token], 0.0)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(e.far_row, minlength=len(e.sizes)))]), pa.int32())
+            inner = pa.StructArray.from_arrays([pa.array(e.far, pa.binary()).take(pa.array(e.far_word)), pa.array(e.far_times, pa.int32())], ["word", "times"])
+            bounds = np.append(e.starts, len(e.token)).astype(np.int32) * TOKEN.itemsize
+            columns = [
+                part.column("key"), pa.array(np.arange(len(e.sizes)) + row), part.column("held"), pa.array(e.sizes), pa.array(np.add.reduceat(known[e.rank], e.starts)),
+                pa.array(np.add.reduceat(base, e.starts) - e.sizes * all_norm), pa.array(np.add.reduceat(rare, e.starts)), pa.ListArray.from_arrays(offsets, inner),
+                pa.Array.from_buffers(pa.binary(), len(e.sizes), [None, pa.py_buffer(bounds), pa.py_buffer(e.token.astype(TOKEN))]),
+            ]
+            row += len(e.sizes)
+            names = ["key", "row", "held", "n_tokens", "known", "base", "rare", "far", "text"]
+            yield from pa.Table.from_arrays(columns, names).to_batches(max_chunksize=5000)
+
+    shape = "row bigint, held boolean, n_tokens bigint, known bigint, base double, rare double, far array<struct<word:binary,times:int>>, text binary"
+    return durable(plain.mapInArrow(run, f"key {plain.schema['key'].dataType.simpleString()}, {shape}"), "tokens")
 
 
 def first_model(w: Words, groups: np.ndarray) -> gru.Model:
@@ -289,7 +321,7 @@ def first_model(w: Words, groups: np.ndarray) -> gru.Model:
 
 
 def learn(docs: DataFrame, w: Words, m: gru.Model, small: bool) -> gru.Model:
-    """One pass of every task over all its documents (key, text, held), from m's weights, in small or large steps; changes averaged by tokens, in a tree of steps."""
+    """One pass of every task over all its documents (text, as tokens), from m's weights, in small or large steps; changes averaged by tokens, in a tree of steps. Words are in the tokens already, so w is not read."""
     rate, lanes = (0.03, 128) if small else (0.008, 512)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,8 +329,7 @@ def learn(docs: DataFrame, w: Words, m: gru.Model, small: bool) -> gru.Model:
         own.flat[:] = m.flat
         own.set_slots(m.slot)
         optimizer = gru.Adam(len(own.flat), rate, 0.01 if small else 0.0)
-        for _, parts in side_by_side(batches, Encoder(w), learning=True):
-            tokens, _, starts, sizes = Encoded.together(parts)
+        for _, tokens, starts, sizes in side_by_side(batches):
             seen += gru.train(own, tokens, starts, sizes, optimizer, most=lanes, steps=32 if small else 64, span=SPAN)[1]
         if seen:
             change = (own.flat - m.flat).astype(np.float64) * seen
@@ -312,7 +343,7 @@ def learn(docs: DataFrame, w: Words, m: gru.Model, small: bool) -> gru.Model:
         return pa.table({"part": t.column("part")[:1], "step": pa.array([step], pa.int32()), "seen": pa.array([sum(t.column("seen").to_pylist())], pa.int64()), "change": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
     shape = "part int, step int, seen bigint, change binary"
-    sums = docs.mapInArrow(run, shape)
+    sums = docs.select("text").mapInArrow(run, shape)
     for _ in range(ADDING_STEPS):
         sums = sums.groupBy("part", "step").applyInArrow(add, shape)
     flat = m.flat.copy()
@@ -336,48 +367,29 @@ def learnt(docs: DataFrame, w: Words, m: gru.Model, tokens: int) -> gru.Model:
 
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row."""
-    kind = docs.schema[key].dataType.simpleString()
     plain = key_and_text(docs, key, text).withColumn("held", held_out(F.col("key")))
     counts = durable(count_words(plain), "word-counts")
     tokens, vocabulary = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     w = frequent(counts)
     groups = fit_groups(w)
     set_norms(w, counts)
-    m = learnt(plain, w, first_model(w, groups), tokens)
-    all_norm = float(np.log10(tokens + vocabulary + 1))
-    key_type = to_arrow_type(docs.schema[key].dataType)
-    ends, log10e = w.ends, float(np.log10(np.e))
+    texts = encoded(plain, w, float(np.log10(tokens + vocabulary + 1)))
+    m = learnt(texts, w, first_model(w, groups), tokens)
+    log10e = float(np.log10(np.e))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
-        logc = np.append(np.log10(w.counts + 1.0), [np.log10(ends + 1.0), 0.0])  # by rank: -2 an end, -1 to come from the join
-        known = np.append(np.ones(len(w.counts), np.int64), [int(ends > 0), 0])
-        for keys, parts in side_by_side(batches, Encoder(w), learning=False):
-            token, rank, starts, sizes = Encoded.together(parts)
-            base, n_known = logc[rank], known[rank]
-            model = (gru.score(m, token, starts, sizes) * log10e).astype(np.float64)
-            rare = token >= m.words
-            model[rare] += base[rare] - w.norm[token[rare] - m.words]
-            per_row = np.concatenate([np.bincount(p.far_row, minlength=len(p.sizes)) for p in parts])
-            offsets = pa.array(np.concatenate([[0], np.cumsum(per_row)]), pa.int32())
-            words = pa.concat_arrays([pa.array(p.far, pa.binary()).take(pa.array(p.far_word)) for p in parts])
-            inner = pa.StructArray.from_arrays([words, pa.array(np.concatenate([p.far_times for p in parts]), pa.int32())], ["word", "times"])
-            columns = [
-                pa.array([k for k, _ in keys], key_type), pa.array(np.arange(len(keys)) + row), pa.array([h for _, h in keys]), pa.array(sizes), pa.array(np.add.reduceat(n_known, starts)),
-                pa.array(np.add.reduceat(base, starts) - sizes * all_norm), pa.array(np.add.reduceat(model, starts)), pa.ListArray.from_arrays(offsets, inner),
-            ]
-            row += len(keys)
-            names = ["key", "row", "held_out", "n_tokens", "known", "base", "model", "far"]
-            yield from pa.Table.from_arrays(columns, names).to_batches(max_chunksize=5000)
+        for rows, token, starts, sizes in side_by_side(batches):
+            model = np.add.reduceat((gru.score(m, token, starts, sizes) * log10e).astype(np.float64), starts)
+            yield from rows.drop_columns(["text"]).append_column("model", pa.array(model)).to_batches()
 
-    shape = f"key {kind}, row bigint, held_out boolean, n_tokens bigint, known bigint, base double, model double, far array<struct<word:binary,times:int>>"
-    made = durable(plain.mapInArrow(run, shape), "scores")
-    far = made.select("row", F.explode("far").alias("f")).select(F.col("row").alias("far_row"), F.col("f.word").alias("far_word"), F.col("f.times").alias("times"))
+    own = texts.drop("far")
+    made = durable(own.mapInArrow(run, StructType([x for x in own.schema if x.name != "text"]).add("model", "double")), "scores")
+    far = texts.select("row", F.explode("far").alias("f")).select(F.col("row").alias("far_row"), F.col("f.word").alias("far_word"), F.col("f.times").alias("times"))
     found = far.join(counts, far["far_word"] == counts["word"]).groupBy("far_row")
     found = found.agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"), F.sum("times").alias("more_known"))
-    out = made.drop("far").join(found, made["row"] == found["far_row"], "left")
+    out = made.join(found, made["row"] == found["far_row"], "left")
     more = F.coalesce("more", F.lit(0.0))
     return out.select(
-        F.col("key").alias(key), "held_out", "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(int(tokens)).cast("bigint").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("model") + more).alias("score"),
+        F.col("key").alias(key), F.col("held").alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.lit(int(tokens)).cast("bigint").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("model") + F.col("rare") + more).alias("score"),
     )

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from gantry.llm import gru, lm
 
@@ -28,3 +29,46 @@ def test_every_training_document_is_learnt_from(spark, monkeypatch):
     lm.learnt(docs, None, None, tokens=lm.FEW_TOKENS + 1)
     assert [small for small, _ in met] == [True, False] and 0 < len(met[0][1]) < len(met[1][1])
     assert sorted(met[0][1] + met[1][1]) == [k for k in range(3000) if k % 7 != 2]
+
+
+def test_rounds_and_scores_read_tokens_made_once(odd, monkeypatch):
+    """No round turns texts into tokens anew: all read the one table of tokens, which holds every row's, in turn."""
+    met = []
+    monkeypatch.setattr(lm, "learn", lambda docs, w, m, small: met.append((docs, w)) or m)
+    rows = {(r["doc_id"], r["n_tokens"]) for r in lm.score(odd).collect()}
+    files = {f for docs, _ in met for f in docs.inputFiles()}
+    assert len(met) > 1 and files and all("/tokens-" in f for f in files)
+    made = met[0][0].sparkSession.read.parquet(next(iter(files)).rsplit("/", 1)[0]).collect()
+    assert {(r["key"], r["n_tokens"]) for r in made} == rows and all(len(r["text"]) == r["n_tokens"] * lm.TOKEN.itemsize for r in made)
+    encoder = lm.Encoder(met[0][1])
+    of_key = {r["doc_id"]: r["text"] or "" for r in odd.select("doc_id", "text").collect()}
+    for r in made:
+        if r["key"] is not None and made.count(r) == 1 and sum(x["key"] == r["key"] for x in made) == 1:
+            assert np.frombuffer(r["text"], lm.TOKEN).tolist() == encoder(pa.array([of_key[r["key"]]])).token.tolist()
+
+
+def test_tokens_lie_side_by_side():
+    """Batches of tokens are brought together up to a bound; rows, places and numbers stay right, in slices too."""
+    texts = [np.arange(n, dtype=lm.TOKEN) for n in (3, 1, 700, 2)]
+    batch = pa.record_batch([pa.array(range(4)), pa.array([x.tobytes() for x in texts], pa.binary())], ["row", "text"])
+    (rows, token, starts, sizes), = lm.side_by_side(iter([batch.slice(1), batch.slice(0, 1)]))
+    assert rows["row"].to_pylist() == [1, 2, 3, 0] and sizes.tolist() == [1, 700, 2, 3] and starts.tolist() == [0, 1, 701, 703]
+    assert token.tolist() == np.concatenate([texts[i] for i in (1, 2, 3, 0)]).tolist()
+
+
+def test_class_scores_hold_to_a_plain_softmax():
+    """Products of all classes with one class's words, in blocks of rows, give what the definition gives."""
+    rng = np.random.default_rng(2)
+    m = gru.Model(100, 4)
+    m.set_slots(rng.permutation(100))
+    p = m.views(m.flat)
+    states, target = rng.normal(size=(5000, m.hidden)).astype(np.float32), np.minimum(rng.integers(0, 208, 5000), 103)
+    got, _ = gru.class_scores(m, p, states, target)
+    classes = states @ p["wc"] + p["bc"]
+    words = (states @ p["ww"].T + p["bw"]).reshape(len(states), -1, gru.IN_CLASS)
+    of, rows = m.class_of(target), np.arange(len(target))
+    want = classes[rows, of] - np.log(np.exp(classes).sum(axis=1))
+    own = np.flatnonzero(target < m.words)
+    inner = words[own, of[own]]
+    want[own] += inner[np.arange(len(own)), m.slot[target[own]] % gru.IN_CLASS] - np.log(np.exp(inner).sum(axis=1))
+    assert np.allclose(got, want, atol=1e-4)
