@@ -10,9 +10,13 @@ Loops (an edge from a node to itself) are cycles of their own. Null ends are no
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gantry.operators import alone
 from gantry.operators.durable import bucketed, buckets_of, written
 
 
@@ -109,12 +113,14 @@ def _reached(edges: DataFrame, down: list[tuple]) -> dict:
     """For each start of the edges down: the bits of those whose ends reach it along the edges. Only nodes whose marks have grown are followed."""
     if not down:
         return {}
-    edges = written(edges)
-    edges = bucketed(edges, "src", buckets_of(edges, edges.count()))
     first: dict = {}
     for i, (_, end) in enumerate(down):
         first[end] = first.get(end, 0) | 1 << i
     kind = edges.schema["src"].dataType.simpleString()
+    if alone.fits(edges):
+        return _reached_alone(edges, kind, first, list({s for s, _ in down}))
+    edges = written(edges)
+    edges = bucketed(edges, "src", buckets_of(edges, edges.count()))
     new = seen = written(edges.sparkSession.createDataFrame(list(first.items()), f"id {kind}, marks bigint"))
     while True:
         told = edges.join(new.hint("shuffle_hash"), F.col("src") == F.col("id")).groupBy(F.col("dst").alias("to")).agg(F.bit_or("marks").alias("more"))
@@ -128,6 +134,24 @@ def _reached(edges: DataFrame, down: list[tuple]) -> dict:
     return {r["id"]: r["marks"] for r in seen.join(F.broadcast(starts), "id", "left_semi").collect()}
 
 
+def _reached_alone(edges: DataFrame, kind: str, first: dict, asked: list) -> dict:
+    """_reached() in one task: the marks of the nodes asked for."""
+
+    def follow(t: pa.Table) -> pa.Table:
+        names, (src, dst) = alone.coded(t, "src", "dst")
+        at = pc.index_in(pa.array(list(first), names.type), value_set=names).to_pylist()
+        marks = np.zeros(len(names), np.int64)
+        for i, bits in zip(at, first.values(), strict=True):
+            if i is not None:
+                marks[i] |= bits
+        marks = alone.marked(src, dst, marks)
+        wanted = pc.index_in(pa.array(asked, names.type), value_set=names).drop_null()
+        return pa.table([names.take(wanted), pa.array(marks[wanted.to_numpy()])], ["id", "marks"])
+
+    rows = alone.in_one_task(edges, f"id {kind}, marks bigint", follow).collect()
+    return {k: first.get(k, 0) for k in asked} | {r["id"]: r["marks"] for r in rows}
+
+
 def break_cycles(edges: DataFrame, order: DataFrame | None = None, of: DataFrame | None = None) -> DataFrame:
     """An acyclic subset of the edges (src, dst, ...): those that lie on no cycle, and of the others those that go up.
 
